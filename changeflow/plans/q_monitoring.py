@@ -1 +1,171 @@
-"""(filled in below)"""
+"""Observability queries over the run event log, the lineage feed and the layer tables."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import functions as F
+
+from ..functions.jsonpath import expectations, json_path
+from ..sources import fixtures as fx
+from . import gold, silver
+from . import oracle as O
+from .catalog import query
+
+def _flow_progress():
+    return F.col("event_type") == "flow_progress"
+
+
+@query(
+    "flow_rows",
+    O.with_(O.RUN_LOG)
+    + """SELECT flow_name,
+       sum(CAST(json_extract_string(details, '$.flow_progress.metrics.num_output_rows') AS BIGINT)) AS linhas_processadas,
+       sum(coalesce(CAST(json_extract_string(details, '$.flow_progress.data_quality.dropped_records') AS BIGINT), 0)) AS linhas_descartadas
+FROM run_log WHERE event_type = 'flow_progress' GROUP BY ALL""",
+)
+def flow_rows(spark, sf_dir):
+    log = fx.run_log(spark, sf_dir).filter(_flow_progress())
+    return log.groupBy(F.col("origin.flow_name").alias("flow_name")).agg(
+        F.sum(json_path("details", "flow_progress.metrics.num_output_rows", "bigint")).alias("linhas_processadas"),
+        F.sum(F.coalesce(json_path("details", "flow_progress.data_quality.dropped_records", "bigint"), F.lit(0)))
+        .cast("bigint").alias("linhas_descartadas"),
+    )
+
+
+@query(
+    "rule_metrics_from_log",
+    O.with_(O.RUN_LOG)
+    + """SELECT e.dataset AS dataset, e.name AS regra, sum(e.passed_records) AS total_aprovados, sum(e.failed_records) AS total_reprovados
+FROM (SELECT unnest(from_json(json_extract(details, '$.flow_progress.data_quality.expectations'),
+             '[{"name":"VARCHAR","dataset":"VARCHAR","passed_records":"BIGINT","failed_records":"BIGINT"}]')) AS e
+      FROM run_log
+      WHERE event_type = 'flow_progress' AND json_extract(details, '$.flow_progress.data_quality.expectations') IS NOT NULL) x
+GROUP BY ALL""",
+)
+def rule_metrics_from_log(spark, sf_dir):
+    log = fx.run_log(spark, sf_dir).filter(_flow_progress())
+    e = log.select(F.explode(expectations("details")).alias("e"))
+    return e.groupBy(F.col("e.dataset").alias("dataset"), F.col("e.name").alias("regra")).agg(
+        F.sum("e.passed_records").alias("total_aprovados"),
+        F.sum("e.failed_records").alias("total_reprovados"),
+    )
+
+
+@query(
+    "update_durations",
+    O.with_(O.RUN_LOG)
+    + """SELECT update_id, min("timestamp") AS inicio, max("timestamp") AS fim,
+       date_diff('microsecond', min("timestamp"), max("timestamp")) / 1000000.0 AS duracao_segundos
+FROM run_log WHERE event_type = 'update_progress' GROUP BY update_id""",
+)
+def update_durations(spark, sf_dir):
+    log = fx.run_log(spark, sf_dir).filter(F.col("event_type") == "update_progress")
+    g = log.groupBy(F.col("origin.update_id").alias("update_id")).agg(
+        F.min("timestamp").alias("inicio"), F.max("timestamp").alias("fim")
+    )
+    return g.select(
+        "update_id", "inicio", "fim",
+        (F.expr("timestampdiff(MICROSECOND, inicio, fim)") / F.lit(1_000_000.0)).alias("duracao_segundos"),
+    )
+
+
+@query(
+    "flow_status_feed",
+    O.with_(O.RUN_LOG)
+    + """SELECT "timestamp", update_id, flow_name AS flow, json_extract_string(details, '$.flow_progress.status') AS status
+FROM run_log
+WHERE event_type = 'flow_progress' AND json_extract_string(details, '$.flow_progress.status') IN ('COMPLETED', 'FAILED')
+ORDER BY "timestamp" DESC, message DESC LIMIT 40""",
+)
+def flow_status_feed(spark, sf_dir):
+    """The latest 40 terminal flow statuses (a top-k report: the limit is the feature)."""
+    log = fx.run_log(spark, sf_dir).filter(_flow_progress())
+    status = json_path("details", "flow_progress.status")
+    return (
+        log.filter(status.isin("COMPLETED", "FAILED"))
+        .orderBy(F.col("timestamp").desc(), F.col("message").desc())
+        .limit(40)
+        .select("timestamp", F.col("origin.update_id").alias("update_id"), F.col("origin.flow_name").alias("flow"),
+                status.alias("status"))
+    )
+
+
+@query(
+    "event_feed",
+    O.with_(O.RUN_LOG)
+    + """SELECT "timestamp", event_type, message, update_id FROM run_log
+WHERE event_type IN ('planning_information', 'cluster_resources')""",
+)
+def event_feed(spark, sf_dir):
+    """Planning and cluster-resource events, newest first."""
+    log = fx.run_log(spark, sf_dir).filter(F.col("event_type").isin("planning_information", "cluster_resources"))
+    return log.select("timestamp", "event_type", "message", F.col("origin.update_id").alias("update_id")).orderBy(
+        F.col("timestamp").desc()
+    )
+
+
+@query(
+    "lineage_latest",
+    O.with_(O.LINEAGE)
+    + """SELECT source_table_schema, source_table_name, target_table_schema, target_table_name, max(event_time) AS ultimo_evento
+FROM lineage WHERE target_table_catalog = 'lakehouse' AND source_table_catalog = 'lakehouse'
+GROUP BY ALL""",
+)
+def lineage_latest(spark, sf_dir):
+    feed = fx.lineage_feed(spark, sf_dir).filter(
+        (F.col("target_table_catalog") == "lakehouse") & (F.col("source_table_catalog") == "lakehouse")
+    )
+    return feed.groupBy("source_table_schema", "source_table_name", "target_table_schema", "target_table_name").agg(
+        F.max("event_time").alias("ultimo_evento")
+    )
+
+
+LAYER_SQL = """SELECT * FROM (
+  SELECT 'bronze' AS camada, 'clientes_raw' AS tabela, (SELECT count(*) FROM customer_events) AS linhas
+  UNION ALL SELECT 'bronze', 'pedidos_raw', (SELECT count(*) FROM order_events)
+  UNION ALL SELECT 'bronze', 'produtos_raw', (SELECT count(*) FROM product_events)
+  UNION ALL SELECT 'silver', 'clientes_eventos_validos', (SELECT count(*) FROM valid_customers)
+  UNION ALL SELECT 'silver', 'pedidos_eventos_validos', (SELECT count(*) FROM valid_orders)
+  UNION ALL SELECT 'silver', 'pedidos_quarentena', (SELECT count(*) FROM quarantine)
+  UNION ALL SELECT 'silver', 'clientes', (SELECT count(*) FROM scd2_customers)
+  UNION ALL SELECT 'silver', 'pedidos', (SELECT count(*) FROM scd1_orders)
+  UNION ALL SELECT 'silver', 'produtos', (SELECT count(*) FROM scd1_products)
+  UNION ALL SELECT 'gold', 'vendas_diarias_categoria', (SELECT count(*) FROM daily)
+  UNION ALL SELECT 'gold', 'funil_status_pedidos', (SELECT count(DISTINCT status) FROM scd1_orders)
+  UNION ALL SELECT 'gold', 'clientes_valor', (SELECT count(*) FROM scd2_customers WHERE __END_AT IS NULL)
+  UNION ALL SELECT 'gold', 'dim_clientes', (SELECT count(*) FROM scd2_customers WHERE __END_AT IS NULL)) x"""
+
+
+@query(
+    "layer_row_counts",
+    O.with_(*O.CUST, *O.GOLD, O.QUARANTINE, O.DAILY) + LAYER_SQL,
+)
+def layer_row_counts(spark, sf_dir):
+    """Rows per table, bronze to gold (one count per table, unioned; sorted by layer)."""
+    valid_orders, quarantine = silver.order_events_split(spark, sf_dir)
+    orders = silver.orders(spark, sf_dir)
+    cust = silver.customers(spark, sf_dir)
+    current = cust.filter(F.col("__END_AT").isNull())
+    tables = [
+        ("bronze", "clientes_raw", fx.customer_events(spark, sf_dir)),
+        ("bronze", "pedidos_raw", fx.order_events(spark, sf_dir)),
+        ("bronze", "produtos_raw", fx.product_events(spark, sf_dir)),
+        ("silver", "clientes_eventos_validos", silver.valid_customer_events(spark, sf_dir)),
+        ("silver", "pedidos_eventos_validos", valid_orders),
+        ("silver", "pedidos_quarentena", quarantine),
+        ("silver", "clientes", cust),
+        ("silver", "pedidos", orders),
+        ("silver", "produtos", silver.products(spark, sf_dir)),
+        ("gold", "vendas_diarias_categoria", gold.daily_category_sales(gold.orders_enriched(spark, sf_dir))),
+        ("gold", "funil_status_pedidos", gold.status_funnel(orders)),
+        ("gold", "clientes_valor", gold.customer_value(current, orders)),
+        ("gold", "dim_clientes", gold.masked_dimension_source(current)),
+    ]
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("linhas")).select(F.lit(layer).alias("camada"), F.lit(name).alias("tabela"), "linhas")
+        for layer, name, df in tables
+    ]
+    u = reduce(lambda a, b: a.unionByName(b), counts)
+    order = F.when(F.col("camada") == "bronze", 1).when(F.col("camada") == "silver", 2).when(F.col("camada") == "gold", 3).otherwise(4)
+    return u.orderBy(order, "tabela")
