@@ -70,9 +70,12 @@ def customer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SCD1 change log of orders: one event per line item, with injected faults."""
-    li = read_table(spark, sf_dir, "lineitem").select(
+def order_events(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
+    """SCD1 change log of orders: one event per line item, with injected faults.
+
+    ``lineitem`` may be given as a stream (stream-static join with ``orders``).
+    """
+    li = (read_table(spark, sf_dir, "lineitem") if lineitem is None else lineitem).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_returnflag", "l_linestatus", "l_shipdate",
     )
