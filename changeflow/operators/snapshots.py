@@ -23,7 +23,10 @@ from pyspark.sql import functions as F
 
 from .cdc import merge_upsert
 
-METRIC_KEYS = ("numTargetRowsUpdated", "numTargetRowsDeleted", "numTargetRowsInserted", "numOutputRows")
+METRIC_KEYS = (
+    "numTargetRowsUpdated", "numTargetRowsDeleted", "numTargetRowsInserted", "numOutputRows",
+    "numRemovedFiles", "numAddedFiles",
+)
 
 
 
@@ -129,7 +132,9 @@ class SnapshotTable:
         v = 0 if prev is None else prev + 1
         df.write.mode("errorifexists").parquet(self._vpath(v))
         written = self.spark.read.parquet(self._vpath(v))
-        out_rows = written.agg(F.count(F.lit(1)).alias("numOutputRows"))
+        out_rows = written.agg(F.count(F.lit(1)).alias("numOutputRows")).select(
+            "numOutputRows", F.lit(len(written.inputFiles())).cast("bigint").alias("numAddedFiles")
+        )
         m = out_rows if metrics is None else side_metrics(metrics, out_rows)
         params = dict(params or {})
         pmap = F.create_map(*[x for k, val in sorted(params.items()) for x in (F.lit(k), F.lit(str(val)))]) if params \
@@ -175,6 +180,17 @@ class SnapshotTable:
                            {"predicate": " AND ".join(f"t.{k} = s.{k}" for k in on)},
                            _with_zero(metrics, ["numTargetRowsDeleted"]))
 
+    def optimize_zorder(self, cols: Sequence[str], committed_at: dt.datetime, rows_per_file: int | None = None) -> int:
+        """OPTIMIZE ... ZORDER BY (cols): same rows, rewritten along the Z-curve of ``cols``."""
+        from .layout import ROWS_PER_FILE, zorder
+
+        before = self.read()
+        removed = len(before.inputFiles())
+        laid_out = zorder(before, cols, rows_per_file or ROWS_PER_FILE)
+        v = self.commit(laid_out, "OPTIMIZE", committed_at, {"zOrderBy": ",".join(cols)},
+                        self.spark.range(1).select(F.lit(removed).cast("bigint").alias("numRemovedFiles")))
+        return v
+
     def restore(self, version: int, committed_at: dt.datetime) -> int:
         return self.commit(self.read(version), "RESTORE", committed_at, {"version": str(version)})
 

@@ -125,3 +125,43 @@ def deleted_key_gap(spark, sf_dir):
     bronze = fx.product_events(spark, sf_dir).agg(F.countDistinct("produto_id").alias("produtos_na_bronze"))
     silver_n = silver.products(spark, sf_dir).agg(F.count(F.lit(1)).alias("produtos_na_silver"))
     return side_by_side(bronze, silver_n)
+
+
+REFERENCE_TARGET = """target AS (
+  SELECT DISTINCT categoria_id, 'Categoria ' || CAST(categoria_id AS VARCHAR) AS nome_categoria,
+         CAST(NULL AS DECIMAL(5,2)) AS margem_alvo
+  FROM product_events)"""
+
+REFERENCE_MERGED = """SELECT coalesce(t.categoria_id, s.categoria_id) AS categoria_id,
+       CASE WHEN s.categoria_id IS NOT NULL THEN s.nome_categoria ELSE t.nome_categoria END AS nome_categoria,
+       CAST(CASE WHEN s.categoria_id IS NOT NULL THEN s.margem_alvo ELSE t.margem_alvo END AS DOUBLE) AS margem_alvo
+FROM target t FULL JOIN categories s ON t.categoria_id = s.categoria_id"""
+
+
+@query("reference_categories", O.with_(O.PRODUCT_EVENTS, O.CATEGORIES, REFERENCE_TARGET) + REFERENCE_MERGED)
+def reference_categories(spark, sf_dir):
+    """MERGE the reference category rows into the categories the products use.
+
+    Target: one auto-registered row per category id seen in the product log;
+    WHEN MATCHED UPDATE SET name, margin; WHEN NOT MATCHED INSERT. The CHECK on
+    the margin (NULL or within 0..1) is a FAIL rule.
+    """
+    from ..operators.cdc import merge_upsert
+    from ..operators.quality import FAIL, Rule, fail_guard
+
+    target = (
+        fx.product_events(spark, sf_dir).select("categoria_id").distinct()
+        .select(
+            "categoria_id",
+            F.concat(F.lit("Categoria "), F.col("categoria_id").cast("string")).alias("nome_categoria"),
+            F.lit(None).cast("decimal(5,2)").alias("margem_alvo"),
+        )
+    )
+    merged = merge_upsert(
+        target, fx.categories(spark), ["categoria_id"],
+        update_set={"nome_categoria": "s.nome_categoria", "margem_alvo": "s.margem_alvo"},
+    )
+    check = Rule("margem_valida", "margem_alvo IS NULL OR (margem_alvo >= 0 AND margem_alvo <= 1)", FAIL)
+    return fail_guard(merged, [check]).select(
+        "categoria_id", "nome_categoria", F.col("margem_alvo").cast("double").alias("margem_alvo")
+    )
