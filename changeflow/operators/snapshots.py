@@ -92,6 +92,7 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
+        self._latest: int | None = None
 
     def _vpath(self, v: int) -> str:
         return os.path.join(self.root, f"v={v}")
@@ -100,17 +101,21 @@ class SnapshotTable:
         return os.path.join(self.root, "_commits", f"v={v}")
 
     def latest_version(self) -> int | None:
-        h = self.history()
-        if h is None:
-            return None
-        return h.agg(F.max("version")).first()[0]
+        if self._latest is None:
+            h = self.history()
+            self._latest = None if h is None else h.agg(F.max("version")).first()[0]
+        return self._latest
+
+    def _exists(self, path: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
     def history(self) -> DataFrame | None:
         p = os.path.join(self.root, "_commits")
-        try:
-            h = self.spark.read.parquet(p)
-        except Exception:  # noqa: BLE001 - no commit yet
+        if not self._exists(p):
             return None
+        h = self.spark.read.parquet(p)
         return h.select("version", "timestamp", "operation", "operationParameters", "operationMetrics")
 
     def read(self, version: int | None = None) -> DataFrame:
@@ -125,30 +130,37 @@ class SnapshotTable:
         operation: str,
         committed_at: dt.datetime,
         params: Mapping[str, str] | None = None,
-        metrics: DataFrame | None = None,
+        metrics: Mapping[str, Column] | None = None,
+        keep: Column | None = None,
     ) -> int:
-        """Write ``df`` as the next version; ``metrics`` is a one-row DataFrame of METRIC_KEYS columns."""
+        """Write ``df`` (rows where ``keep`` holds) as the next version, with one commit row.
+
+        ``metrics`` are aggregate Columns over ``df`` (before ``keep``); they and the
+        output row count are gathered with ``observe`` during the write job itself —
+        no second pass over the data.
+        """
+        from pyspark.sql import Observation
+
         prev = self.latest_version()
         v = 0 if prev is None else prev + 1
-        df.write.mode("errorifexists").parquet(self._vpath(v))
-        written = self.spark.read.parquet(self._vpath(v))
-        out_rows = written.agg(F.count(F.lit(1)).alias("numOutputRows")).select(
-            "numOutputRows", F.lit(len(written.inputFiles())).cast("bigint").alias("numAddedFiles")
-        )
-        m = out_rows if metrics is None else side_metrics(metrics, out_rows)
-        params = dict(params or {})
-        pmap = F.create_map(*[x for k, val in sorted(params.items()) for x in (F.lit(k), F.lit(str(val)))]) if params \
-            else F.create_map().cast("map<string,string>")
-        mcols = [c for c in METRIC_KEYS if c in m.columns]
-        mmap = F.create_map(*[x for c in mcols for x in (F.lit(c), F.col(c).cast("string"))])
-        commit = m.select(
-            F.lit(v).cast("bigint").alias("version"),
-            ntz(committed_at).alias("timestamp"),
-            F.lit(operation).alias("operation"),
-            pmap.alias("operationParameters"),
-            mmap.alias("operationMetrics"),
+        before, after = Observation(f"{operation}-in-{v}"), Observation(f"{operation}-out-{v}")
+        out = df
+        if metrics:
+            out = out.observe(before, *[c.alias(k) for k, c in metrics.items()])
+        if keep is not None:
+            out = out.filter(keep)
+        out = out.observe(after, F.count(F.lit(1)).alias("numOutputRows"))
+        out.drop(*[c for c in out.columns if c.startswith("_")]).write.mode("errorifexists").parquet(self._vpath(v))
+        values = {**(before.get if metrics else {}), **after.get}
+        values["numAddedFiles"] = len(self.spark.read.parquet(self._vpath(v)).inputFiles())
+        mvals = {k: None if values.get(k) is None else str(values[k]) for k in METRIC_KEYS if k in values}
+        commit = self.spark.createDataFrame(
+            [(v, committed_at, operation, {k: str(x) for k, x in (params or {}).items()}, mvals)],
+            "version BIGINT, timestamp TIMESTAMP_NTZ, operation STRING, "
+            "operationParameters MAP<STRING, STRING>, operationMetrics MAP<STRING, STRING>",
         )
         commit.coalesce(1).write.mode("errorifexists").parquet(self._cpath(v))
+        self._latest = v
         return v
 
     # -- user-level operations, each one new version ------------------------------------
@@ -158,27 +170,28 @@ class SnapshotTable:
 
     def update(self, set_exprs: Mapping[str, str], where: str, committed_at: dt.datetime) -> int:
         u = update_rows(self.read(), set_exprs, where)
-        metrics = u.agg(F.count_if("_touched").alias("numTargetRowsUpdated"))
-        return self.commit(u.drop("_touched"), "UPDATE", committed_at, {"predicate": where},
-                           _with_zero(metrics, ["numTargetRowsDeleted", "numTargetRowsInserted"]))
+        return self.commit(u, "UPDATE", committed_at, {"predicate": where}, {
+            "numTargetRowsUpdated": F.count_if("_touched"),
+            "numTargetRowsDeleted": F.lit(0).cast("bigint"),
+            "numTargetRowsInserted": F.lit(0).cast("bigint"),
+        })
 
     def delete(self, where: str | None, committed_at: dt.datetime) -> int:
         d = delete_rows(self.read(), where)
-        metrics = d.agg(F.count_if("_touched").alias("numTargetRowsDeleted"))
-        return self.commit(d.filter(~F.col("_touched")).drop("_touched"), "DELETE", committed_at,
-                           {"predicate": where or "true"},
-                           _with_zero(metrics, ["numTargetRowsUpdated", "numTargetRowsInserted"]))
+        return self.commit(d, "DELETE", committed_at, {"predicate": where or "true"}, {
+            "numTargetRowsUpdated": F.lit(0).cast("bigint"),
+            "numTargetRowsDeleted": F.count_if("_touched"),
+            "numTargetRowsInserted": F.lit(0).cast("bigint"),
+        }, keep=~F.col("_touched"))
 
     def merge(self, source: DataFrame, on: Sequence[str], committed_at: dt.datetime,
               matched_condition: str | None = None, update_set: Mapping[str, str] | None = None) -> int:
         m = merge_upsert(self.read(), source, on, matched_condition, update_set, insert=True, action_col="_action")
-        metrics = m.agg(
-            F.count_if(F.col("_action") == "update").alias("numTargetRowsUpdated"),
-            F.count_if(F.col("_action") == "insert").alias("numTargetRowsInserted"),
-        )
-        return self.commit(m.drop("_action"), "MERGE", committed_at,
-                           {"predicate": " AND ".join(f"t.{k} = s.{k}" for k in on)},
-                           _with_zero(metrics, ["numTargetRowsDeleted"]))
+        return self.commit(m, "MERGE", committed_at, {"predicate": " AND ".join(f"t.{k} = s.{k}" for k in on)}, {
+            "numTargetRowsUpdated": F.count_if(F.col("_action") == "update"),
+            "numTargetRowsDeleted": F.lit(0).cast("bigint"),
+            "numTargetRowsInserted": F.count_if(F.col("_action") == "insert"),
+        })
 
     def optimize_zorder(self, cols: Sequence[str], committed_at: dt.datetime, rows_per_file: int | None = None) -> int:
         """OPTIMIZE ... ZORDER BY (cols): same rows, rewritten along the Z-curve of ``cols``."""
@@ -187,9 +200,8 @@ class SnapshotTable:
         before = self.read()
         removed = len(before.inputFiles())
         laid_out = zorder(before, cols, rows_per_file or ROWS_PER_FILE)
-        v = self.commit(laid_out, "OPTIMIZE", committed_at, {"zOrderBy": ",".join(cols)},
-                        self.spark.range(1).select(F.lit(removed).cast("bigint").alias("numRemovedFiles")))
-        return v
+        return self.commit(laid_out, "OPTIMIZE", committed_at, {"zOrderBy": ",".join(cols)},
+                           {"numRemovedFiles": F.lit(removed).cast("bigint")})
 
     def restore(self, version: int, committed_at: dt.datetime) -> int:
         return self.commit(self.read(version), "RESTORE", committed_at, {"version": str(version)})
@@ -199,18 +211,6 @@ class SnapshotTable:
         return self.history().filter(F.col("operation") != operation_not).agg(F.max("version")).first()[0]
 
 
-def _with_zero(metrics: DataFrame, zero_cols: Sequence[str]) -> DataFrame:
-    return metrics.select("*", *[F.lit(0).cast("bigint").alias(c) for c in zero_cols])
-
-
-def side_metrics(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Two one-row metric frames as one row (union, then max per column; no join)."""
-    cols = a.columns + [c for c in b.columns if c not in a.columns]
-    pa = a.select(*[F.col(c) if c in a.columns else F.lit(None).cast("bigint").alias(c) for c in cols])
-    pb = b.select(*[F.col(c) if c in b.columns else F.lit(None).cast("bigint").alias(c) for c in cols])
-    return pa.unionByName(pb).agg(*[F.max(c).alias(c) for c in cols])
-
-
 def expired_versions(history: DataFrame, as_of: dt.datetime, retain_hours: int) -> DataFrame:
     """Versions a VACUUM RETAIN n HOURS would let go: older than the limit and superseded.
 

@@ -8,7 +8,7 @@ from ..operators.cdc import apply_incremental
 from ..sources import fixtures as fx
 from . import oracle as O
 from . import silver
-from .catalog import query, side_by_side
+from .registry import query, side_by_side
 
 SCD2_OUT = ("cliente_id", "nome", "email", "cpf", "telefone", "cidade", "uf", "data_nascimento", "evento_ts", "__START_AT", "__END_AT")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..sources import fixtures as fx
 from . import gold, silver
 from . import oracle as O
-from .catalog import query, r2
+from .registry import query, r2
 
 
 def _daily(spark, sf_dir, guard=True):

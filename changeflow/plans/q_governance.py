@@ -8,7 +8,7 @@ from ..functions.masks import apply_masks, mask_format_preview, row_filter
 from ..sources import fixtures as fx
 from . import gold, silver
 from . import oracle as O
-from .catalog import query
+from .registry import query
 
 # The reader whose view the regional queries show.
 ANALYST = ("analysts",)

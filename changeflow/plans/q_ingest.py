@@ -16,7 +16,7 @@ from ..sources import fixtures as fx
 from ..sources import ingest as ing
 from ..streaming.runner import StreamTarget, read_sink, run_available_now
 from . import oracle as O
-from .catalog import query
+from .registry import query
 from .q_cdc import ORDER_BATCH_CUTOFF
 
 PRODUCT_FIRST_BATCH = "1995-01-01 00:00:00"

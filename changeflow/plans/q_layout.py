@@ -10,7 +10,7 @@ from ..session import work_dir
 from . import gold
 from . import oracle as O
 from . import silver
-from .catalog import query
+from .registry import query
 from .q_cdc import ORD_OUT
 from .q_gold import DAILY_OUT_SQL, _daily_out
 from .q_snapshots import commit_time

@@ -10,7 +10,7 @@ from ..functions.jsonpath import expectations, json_path
 from ..sources import fixtures as fx
 from . import gold, silver
 from . import oracle as O
-from .catalog import query
+from .registry import query
 
 def _flow_progress():
     return F.col("event_type") == "flow_progress"

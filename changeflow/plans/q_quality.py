@@ -8,7 +8,7 @@ from ..operators.quality import rule_counts
 from ..sources import fixtures as fx
 from . import oracle as O
 from . import silver
-from .catalog import big, query
+from .registry import big, query
 
 ORDER_OUT = ("pedido_id", "cliente_id", "produto_id", "quantidade", "preco_unitario", "status", "canal", "pedido_ts", "evento_ts")
 

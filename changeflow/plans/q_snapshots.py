@@ -8,10 +8,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..operators.snapshots import SnapshotTable, change_feed, expired_versions
-from ..session import work_dir
+from ..session import materialize, work_dir
 from . import oracle as O
 from . import silver
-from .catalog import query, side_by_side
+from .registry import query, side_by_side
 from .q_cdc import ORD_OUT, ORDER_BATCH_CUTOFF
 
 # The run's clock: a fixed "now" for repeatable results, and one commit every two days before it.
@@ -32,7 +32,8 @@ STEPS = ("create", "update", "delete", "merge", "delete_all", "restore")
 def run_maintenance(spark, sf_dir, upto: str = "restore") -> SnapshotTable:
     """The audit-snapshot flow, one written version per statement, stopping after ``upto``."""
     table = SnapshotTable(spark, work_dir(spark, "orders_snapshot"))
-    orders = silver.orders(spark, sf_dir)
+    # silver.pedidos is a written table: CTAS and MERGE both read it instead of recomputing the SCD1 apply.
+    orders = materialize(silver.orders(spark, sf_dir), work_dir(spark, "silver_pedidos"))
     for i, step in enumerate(STEPS):
         at = commit_time(i)
         if step == "create":

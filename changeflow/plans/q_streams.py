@@ -15,7 +15,7 @@ from ..streaming.runner import StreamTarget, read_sink, run_available_now
 from ..streaming.windows import dedup_within_watermark, events_stream, order_creation_events, orders_per_hour
 from . import oracle as O
 from . import silver
-from .catalog import query, r2
+from .registry import query, r2
 
 HOURLY_SQL = """WITH p AS (
   SELECT ts, CASE user_id % 4 WHEN 0 THEN 'site' WHEN 1 THEN 'app' WHEN 2 THEN 'marketplace' ELSE 'loja_fisica' END AS canal, value

@@ -61,3 +61,13 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint root for one job run."""
     root = checkpoint_root(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, path: str):
+    """Write ``df`` as a parquet table at ``path`` (under the shared folder) and read it back.
+
+    The lineage is cut at the written table; downstream jobs scan it with column
+    pruning and filter pushdown instead of recomputing its plan.
+    """
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
