@@ -117,3 +117,11 @@ def observe_rules(df: DataFrame, rules: Sequence[Rule], name: str):
     metrics += [F.count_if(~r.passes()).alias(f"failed_{r.name}") for r in rules]
     metrics.append(F.count_if(~valid_condition(rules)).alias("dropped_records"))
     return df.observe(obs, *metrics), obs
+
+
+def rule_metric_columns(rules: Sequence[Rule]) -> list[Column]:
+    """Aggregate Columns for ``DataFrame.observe``: rows, failures per rule, dropped rows."""
+    cols = [F.count(F.lit(1)).alias("rows")]
+    cols += [F.count_if(~r.passes()).alias(f"failed_{r.name}") for r in rules]
+    cols.append(F.count_if(~valid_condition(rules)).alias("dropped_records"))
+    return cols

@@ -52,8 +52,10 @@ ORDER_COLUMNS = (
 )
 
 
-def standardize_customers(raw: DataFrame) -> DataFrame:
+def standardize_customers(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """trim / lower / upper fixes and try-cast of the birth date; ``keep`` passes extra columns through."""
     return raw.select(
+        *keep,
         "cliente_id",
         F.trim("nome").alias("nome"),
         F.lower(F.trim("email")).alias("email"),
