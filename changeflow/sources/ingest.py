@@ -47,10 +47,15 @@ def _to_json_or_null(m: Column) -> Column:
 
 
 def rescue_json(lines: DataFrame, schema: T.StructType, text_col: str = "value") -> DataFrame:
-    """Typed columns of ``schema`` plus ``_rescued_data`` from a column of JSON text lines."""
+    """Typed columns of ``schema`` plus ``_rescued_data`` from a column of JSON text lines.
+
+    Each line is parsed twice (typed, and as a string map) in one projection; the
+    rescue logic then reads those two columns, so neither parse is repeated per field.
+    """
     text = F.col(text_col)
-    typed = F.from_json(text, schema)
-    raw = F.from_json(text, "map<string,string>")
+    parsed = lines.select("*", F.from_json(text, schema).alias("_typed"),
+                          F.from_json(text, "map<string,string>").alias("_raw"))
+    typed, raw = F.col("_typed"), F.col("_raw")
     names = [f.name for f in schema.fields]
     mistyped = F.map_from_entries(F.filter(
         F.array(*[
@@ -62,8 +67,8 @@ def rescue_json(lines: DataFrame, schema: T.StructType, text_col: str = "value")
     known = F.array(*[F.lit(n) for n in names])
     unknown = F.map_filter(raw, lambda k, v: ~F.array_contains(known, k))
     rescued = F.when(raw.isNull(), text).otherwise(_to_json_or_null(F.map_concat(mistyped, unknown)))
-    return lines.select("*", typed.alias("_typed"), rescued.alias(RESCUED)).select(
-        *[c for c in lines.columns if c != text_col], *[F.col(f"_typed.{n}").alias(n) for n in names], RESCUED
+    return parsed.select(
+        *[c for c in lines.columns if c != text_col], *[typed[n].alias(n) for n in names], rescued.alias(RESCUED)
     )
 
 
