@@ -79,6 +79,8 @@ class Pipeline:
         self.root = root or work_dir(spark, "pipeline")
         self.update_id = None
         self.lote = 0
+        self._events: list = []
+        self._lineage: list = []
 
     # -- paths ------------------------------------------------------------------------------
     def target(self, layer: str, name: str) -> StreamTarget:
@@ -100,15 +102,19 @@ class Pipeline:
 
     # -- run log ----------------------------------------------------------------------------
     def log(self, event_type: str, flow: str, message: str, details: dict) -> None:
-        row = [(_now(), event_type, message, (self.update_id, flow), json.dumps(details, separators=(",", ":")))]
-        self.spark.createDataFrame(row, EVENT_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(
-            os.path.join(self.root, "_event_log"))
+        """Buffer one run-log event (a few per flow); ``flush`` appends them as one file per update."""
+        self._events.append((_now(), event_type, message, (self.update_id, flow), json.dumps(details, separators=(",", ":"))))
 
     def lineage(self, sources: Sequence[tuple[str, str]], target: tuple[str, str]) -> None:
         now = _now()
-        rows = [(CATALOG, s[0], s[1], CATALOG, target[0], target[1], now) for s in sources]
-        self.spark.createDataFrame(rows, LINEAGE_SCHEMA).coalesce(1).write.mode("append").parquet(
-            os.path.join(self.root, "_lineage"))
+        self._lineage.extend((CATALOG, s[0], s[1], CATALOG, target[0], target[1], now) for s in sources)
+
+    def flush(self) -> None:
+        for rows, schema, name in ((self._events, EVENT_LOG_SCHEMA, "_event_log"), (self._lineage, LINEAGE_SCHEMA, "_lineage")):
+            if rows:
+                self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(
+                    os.path.join(self.root, name))
+                rows.clear()
 
     def event_log(self) -> DataFrame:
         return self.spark.read.parquet(os.path.join(self.root, "_event_log"))
@@ -264,6 +270,7 @@ class Pipeline:
         self.silver_cdc()
         self.gold()
         self.log("update_progress", "pipeline", "update completed", {"update_progress": {"state": "COMPLETED"}})
+        self.flush()
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str, updates: Sequence[int] = (1, 2)) -> Pipeline:

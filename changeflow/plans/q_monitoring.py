@@ -142,30 +142,40 @@ LAYER_SQL = """SELECT * FROM (
     O.with_(*O.CUST, *O.GOLD, O.QUARANTINE, O.DAILY) + LAYER_SQL,
 )
 def layer_row_counts(spark, sf_dir):
-    """Rows per table, bronze to gold (one count per table, unioned; sorted by layer)."""
-    valid_orders, quarantine = silver.order_events_split(spark, sf_dir)
-    orders = silver.orders(spark, sf_dir)
+    """Rows per table, bronze to gold, sorted by layer.
+
+    Tables that share an input are counted in one pass with conditional counts
+    (raw = valid + quarantine for orders; raw and valid for customers; history
+    and current for the SCD2 table), so each input is scanned once.
+    """
+    from ..operators.quality import valid_condition
+
+    def counts(df, **named):
+        return df.agg(*[F.count_if(c).alias(n) for n, c in named.items()])
+
+    raw_o = fx.order_events(spark, sf_dir)
+    ok_o = valid_condition(silver.ORDER_RULES)
+    o = counts(raw_o, pedidos_raw=F.lit(True), pedidos_eventos_validos=ok_o, pedidos_quarentena=~ok_o)
+    raw_c = silver.customer_events_std(spark, sf_dir)
+    c = counts(raw_c, clientes_raw=F.lit(True), clientes_eventos_validos=valid_condition(silver.CUSTOMER_RULES))
     cust = silver.customers(spark, sf_dir)
-    current = cust.filter(F.col("__END_AT").isNull())
-    tables = [
-        ("bronze", "clientes_raw", fx.customer_events(spark, sf_dir)),
-        ("bronze", "pedidos_raw", fx.order_events(spark, sf_dir)),
-        ("bronze", "produtos_raw", fx.product_events(spark, sf_dir)),
-        ("silver", "clientes_eventos_validos", silver.valid_customer_events(spark, sf_dir)),
-        ("silver", "pedidos_eventos_validos", valid_orders),
-        ("silver", "pedidos_quarentena", quarantine),
-        ("silver", "clientes", cust),
-        ("silver", "pedidos", orders),
-        ("silver", "produtos", silver.products(spark, sf_dir)),
-        ("gold", "vendas_diarias_categoria", gold.daily_category_sales(gold.orders_enriched(spark, sf_dir))),
-        ("gold", "funil_status_pedidos", gold.status_funnel(orders)),
-        ("gold", "clientes_valor", gold.customer_value(current, orders)),
-        ("gold", "dim_clientes", gold.masked_dimension_source(current)),
-    ]
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("linhas")).select(F.lit(layer).alias("camada"), F.lit(name).alias("tabela"), "linhas")
-        for layer, name, df in tables
-    ]
-    u = reduce(lambda a, b: a.unionByName(b), counts)
-    order = F.when(F.col("camada") == "bronze", 1).when(F.col("camada") == "silver", 2).when(F.col("camada") == "gold", 3).otherwise(4)
+    h = counts(cust, clientes=F.lit(True), clientes_valor=F.col("__END_AT").isNull(), dim_clientes=F.col("__END_AT").isNull())
+    orders = silver.orders(spark, sf_dir)
+    so = counts(orders, pedidos=F.lit(True))
+    funnel = orders.agg(F.countDistinct("status").alias("funil_status_pedidos"))
+    p = counts(fx.product_events(spark, sf_dir), produtos_raw=F.lit(True))
+    sp = counts(silver.products(spark, sf_dir), produtos=F.lit(True))
+    d = counts(gold.daily_category_sales(gold.orders_enriched(spark, sf_dir)), vendas_diarias_categoria=F.lit(True))
+    layer_of = {
+        "clientes_raw": "bronze", "pedidos_raw": "bronze", "produtos_raw": "bronze",
+        "clientes_eventos_validos": "silver", "pedidos_eventos_validos": "silver", "pedidos_quarentena": "silver",
+        "clientes": "silver", "pedidos": "silver", "produtos": "silver",
+        "vendas_diarias_categoria": "gold", "funil_status_pedidos": "gold", "clientes_valor": "gold", "dim_clientes": "gold",
+    }
+    rows = []
+    for one in (o, c, h, so, funnel, p, sp, d):
+        pairs = ", ".join(f"'{layer_of[n]}', '{n}', CAST({n} AS BIGINT)" for n in one.columns)
+        rows.append(one.selectExpr(f"stack({len(one.columns)}, {pairs}) AS (camada, tabela, linhas)"))
+    u = reduce(lambda a, b: a.unionByName(b), rows)
+    order = F.when(F.col("camada") == "bronze", 1).when(F.col("camada") == "silver", 2).otherwise(3)
     return u.orderBy(order, "tabela")

@@ -197,7 +197,11 @@ feed AS (
 def change_feed_counts(spark, sf_dir):
     """Changes to the SCD1 order table made by the second batch, counted by type."""
     log = silver.valid_order_events(spark, sf_dir)
-    before = silver.orders_scd1(log.filter(F.col("evento_ts") < F.expr(f"TIMESTAMP_NTZ '{ORDER_BATCH_CUTOFF}'")))
+    second = F.col("evento_ts") >= F.expr(f"TIMESTAMP_NTZ '{ORDER_BATCH_CUTOFF}'")
+    # Only keys the second batch touched can change: both versions are rebuilt for those keys alone.
+    touched = log.filter(second).select("pedido_id").distinct()
+    log = log.join(touched, "pedido_id", "left_semi")
+    before = silver.orders_scd1(log.filter(~second))
     after = silver.orders_scd1(log)
     feed = change_feed(before.select(*ORD_OUT), after.select(*ORD_OUT), ["pedido_id"])
     return feed.groupBy("_change_type").agg(F.count(F.lit(1)).alias("qtd"))
