@@ -20,8 +20,8 @@ def _flow_progress():
     "flow_rows",
     O.with_(O.RUN_LOG)
     + """SELECT flow_name,
-       sum(CAST(json_extract_string(details, '$.flow_progress.metrics.num_output_rows') AS BIGINT)) AS linhas_processadas,
-       sum(coalesce(CAST(json_extract_string(details, '$.flow_progress.data_quality.dropped_records') AS BIGINT), 0)) AS linhas_descartadas
+       CAST(sum(CAST(json_extract_string(details, '$.flow_progress.metrics.num_output_rows') AS BIGINT)) AS BIGINT) AS linhas_processadas,
+       CAST(sum(coalesce(CAST(json_extract_string(details, '$.flow_progress.data_quality.dropped_records') AS BIGINT), 0)) AS BIGINT) AS linhas_descartadas
 FROM run_log WHERE event_type = 'flow_progress' GROUP BY ALL""",
 )
 def flow_rows(spark, sf_dir):
@@ -36,7 +36,7 @@ def flow_rows(spark, sf_dir):
 @query(
     "rule_metrics_from_log",
     O.with_(O.RUN_LOG)
-    + """SELECT e.dataset AS dataset, e.name AS regra, sum(e.passed_records) AS total_aprovados, sum(e.failed_records) AS total_reprovados
+    + """SELECT e.dataset AS dataset, e.name AS regra, CAST(sum(e.passed_records) AS BIGINT) AS total_aprovados, CAST(sum(e.failed_records) AS BIGINT) AS total_reprovados
 FROM (SELECT unnest(from_json(json_extract(details, '$.flow_progress.data_quality.expectations'),
              '[{"name":"VARCHAR","dataset":"VARCHAR","passed_records":"BIGINT","failed_records":"BIGINT"}]')) AS e
       FROM run_log
@@ -56,7 +56,7 @@ def rule_metrics_from_log(spark, sf_dir):
     "update_durations",
     O.with_(O.RUN_LOG)
     + """SELECT update_id, min("timestamp") AS inicio, max("timestamp") AS fim,
-       date_diff('microsecond', min("timestamp"), max("timestamp")) / 1000000.0 AS duracao_segundos
+       CAST(date_diff('microsecond', min("timestamp"), max("timestamp")) AS DOUBLE) / 1000000.0 AS duracao_segundos
 FROM run_log WHERE event_type = 'update_progress' GROUP BY update_id""",
 )
 def update_durations(spark, sf_dir):
