@@ -22,8 +22,10 @@ ROWS_PER_FILE = 1_000_000
 
 def _numeric(df: DataFrame, c: str) -> Column:
     t = df.schema[c].dataType
-    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(c).cast("timestamp"))
+    if isinstance(t, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), F.col(c))
+    if isinstance(t, T.TimestampType):
+        return F.unix_micros(F.col(c))
     if isinstance(t, T.DateType):
         return F.unix_date(F.col(c)).cast("bigint")
     if isinstance(t, T.StringType):

@@ -31,6 +31,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.timeutil import ntz_text, ntz_to_instant
 from ..operators.cdc import apply_incremental
 from ..operators.quality import Rule, rule_metric_columns, split_valid
 from ..session import work_dir
@@ -160,7 +161,7 @@ class Pipeline:
         s, d, b = self.spark, self.sf_dir, self.lote
         ce = fx.customer_events(s, d).filter(_lote("evento_ts", CUSTOMER_CUTOFF) == b)
         lines = ce.select(F.to_json(F.struct(*[
-            F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c) if c == "evento_ts" else F.col(c)
+            ntz_text(c).alias(c) if c == "evento_ts" else F.col(c)
             for c in ce.columns
         ])).alias("value"))
         ing.write_batch_json(lines, os.path.join(self.root, "landing", "clientes", f"lote={b}"))
@@ -256,7 +257,7 @@ class Pipeline:
             df.write.mode("errorifexists").parquet(self.table_path("gold", name))
             self.lineage([("silver", x) for x in srcs], ("gold", name))
         valid_orders = self.read("silver", "pedidos_eventos_validos", stream=True).select(
-            "quantidade", "preco_unitario", "status", "canal", F.col("pedido_ts").cast("timestamp").alias("pedido_ts"))
+            "quantidade", "preco_unitario", "status", "canal", ntz_to_instant("pedido_ts").alias("pedido_ts"))
         self.run_flow("pedidos_por_hora", orders_per_hour(valid_orders), "gold", "pedidos_por_hora",
                       sources=[("silver", "pedidos_eventos_validos")])
 

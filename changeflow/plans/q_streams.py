@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.timeutil import instant_to_ntz, ntz_to_instant
 from ..operators.quality import split_valid
 from ..sources import fixtures as fx
 from ..sources.tables import table_path
@@ -37,8 +38,8 @@ def hourly_windows(spark, sf_dir):
     run_available_now(stream, target)
     out = read_sink(spark, target)
     return out.select(
-        F.col("janela_inicio").cast("timestamp_ntz").alias("janela_inicio"),
-        F.col("janela_fim").cast("timestamp_ntz").alias("janela_fim"),
+        instant_to_ntz("janela_inicio").alias("janela_inicio"),
+        instant_to_ntz("janela_fim").alias("janela_fim"),
         "canal", "qtd_pedidos", r2("receita_estimada").alias("receita_estimada"),
     )
 
@@ -56,7 +57,7 @@ def latest_windows(spark, sf_dir):
 
 def dedup_sink(spark, sf_dir):
     target = StreamTarget.create(spark, "stream_dedup")
-    ev = events_stream(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    ev = events_stream(spark, sf_dir).withColumn("ts", ntz_to_instant("ts"))
     run_available_now(dedup_within_watermark(ev, ["user_id", "event_type"], "ts", "2 hours"), target)
     return read_sink(spark, target)
 

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.timeutil import ntz_text
+
 RESCUED = "_rescued_data"
 
 # Schema hints of the landing files.
@@ -118,7 +120,7 @@ def order_landing_lines(order_events: DataFrame) -> DataFrame:
     unparseable line (pedido_id % 101 = 7)."""
     cols = order_events.columns
     ev = order_events.select(*[
-        F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if c in ("pedido_ts", "evento_ts") else F.col(c) for c in cols
+        ntz_text(c).alias(c) if c in ("pedido_ts", "evento_ts") else F.col(c) for c in cols
     ])
     pid = F.col("pedido_id")
     base = F.to_json(F.struct(*[F.col(c) for c in cols]))
@@ -140,7 +142,7 @@ def product_landing(product_events: DataFrame) -> DataFrame:
         .otherwise(F.col("preco_lista").cast("string")).alias("preco_lista"),
         F.col("ativo").cast("string").alias("ativo"),
         "operacao",
-        F.date_format("atualizado_em", "yyyy-MM-dd HH:mm:ss").alias("atualizado_em"),
+        ntz_text("atualizado_em").alias("atualizado_em"),
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.timeutil import ntz_to_instant
 from ..sources.fixtures import CHANNELS
 from ..sources.tables import read_table
 
@@ -60,7 +61,7 @@ def order_creation_events(events: DataFrame) -> DataFrame:
         F.col("value").alias("preco_unitario"),
         status.alias("status"),
         canal.alias("canal"),
-        F.col("ts").cast("timestamp").alias("pedido_ts"),
+        ntz_to_instant("ts").alias("pedido_ts"),
     )
 
 

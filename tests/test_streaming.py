@@ -37,3 +37,19 @@ def test_dedup_within_watermark(spark, tmp_dir):
     s = spark.readStream.schema(SCHEMA).parquet(src)
     run_available_now(dedup_within_watermark(s, ["pedido_id", "pedido_ts"], "pedido_ts"), target)
     assert sorted(r.pedido_id for r in read_sink(spark, target).collect()) == [1, 2]
+
+
+def test_naive_times_ignore_session_zone(spark):
+    from changeflow.functions.timeutil import instant_to_ntz, ntz_text, ntz_to_instant
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        # 2001-10-14 00:00 does not exist on Sao Paulo wall clocks (DST start)
+        df = spark.sql("SELECT TIMESTAMP_NTZ '2001-10-14 00:00:00' AS t")
+        r = df.select(instant_to_ntz(ntz_to_instant("t")).alias("back"), ntz_text("t").alias("txt"),
+                      F.window(ntz_to_instant("t"), "1 hour").start.alias("w")).select(
+            "back", "txt", instant_to_ntz("w").alias("w")).first()
+        assert r.back == dt.datetime(2001, 10, 14) and r.txt == "2001-10-14 00:00:00" and r.w == dt.datetime(2001, 10, 14)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
