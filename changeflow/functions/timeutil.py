@@ -18,8 +18,15 @@ def _c(c) -> Column:
 
 
 def ntz_to_instant(c) -> Column:
-    """The instant whose UTC wall-clock time is the naive value."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), _c(c)))
+    """The instant whose UTC wall-clock time is the naive value (fields read as UTC)."""
+    x = _c(c)
+    seconds = F.extract(F.lit("SECOND"), x)  # seconds with the microsecond fraction
+    return F.make_timestamp(F.year(x), F.month(x), F.dayofmonth(x), F.hour(x), F.minute(x), seconds, F.lit("UTC"))
+
+
+def ntz_micros(c) -> Column:
+    """Microseconds since the epoch of a naive value read as UTC."""
+    return F.unix_micros(ntz_to_instant(c))
 
 
 def instant_to_ntz(c) -> Column:

@@ -17,13 +17,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.timeutil import ntz_micros
+
 ROWS_PER_FILE = 1_000_000
 
 
 def _numeric(df: DataFrame, c: str) -> Column:
     t = df.schema[c].dataType
     if isinstance(t, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), F.col(c))
+        return ntz_micros(c)
     if isinstance(t, T.TimestampType):
         return F.unix_micros(F.col(c))
     if isinstance(t, T.DateType):

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ..functions.jsonpath import expectations, json_path
+from ..functions.timeutil import ntz_micros
 from ..sources import fixtures as fx
 from . import gold, silver
 from . import oracle as O
@@ -66,7 +67,7 @@ def update_durations(spark, sf_dir):
     )
     return g.select(
         "update_id", "inicio", "fim",
-        (F.expr("timestampdiff(MICROSECOND, inicio, fim)") / F.lit(1_000_000.0)).alias("duracao_segundos"),
+        ((ntz_micros("fim") - ntz_micros("inicio")) / F.lit(1_000_000.0)).alias("duracao_segundos"),
     )
 
 
