@@ -53,3 +53,17 @@ def test_naive_times_ignore_session_zone(spark):
         assert r.back == dt.datetime(2001, 10, 14) and r.txt == "2001-10-14 00:00:00" and r.w == dt.datetime(2001, 10, 14)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_fail_rule_aborts_streaming_flow(spark, tmp_dir):
+    import pytest
+
+    from changeflow.operators.quality import split_valid
+    from changeflow.plans.silver import PRODUCT_RULES
+
+    src = os.path.join(tmp_dir, "produtos")
+    spark.createDataFrame([(1, "a"), (None, "b")], "produto_id bigint, nome_produto string").write.parquet(src)
+    stream = spark.readStream.schema("produto_id bigint, nome_produto string").parquet(src)
+    valid, _ = split_valid(stream, PRODUCT_RULES)
+    with pytest.raises(Exception, match="produto_id_obrigatorio"):
+        run_available_now(valid, StreamTarget.create(spark, "test_fail_stream"))
