@@ -274,6 +274,33 @@ class Pipeline:
         self.flush()
 
 
+STREAM_TABLES = (
+    ("bronze", "clientes_raw"), ("bronze", "pedidos_raw"), ("bronze", "produtos_raw"),
+    ("silver", "clientes_eventos_validos"), ("silver", "pedidos_eventos_validos"), ("silver", "pedidos_quarentena"),
+    ("silver", "produtos_eventos_validos"), ("gold", "pedidos_por_hora"),
+)
+BATCH_TABLES = (
+    ("silver", "clientes"), ("silver", "pedidos"), ("silver", "produtos"),
+    ("gold", "vendas_diarias_categoria"), ("gold", "funil_status_pedidos"), ("gold", "clientes_valor"),
+    ("gold", "dim_clientes"),
+)
+
+
+def register_tables(p: Pipeline) -> None:
+    """Expose a run to SQL: databases bronze / silver / gold / monitoring holding external parquet
+    tables over the run's folders (streaming tables, current CDC and gold versions, event log, lineage)."""
+    spark = p.spark
+    locations = {(layer, name): p.target(layer, name).path for layer, name in STREAM_TABLES}
+    locations.update({(layer, name): p.table_path(layer, name) for layer, name in BATCH_TABLES})
+    locations[("monitoring", "event_log")] = os.path.join(p.root, "_event_log")
+    locations[("monitoring", "lineage")] = os.path.join(p.root, "_lineage")
+    for db in sorted({layer for layer, _ in locations}):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{os.path.join(p.root, '_catalog', db)}'")
+    for (db, name), path in locations.items():
+        spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
+        spark.sql(f"CREATE TABLE {db}.{name} USING parquet LOCATION '{path}'")
+
+
 def run_pipeline(spark: SparkSession, sf_dir: str, updates: Sequence[int] = (1, 2)) -> Pipeline:
     p = Pipeline(spark, sf_dir)
     for lote in updates:
@@ -289,4 +316,5 @@ def pipeline_run(spark: SparkSession, sf_dir: str) -> Pipeline:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
         _RUNS[key] = run_pipeline(spark, sf_dir)
+    register_tables(_RUNS[key])
     return _RUNS[key]

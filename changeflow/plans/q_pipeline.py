@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.jsonpath import expectations, json_path
 from . import oracle as O
 from . import silver
-from .pipeline import CUSTOMER_CUTOFF, pipeline_run
+from .pipeline import BATCH_TABLES, CUSTOMER_CUTOFF, STREAM_TABLES, pipeline_run
 from .q_ingest import BRONZE_ORDERS, BRONZE_PRODUCTS
 from .registry import query
 
@@ -67,16 +67,6 @@ LAYER_SQL = """SELECT * FROM (
   UNION ALL SELECT 'gold', 'dim_clientes', (SELECT count(*) FROM scd2_customers WHERE __END_AT IS NULL)
   UNION ALL SELECT 'gold', 'pedidos_por_hora', (SELECT count(*) FROM p_hourly)) x"""
 
-STREAM_TABLES = (
-    ("bronze", "clientes_raw"), ("bronze", "pedidos_raw"), ("bronze", "produtos_raw"),
-    ("silver", "clientes_eventos_validos"), ("silver", "pedidos_eventos_validos"), ("silver", "pedidos_quarentena"),
-    ("silver", "produtos_eventos_validos"),
-)
-BATCH_TABLES = (
-    ("silver", "clientes"), ("silver", "pedidos"), ("silver", "produtos"),
-    ("gold", "vendas_diarias_categoria"), ("gold", "funil_status_pedidos"), ("gold", "clientes_valor"),
-    ("gold", "dim_clientes"),
-)
 
 
 @query("pipeline_layer_counts", O.with_(*P_ALL) + LAYER_SQL)
@@ -85,7 +75,6 @@ def pipeline_layer_counts(spark, sf_dir):
     p = pipeline_run(spark, sf_dir)
     frames = [(l, n, p.read(l, n)) for l, n in STREAM_TABLES]
     frames += [(l, n, p.current(l, n)) for l, n in BATCH_TABLES]
-    frames.append(("gold", "pedidos_por_hora", p.read("gold", "pedidos_por_hora")))
     counts = [
         df.agg(F.count(F.lit(1)).alias("linhas")).select(F.lit(l).alias("camada"), F.lit(n).alias("tabela"), "linhas")
         for l, n, df in frames
@@ -155,3 +144,66 @@ def pipeline_flow_rows(spark, sf_dir):
         F.sum(F.coalesce(json_path("details", "flow_progress.data_quality.dropped_records", "bigint"), F.lit(0)))
         .cast("bigint").alias("linhas_descartadas"),
     )
+
+
+# ---------------------------------------------------------------- SQL over the registered tables
+
+
+@query(
+    "sql_orders_by_status",
+    O.with_(*P_ALL) + "SELECT status, count(*) AS qtd FROM p_scd1_orders GROUP BY status",
+)
+def sql_orders_by_status(spark, sf_dir):
+    """Current orders per status, as SQL over ``silver.pedidos``."""
+    pipeline_run(spark, sf_dir)
+    return spark.sql("SELECT status, count(*) AS qtd FROM silver.pedidos GROUP BY status")
+
+
+@query(
+    "sql_scd2_versions",
+    O.with_(*P_ALL)
+    + """SELECT count(*) FILTER (WHERE __END_AT IS NULL) AS versoes_vigentes,
+       count(*) FILTER (WHERE __END_AT IS NOT NULL) AS versoes_historicas,
+       count(DISTINCT cliente_id) AS clientes_distintos FROM scd2_customers""",
+)
+def sql_scd2_versions(spark, sf_dir):
+    """Current vs historical versions of ``silver.clientes`` (SCD2), as SQL."""
+    pipeline_run(spark, sf_dir)
+    return spark.sql(
+        "SELECT count_if(__END_AT IS NULL) AS versoes_vigentes, count_if(__END_AT IS NOT NULL) AS versoes_historicas, "
+        "count(DISTINCT cliente_id) AS clientes_distintos FROM silver.clientes"
+    )
+
+
+@query(
+    "sql_quarantine_by_rule",
+    O.with_(*P_ALL)
+    + """SELECT regra, count(*) AS qtd FROM (SELECT unnest(string_split(regras_violadas, ',')) AS regra FROM p_quarantine) x
+GROUP BY regra""",
+)
+def sql_quarantine_by_rule(spark, sf_dir):
+    """Quarantined orders per violated rule, as SQL over ``silver.pedidos_quarentena``."""
+    pipeline_run(spark, sf_dir)
+    return spark.sql(
+        "SELECT regra, count(*) AS qtd FROM silver.pedidos_quarentena "
+        "LATERAL VIEW explode(split(regras_violadas, ',')) r AS regra GROUP BY regra"
+    )
+
+
+@query(
+    "sql_expectations",
+    O.with_(*P_ALL) + "SELECT dataset, regra, CAST(total_aprovados AS BIGINT) AS total_aprovados, "
+    "CAST(total_reprovados AS BIGINT) AS total_reprovados FROM (" + QUALITY_SQL + ") q",
+)
+def sql_expectations(spark, sf_dir):
+    """Expectation totals from ``monitoring.event_log``, as SQL with a JSON path and a typed array parse."""
+    pipeline_run(spark, sf_dir)
+    return spark.sql(
+        """SELECT e.dataset AS dataset, e.name AS regra, sum(e.passed_records) AS total_aprovados,
+                  sum(e.failed_records) AS total_reprovados
+           FROM monitoring.event_log
+           LATERAL VIEW explode(from_json(get_json_object(details, '$.flow_progress.data_quality.expectations'),
+               'array<struct<name:string,dataset:string,passed_records:bigint,failed_records:bigint>>')) x AS e
+           WHERE event_type = 'flow_progress'
+           GROUP BY e.dataset, e.name"""
+    )
