@@ -30,8 +30,16 @@ class StreamTarget:
 
 
 def run_available_now(stream: DataFrame, target: StreamTarget, output_mode: str = "append",
-                      query_name: str | None = None):
-    """Process everything available now, then stop. Returns the finished StreamingQuery."""
+                      query_name: str | None = None, state_partitions: int | None = None):
+    """Process everything available now, then stop. Returns the finished StreamingQuery.
+
+    Stateful operators (windows, dedup) keep one state-store partition per shuffle
+    partition, fixed in the checkpoint at the first start and never coalesced by
+    AQE. They are sized to the cluster's parallelism (or ``state_partitions``)
+    rather than to the batch-query setting; the session value is restored after
+    the query has cloned its own session.
+    """
+    spark = stream.sparkSession
     w = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", target.checkpoint)
@@ -40,7 +48,14 @@ def run_available_now(stream: DataFrame, target: StreamTarget, output_mode: str
     )
     if query_name:
         w = w.queryName(query_name)
-    q = w.start(target.path)
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        q = w.start(target.path)
+    finally:
+        spark.conf.set(key, previous)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
