@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from typing import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .skew import HOT_ROWS, lead_sequence
@@ -96,8 +96,7 @@ def apply_incremental(
     return kept.unionByName(rebuilt)
 
 
-class MergeError(ValueError):
-    pass
+MERGE_DUPLICATE = "MERGE source has several rows for one target key"
 
 
 def merge_upsert(
@@ -114,19 +113,22 @@ def merge_upsert(
     WHEN MATCHED [AND matched_condition] THEN UPDATE SET col = expr (``update_set``;
     None = all source columns); WHEN NOT MATCHED THEN INSERT * (if ``insert``).
     In ``matched_condition`` and ``update_set`` expressions, refer to the target
-    as ``t.col`` and to the source as ``s.col``. Several source rows for one
-    target key is an error, as in SQL MERGE.
+    as ``t.col`` and to the source as ``s.col``. Several source rows matching one
+    target row abort the job, as in SQL MERGE.
 
     One full-outer join on the keys (a shuffle of both sides on the key; keys are
     unique on both sides, so there is no skew). ``action_col`` (optional) tags
     each output row with update / insert / copy for commit metrics.
     """
     on = list(on)
-    dups = source.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").limit(1).count()
-    if dups:
-        raise MergeError("MERGE source has several rows for one target key")
     t = target.withColumn("_t_present", F.lit(True)).alias("t")
-    s = source.withColumn("_s_present", F.lit(True)).alias("s")
+    # Rows per source key, counted in the same job: the window hash-partitions the source on the
+    # keys and the join reuses that partitioning, so the check costs no extra pass over the source.
+    s = (
+        source.withColumn("_s_rows", F.count(F.lit(1)).over(Window.partitionBy(*on)))
+        .withColumn("_s_present", F.lit(True))
+        .alias("s")
+    )
     cond = None
     for k in on:
         c = F.col(f"t.{k}") == F.col(f"s.{k}")
@@ -148,5 +150,6 @@ def merge_upsert(
         )
     action = F.when(matched, "update").when(inserted, "insert").otherwise("copy")
     keep = tp | (inserted if insert else F.lit(False))
-    res = j.filter(keep).select(*out_cols, action.alias("_merge_action"))
+    single = F.when(tp & sp & (F.col("s._s_rows") > 1), F.raise_error(F.lit(MERGE_DUPLICATE))).otherwise(F.lit(True))
+    res = j.filter(single).filter(keep).select(*out_cols, action.alias("_merge_action"))
     return res.withColumnRenamed("_merge_action", action_col) if action_col else res.drop("_merge_action")

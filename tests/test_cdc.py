@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from changeflow.operators.cdc import MergeError, apply_incremental, apply_scd1, apply_scd2, merge_upsert
+from changeflow.operators.cdc import apply_incremental, apply_scd1, apply_scd2, merge_upsert
 from changeflow.operators.skew import lead_sequence
 
 LOG = "k int, seq bigint, op string, v string"
@@ -84,8 +84,11 @@ def test_merge_updates_inserts_and_rejects_duplicate_keys(spark):
     out = merge_upsert(target, source, ["k"], matched_condition="t.s != s.s", update_set={"s": "s.s"}, action_col="a")
     assert _rows(out, ["k", "s", "a"]) == [(1, "A", "copy"), (2, "B", "copy"), (3, "X", "update"), (4, "D", "insert")]
     dup = spark.createDataFrame([(2, "B"), (2, "Z")], "k int, s string")
-    with pytest.raises(MergeError):
-        merge_upsert(target, dup, ["k"])
+    with pytest.raises(Exception, match="several rows for one target key"):
+        merge_upsert(target, dup, ["k"]).collect()
+    # duplicates that match no target row are inserted, as in SQL MERGE
+    fresh = spark.createDataFrame([(9, "x"), (9, "y")], "k int, s string")
+    assert merge_upsert(target, fresh, ["k"]).filter("k = 9").count() == 2
 
 
 def test_scd2_bucketed_path_on_real_log(spark):
