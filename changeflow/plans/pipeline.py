@@ -157,18 +157,28 @@ class Pipeline:
         self.lineage(sources, (layer, dataset))
 
     # -- stages -----------------------------------------------------------------------------
+    def _exists(self, path: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
     def land(self) -> None:
+        """Write this update's landing batch once: a folder with ``_SUCCESS`` is never rewritten,
+        so re-running an update after a failure does not feed the streams twice."""
         s, d, b = self.spark, self.sf_dir, self.lote
-        ce = fx.customer_events(s, d).filter(_lote("evento_ts", CUSTOMER_CUTOFF) == b)
-        lines = ce.select(F.to_json(F.struct(*[
-            ntz_text(c).alias(c) if c == "evento_ts" else F.col(c)
-            for c in ce.columns
-        ])).alias("value"))
-        ing.write_batch_json(lines, os.path.join(self.root, "landing", "clientes", f"lote={b}"))
-        oe = fx.order_events(s, d).filter(_lote("evento_ts", ORDER_CUTOFF) == b)
-        ing.write_batch_json(ing.order_landing_lines(oe), os.path.join(self.root, "landing", "pedidos", f"lote={b}"))
-        pe = fx.product_events(s, d).filter(_lote("atualizado_em", PRODUCT_FIRST, first_when_equal=True) == b)
-        ing.write_batch_csv(ing.product_landing(pe), os.path.join(self.root, "landing", "produtos", f"lote={b}"))
+        folder = lambda e: os.path.join(self.root, "landing", e, f"lote={b}")
+        if not self._exists(os.path.join(folder("clientes"), "_SUCCESS")):
+            ce = fx.customer_events(s, d).filter(_lote("evento_ts", CUSTOMER_CUTOFF) == b)
+            lines = ce.select(F.to_json(F.struct(*[
+                ntz_text(c).alias(c) if c == "evento_ts" else F.col(c) for c in ce.columns
+            ])).alias("value"))
+            lines.write.mode("overwrite").text(folder("clientes"))
+        if not self._exists(os.path.join(folder("pedidos"), "_SUCCESS")):
+            oe = fx.order_events(s, d).filter(_lote("evento_ts", ORDER_CUTOFF) == b)
+            ing.order_landing_lines(oe).select("value").write.mode("overwrite").text(folder("pedidos"))
+        if not self._exists(os.path.join(folder("produtos"), "_SUCCESS")):
+            pe = fx.product_events(s, d).filter(_lote("atualizado_em", PRODUCT_FIRST, first_when_equal=True) == b)
+            ing.product_landing(pe).write.mode("overwrite").option("header", True).csv(folder("produtos"))
 
     def bronze(self) -> None:
         s = self.spark
@@ -213,7 +223,12 @@ class Pipeline:
                       sources=[("bronze", "produtos_raw")])
 
     def silver_cdc(self) -> None:
-        """Rebuild the CDC targets for the keys this update touched (incremental apply)."""
+        """Rebuild the CDC targets for the keys this update touched (incremental apply).
+
+        Each update writes its own folder (``update=<n>``) from the previous update's
+        folder and the append-only log, so re-running an update overwrites it with
+        the same rows.
+        """
         specs = (
             ("clientes", "clientes_eventos_validos", ["cliente_id"], silver.customers_scd2,
              ("cliente_id", "nome", "email", "cpf", "telefone", "cidade", "uf", "data_nascimento", "operacao",
@@ -235,7 +250,7 @@ class Pipeline:
             from pyspark.sql import Observation
 
             written = Observation(f"{name}-cdc-{self.lote}")
-            out.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(
+            out.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
                 self.table_path("silver", name))
             self.log("flow_progress", f"{name}_cdc_flow", f"cdc {name} applied",
                      {"flow_progress": {"status": "COMPLETED", "metrics": {"num_output_rows": written.get["rows"]},
@@ -254,7 +269,7 @@ class Pipeline:
             "dim_clientes": (gold.masked_dimension_source(current), ["clientes"]),
         }
         for name, (df, srcs) in datasets.items():
-            df.write.mode("errorifexists").parquet(self.table_path("gold", name))
+            df.write.mode("overwrite").parquet(self.table_path("gold", name))
             self.lineage([("silver", x) for x in srcs], ("gold", name))
         valid_orders = self.read("silver", "pedidos_eventos_validos", stream=True).select(
             "quantidade", "preco_unitario", "status", "canal", ntz_to_instant("pedido_ts").alias("pedido_ts"))

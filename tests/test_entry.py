@@ -53,3 +53,16 @@ def test_query_matches_oracle(spark, duck, key):
     d_cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(d_cols)
     assert rows_key(df.columns, s_rows) == rows_key(d_cols, res.fetchall())
+
+
+def test_pipeline_update_rerun_is_idempotent(spark):
+    """Re-running an update (as after a driver failure) re-reads no landing file twice."""
+    from changeflow.plans.pipeline import Pipeline
+
+    p = Pipeline(spark, SF_SMOKE)
+    p.update(1)
+    counts = {n: p.read("silver", n).count() for n in ("pedidos_eventos_validos", "pedidos_quarentena")}
+    current = p.current("silver", "clientes").count()
+    p.update(1)
+    assert {n: p.read("silver", n).count() for n in counts} == counts
+    assert p.current("silver", "clientes").count() == current
