@@ -113,10 +113,7 @@ def observe_rules(df: DataFrame, rules: Sequence[Rule], name: str):
     from pyspark.sql import Observation
 
     obs = Observation(name)
-    metrics = [F.count(F.lit(1)).alias("rows")]
-    metrics += [F.count_if(~r.passes()).alias(f"failed_{r.name}") for r in rules]
-    metrics.append(F.count_if(~valid_condition(rules)).alias("dropped_records"))
-    return df.observe(obs, *metrics), obs
+    return df.observe(obs, *rule_metric_columns(rules)), obs
 
 
 def rule_metric_columns(rules: Sequence[Rule]) -> list[Column]:

@@ -34,11 +34,6 @@ def ntz(t: dt.datetime) -> Column:
     return F.expr(f"TIMESTAMP_NTZ '{t:%Y-%m-%d %H:%M:%S}'")
 
 
-def _not_true(pred: str | Column) -> Column:
-    c = F.expr(pred) if isinstance(pred, str) else pred
-    return ~F.coalesce(c, F.lit(False))
-
-
 def update_rows(df: DataFrame, set_exprs: Mapping[str, str], where: str | Column) -> DataFrame:
     """UPDATE ... SET col = expr WHERE pred; adds ``_touched`` (row matched the predicate)."""
     cond = F.coalesce(F.expr(where) if isinstance(where, str) else where, F.lit(False))

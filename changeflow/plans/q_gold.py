@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..sources import fixtures as fx
 from . import gold, silver
 from . import oracle as O
 from .registry import query, r2

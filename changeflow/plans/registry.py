@@ -35,10 +35,6 @@ def r2(c) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 2)
 
 
-def big(c) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("bigint")
-
-
 def side_by_side(*one_row: DataFrame) -> DataFrame:
     """Scalar subqueries in one row: union the one-row aggregates, then max() per column.
 

@@ -31,8 +31,7 @@ REGION_POLICY = [
     ("other", "BA"),
 ]
 
-# Order status and channel domains.
-ORDER_STATUSES = ("CRIADO", "PAGO", "ENVIADO", "ENTREGUE", "CANCELADO")
+# Sales channels.
 CHANNELS = ("site", "app", "marketplace", "loja_fisica")
 
 

@@ -11,8 +11,6 @@ map functions — no Python per row.
 
 from __future__ import annotations
 
-from typing import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -152,7 +150,3 @@ def write_batch_json(lines: DataFrame, path: str) -> None:
 
 def write_batch_csv(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").option("header", True).csv(path)
-
-
-def columns(schema: T.StructType) -> Sequence[str]:
-    return [f.name for f in schema.fields]

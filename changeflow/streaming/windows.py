@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 
 from ..functions.timeutil import ntz_to_instant
 from ..sources.fixtures import CHANNELS
-from ..sources.tables import read_table
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -86,7 +85,3 @@ def orders_per_hour(orders: DataFrame, delay: str = "2 hours", window: str = "1
 def dedup_within_watermark(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str = "2 hours") -> DataFrame:
     """Drop repeats of ``keys`` seen within the watermark delay (state bounded by the delay)."""
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
-
-
-def events_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "events")
