@@ -29,6 +29,10 @@ class StreamTarget:
         return cls(os.path.join(root, "data"), os.path.join(root, "_checkpoint"))
 
 
+STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def run_available_now(stream: DataFrame, target: StreamTarget, output_mode: str = "append",
                       query_name: str | None = None, state_partitions: int | None = None):
     """Process everything available now, then stop. Returns the finished StreamingQuery.
@@ -36,8 +40,9 @@ def run_available_now(stream: DataFrame, target: StreamTarget, output_mode: str
     Stateful operators (windows, dedup) keep one state-store partition per shuffle
     partition, fixed in the checkpoint at the first start and never coalesced by
     AQE. They are sized to the cluster's parallelism (or ``state_partitions``)
-    rather than to the batch-query setting; the session value is restored after
-    the query has cloned its own session.
+    rather than to the batch-query setting, and kept in the RocksDB state store
+    unless the session chose another provider; the session values are restored
+    once the query has cloned its own session.
     """
     spark = stream.sparkSession
     w = (
@@ -49,13 +54,22 @@ def run_available_now(stream: DataFrame, target: StreamTarget, output_mode: str
     if query_name:
         w = w.queryName(query_name)
     n = state_partitions or spark.sparkContext.defaultParallelism
-    key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, str(n))
+    settings = {"spark.sql.shuffle.partitions": str(n)}
+    if spark.conf.get(STATE_PROVIDER_CONF, None) is None or spark.conf.get(STATE_PROVIDER_CONF).endswith(
+            "HDFSBackedStateStoreProvider"):
+        # State beyond executor memory: RocksDB keeps it on local disk, checkpointed to the shared folder.
+        settings[STATE_PROVIDER_CONF] = ROCKSDB_PROVIDER
+    previous = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         q = w.start(target.path)
     finally:
-        spark.conf.set(key, previous)
+        for k, v in previous.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
