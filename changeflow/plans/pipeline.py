@@ -26,6 +26,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +38,7 @@ from ..operators.quality import Rule, rule_metric_columns, split_valid
 from ..session import work_dir
 from ..sources import fixtures as fx
 from ..sources import ingest as ing
-from ..streaming.runner import StreamTarget, run_available_now
+from ..streaming.runner import StreamTarget, await_query, start_available_now
 from ..streaming.windows import orders_per_hour
 from . import gold, silver
 
@@ -73,6 +74,19 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
+@dataclass(frozen=True)
+class Flow:
+    """One streaming flow: input stream, target table, its rules and its upstream tables."""
+
+    flow: str
+    stream: DataFrame
+    layer: str
+    dataset: str
+    rules: tuple = ()
+    sources: tuple = ()
+    output: object = None
+
+
 class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None):
         self.spark = spark
@@ -125,19 +139,30 @@ class Pipeline:
 
     def run_flow(self, flow: str, stream: DataFrame, layer: str, dataset: str, rules: Sequence[Rule] = (),
                  sources: Sequence[tuple[str, str]] = (), output=None) -> None:
-        """Run one streaming flow to completion and log its progress and quality.
+        """Run one streaming flow to completion and log its progress and quality."""
+        self.run_flows([Flow(flow, stream, layer, dataset, tuple(rules), tuple(sources), output)])
+
+    def run_flows(self, flows: Sequence["Flow"]) -> None:
+        """Run independent streaming flows concurrently (one query each), then log each one.
 
-        The rule counters observe the flow's *input*; the output is the valid
-        side of ``rules`` (or ``output(observed_input)`` when given).
+        The rule counters observe a flow's *input*; its output is the valid side of
+        its rules (or ``output(observed_input)`` when given).
         """
-        observed = stream.observe(flow, *rule_metric_columns(rules))
-        out = output(observed) if output is not None else split_valid(observed, rules)[0]
-        out = out.observe(f"{flow}__out", F.count(F.lit(1)).alias("output_rows"))
-        q = run_available_now(out, self.target(layer, dataset), query_name=None)
+        started = []
+        for f in flows:
+            observed = f.stream.observe(f.flow, *rule_metric_columns(f.rules))
+            out = f.output(observed) if f.output is not None else split_valid(observed, f.rules)[0]
+            out = out.observe(f"{f.flow}__out", F.count(F.lit(1)).alias("output_rows"))
+            started.append((f, start_available_now(out, self.target(f.layer, f.dataset))))
+        for f, q in started:
+            await_query(q)
+            self._log_flow(f, q)
+
+    def _log_flow(self, f: "Flow", q) -> None:
         totals: dict[str, int] = {}
         for p in q.recentProgress:
             metrics = getattr(p, "observedMetrics", None) or (p.get("observedMetrics") if isinstance(p, dict) else None) or {}
-            for name in (flow, f"{flow}__out"):
+            for name in (f.flow, f"{f.flow}__out"):
                 row = metrics.get(name)
                 if row is None:
                     continue
@@ -145,16 +170,16 @@ class Pipeline:
                     totals[k] = totals.get(k, 0) + int(v or 0)
         n = totals.get("rows", 0)
         expectations = [
-            {"name": r.name, "dataset": dataset, "passed_records": n - totals.get(f"failed_{r.name}", 0),
+            {"name": r.name, "dataset": f.dataset, "passed_records": n - totals.get(f"failed_{r.name}", 0),
              "failed_records": totals.get(f"failed_{r.name}", 0)}
-            for r in rules
+            for r in f.rules
         ]
-        dropped = totals.get("dropped_records", 0) if any(r.action == "drop" for r in rules) else 0
+        dropped = totals.get("dropped_records", 0) if any(r.action == "drop" for r in f.rules) else 0
         details = {"flow_progress": {"status": "COMPLETED",
                                      "metrics": {"num_output_rows": totals.get("output_rows", 0)},
                                      "data_quality": {"dropped_records": dropped, "expectations": expectations}}}
-        self.log("flow_progress", flow, f"flow {flow} completed", details)
-        self.lineage(sources, (layer, dataset))
+        self.log("flow_progress", f.flow, f"flow {f.flow} completed", details)
+        self.lineage(f.sources, (f.layer, f.dataset))
 
     # -- stages -----------------------------------------------------------------------------
     def _exists(self, path: str) -> bool:
@@ -188,16 +213,18 @@ class Pipeline:
             ("pedidos", ing.json_stream(s, land("pedidos"), ing.schema_with_hints(ing.ORDER_HINTS))),
             ("produtos", ing.csv_stream(s, land("produtos"), ing.schema_with_hints(ing.PRODUCT_HINTS))),
         )
-        for entity, stream in specs:
-            self.run_flow(f"{entity}_raw", stream.withColumn("lote", ing.batch_of()), "bronze", f"{entity}_raw",
-                          RESCUE_RULES, sources=[("landing", entity)])
+        self.run_flows([
+            Flow(f"{entity}_raw", stream.withColumn("lote", ing.batch_of()), "bronze", f"{entity}_raw",
+                 RESCUE_RULES, (("landing", entity),))
+            for entity, stream in specs
+        ])
 
     def silver_validate(self) -> None:
         raw_c = self.read("bronze", "clientes_raw", stream=True)
         cust = silver.standardize_customers(
             raw_c.withColumn("evento_ts", F.expr("try_cast(evento_ts AS TIMESTAMP_NTZ)")), keep=("lote",))
-        self.run_flow("clientes_eventos_validos", cust, "silver", "clientes_eventos_validos",
-                      silver.CUSTOMER_RULES, sources=[("bronze", "clientes_raw")])
+        flows = [Flow("clientes_eventos_validos", cust, "silver", "clientes_eventos_validos",
+                      silver.CUSTOMER_RULES, (("bronze", "clientes_raw"),))]
 
         raw_o = self.read("bronze", "pedidos_raw", stream=True)
         orders = raw_o.select(
@@ -206,21 +233,22 @@ class Pipeline:
             F.expr("try_cast(evento_ts AS TIMESTAMP_NTZ)").alias("evento_ts"),
             "lote",
         )
-        self.run_flow("pedidos_eventos_validos", orders, "silver", "pedidos_eventos_validos", silver.ORDER_RULES,
-                      sources=[("bronze", "pedidos_raw")])
+        flows.append(Flow("pedidos_eventos_validos", orders, "silver", "pedidos_eventos_validos", silver.ORDER_RULES,
+                          (("bronze", "pedidos_raw"),)))
         # Second consumer of the same bronze source, with its own checkpoint: the quarantine.
         quarantine = lambda df: split_valid(df, silver.ORDER_RULES)[1].withColumn(
             "regras_violadas", F.array_join("regras_violadas", ","))
-        self.run_flow("pedidos_quarentena", orders, "silver", "pedidos_quarentena",
-                      sources=[("bronze", "pedidos_raw")], output=quarantine)
+        flows.append(Flow("pedidos_quarentena", orders, "silver", "pedidos_quarentena", (),
+                          (("bronze", "pedidos_raw"),), quarantine))
 
         raw_p = self.read("bronze", "produtos_raw", stream=True)
         products = raw_p.select(
             "produto_id", "nome_produto", "categoria_id", "preco_lista", "ativo", "operacao",
             F.expr("try_cast(atualizado_em AS TIMESTAMP_NTZ)").alias("atualizado_em"), "lote",
         )
-        self.run_flow("produtos_eventos_validos", products, "silver", "produtos_eventos_validos", silver.PRODUCT_RULES,
-                      sources=[("bronze", "produtos_raw")])
+        flows.append(Flow("produtos_eventos_validos", products, "silver", "produtos_eventos_validos",
+                          silver.PRODUCT_RULES, (("bronze", "produtos_raw"),)))
+        self.run_flows(flows)
 
     def silver_cdc(self) -> None:
         """Rebuild the CDC targets for the keys this update touched (incremental apply).

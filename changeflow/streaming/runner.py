@@ -35,7 +35,21 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 
 def run_available_now(stream: DataFrame, target: StreamTarget, output_mode: str = "append",
                       query_name: str | None = None, state_partitions: int | None = None):
-    """Process everything available now, then stop. Returns the finished StreamingQuery.
+    """Process everything available now, then stop. Returns the finished StreamingQuery."""
+    return await_query(start_available_now(stream, target, output_mode, query_name, state_partitions))
+
+
+def await_query(q):
+    """Wait for an availableNow query to finish; re-raise its failure."""
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return q
+
+
+def start_available_now(stream: DataFrame, target: StreamTarget, output_mode: str = "append",
+                        query_name: str | None = None, state_partitions: int | None = None):
+    """Start an availableNow query (it runs in the background until the input is drained).
 
     Stateful operators (windows, dedup) keep one state-store partition per shuffle
     partition, fixed in the checkpoint at the first start and never coalesced by
@@ -70,9 +84,6 @@ def run_available_now(stream: DataFrame, target: StreamTarget, output_mode: str
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
     return q
 
 
