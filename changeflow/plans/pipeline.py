@@ -304,17 +304,24 @@ class Pipeline:
         self.run_flow("pedidos_por_hora", orders_per_hour(valid_orders), "gold", "pedidos_por_hora",
                       sources=[("silver", "pedidos_eventos_validos")])
 
-    def update(self, lote: int) -> None:
+    STAGES = ("land", "bronze", "silver_validate", "silver_cdc", "gold")
+
+    def update(self, lote: int) -> dict[str, float]:
+        """Run one update; returns the seconds spent per stage."""
+        import time
+
         self.lote = lote
         self.update_id = f"update-{lote}"
         self.log("update_progress", "pipeline", "update started", {"update_progress": {"state": "RUNNING"}})
-        self.land()
-        self.bronze()
-        self.silver_validate()
-        self.silver_cdc()
-        self.gold()
-        self.log("update_progress", "pipeline", "update completed", {"update_progress": {"state": "COMPLETED"}})
+        seconds = {}
+        for stage in self.STAGES:
+            t0 = time.perf_counter()
+            getattr(self, stage)()
+            seconds[stage] = time.perf_counter() - t0
+        self.log("update_progress", "pipeline", "update completed",
+                 {"update_progress": {"state": "COMPLETED", "stage_seconds": {k: round(v, 3) for k, v in seconds.items()}}})
         self.flush()
+        return seconds
 
 
 STREAM_TABLES = (
