@@ -207,3 +207,27 @@ def sql_expectations(spark, sf_dir):
            WHERE event_type = 'flow_progress'
            GROUP BY e.dataset, e.name"""
     )
+
+
+P_FEED = """p_feed AS (
+  SELECT CASE WHEN o.pedido_id IS NULL THEN 'insert' ELSE 'delete' END AS t
+  FROM p_scd1_orders_1 o FULL JOIN p_scd1_orders n ON o.pedido_id = n.pedido_id
+  WHERE o.pedido_id IS NULL OR n.pedido_id IS NULL
+  UNION ALL
+  SELECT unnest(['update_preimage', 'update_postimage']) AS t
+  FROM p_scd1_orders_1 o JOIN p_scd1_orders n ON o.pedido_id = n.pedido_id
+  WHERE o.cliente_id IS DISTINCT FROM n.cliente_id OR o.produto_id IS DISTINCT FROM n.produto_id
+     OR o.quantidade IS DISTINCT FROM n.quantidade OR o.preco_unitario IS DISTINCT FROM n.preco_unitario
+     OR o.status IS DISTINCT FROM n.status OR o.canal IS DISTINCT FROM n.canal OR o.pedido_ts IS DISTINCT FROM n.pedido_ts)"""
+
+
+@query("pipeline_change_feed", O.with_(*P_ALL, P_FEED) + "SELECT t AS _change_type, count(*) AS qtd FROM p_feed GROUP BY t")
+def pipeline_change_feed(spark, sf_dir):
+    """Row changes of ``silver.pedidos`` made by the second update (its version 1 -> version 2), by type."""
+    from ..operators.snapshots import change_feed
+
+    p = pipeline_run(spark, sf_dir)
+    cols = [c for c in silver.ORDER_COLUMNS if c != "evento_ts"]
+    before = spark.read.parquet(p.table_path("silver", "pedidos", 1)).select(*cols)
+    after = spark.read.parquet(p.table_path("silver", "pedidos", 2)).select(*cols)
+    return change_feed(before, after, ["pedido_id"]).groupBy("_change_type").agg(F.count(F.lit(1)).alias("qtd"))
