@@ -72,11 +72,24 @@ def zorder(df: DataFrame, cols: Sequence[str], rows_per_file: int = ROWS_PER_FIL
     bounds = _bounds(df, list(cols))
     parts = max(1, math.ceil(bounds[1]["_n"] / rows_per_file))
     key = zorder_key(df, cols, bounds=bounds)
-    return df.withColumn("_z", key).repartitionByRange(parts, "_z").sortWithinPartitions("_z").drop("_z")
+    # A deterministic row hash as the second range key lets rows sharing one Z value (a hot
+    # customer on one day) spread over several files instead of one task.
+    return (
+        df.withColumn("_z", key).withColumn("_h", _row_hash(df))
+        .repartitionByRange(parts, "_z", "_h").sortWithinPartitions("_z", "_h").drop("_z", "_h")
+    )
 
 
 def clustered(df: DataFrame, cols: Sequence[str], rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
     """Liquid-clustering-like layout: range partitions on ``cols``, sorted within each file."""
     n = df.count()
     parts = max(1, math.ceil(n / rows_per_file))
-    return df.repartitionByRange(parts, *cols).sortWithinPartitions(*cols)
+    return (
+        df.withColumn("_h", _row_hash(df)).repartitionByRange(parts, *cols, "_h")
+        .sortWithinPartitions(*cols, "_h").drop("_h")
+    )
+
+
+def _row_hash(df: DataFrame) -> Column:
+    """Deterministic hash of the whole row (stable across task retries)."""
+    return F.xxhash64(*[F.col(c) for c in df.columns])

@@ -45,3 +45,15 @@ def test_zorder_keeps_rows_and_prunes_files(spark, tmp_dir):
     total = len(back.inputFiles())
     hit = back.filter((F.col("a") < 10) & (F.col("b") < 50)).select(F.input_file_name()).distinct().count()
     assert total >= 10 and hit < total / 2
+
+
+def test_layout_splits_a_hot_key(spark, tmp_dir):
+    from changeflow.operators.layout import clustered
+
+    df = spark.range(0, 12000).select(F.when(F.col("id") < 8000, F.lit(1)).otherwise(F.col("id")).alias("a"), "id")
+    for out, name in ((zorder(df, ["a"], rows_per_file=1000), "z"), (clustered(df, ["a"], rows_per_file=1000), "c")):
+        out.write.parquet(f"{tmp_dir}/{name}")
+        back = spark.read.parquet(f"{tmp_dir}/{name}")
+        assert back.count() == 12000
+        hot_files = back.filter("a = 1").select(F.input_file_name()).distinct().count()
+        assert hot_files >= 4  # 8,000 rows of one value spread over several files
