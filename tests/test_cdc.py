@@ -101,3 +101,12 @@ def test_scd2_bucketed_path_on_real_log(spark):
     plain = silver.customers_scd2(log)
     split = silver.customers_scd2(log, hot_rows=5)
     assert _rows(split, cols) == _rows(plain, cols)
+
+
+def test_hot_key_split_with_timestamp_sequence(spark):
+    rows = [(0, f"2024-01-01 00:{m:02d}:{s:02d}", "UPDATE", "x") for m in range(10) for s in range(0, 60, 7)]
+    rows += [(1, "2024-01-02 00:00:00", "UPDATE", "y"), (1, "2024-01-03 00:00:00", "DELETE", None)]
+    log = spark.createDataFrame(rows, LOG.replace("seq bigint", "seq string")).withColumn(
+        "seq", F.col("seq").cast("timestamp_ntz"))
+    cols = ["k", "seq", "_next_seq"]
+    assert _rows(lead_sequence(log, ["k"], "seq", hot_rows=7), cols) == _rows(lead_sequence(log, ["k"], "seq"), cols)
