@@ -37,16 +37,23 @@ def apply_scd1(
     delete_when: str | Column | None = None,
     except_cols: Sequence[str] = (),
     tiebreak: Sequence[str] = (),
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Current state per key: the event with the greatest (sequence, *tiebreak), dropped if it is a delete."""
+    """Current state per key: the event with the greatest (sequence, *tiebreak), dropped if it is a delete.
+
+    ``columns`` limits the carried row to what the caller reads: the winning row
+    travels through the shuffle inside the ``max_by`` payload, where Catalyst
+    cannot prune fields. The delete flag is evaluated before the shuffle and
+    travels as one boolean.
+    """
     keys = list(keys)
-    cols = log.columns
+    wanted = [c for c in log.columns if c not in keys and c not in except_cols
+              and (columns is None or c in columns)]
     order = F.struct(*[F.col(c) for c in [sequence_by, *tiebreak]])
-    payload = F.struct(*[F.col(c) for c in cols if c not in keys])
+    payload = F.struct(*[F.col(c) for c in wanted], _is_delete(delete_when).alias("_del"))
     latest = log.groupBy(*keys).agg(F.max_by(payload, order).alias("_row"))
-    out = latest.select(*keys, "_row.*").select(*cols)
-    out = out.filter(~_is_delete(delete_when))
-    return out.drop(*except_cols)
+    out = latest.select(*keys, "_row.*").filter(~F.col("_del"))
+    return out.select(*[c for c in log.columns if c in keys or c in wanted])
 
 
 def apply_scd2(

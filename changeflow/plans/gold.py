@@ -22,19 +22,26 @@ DAILY_SALES_RULES = (Rule("receita_nao_negativa", "receita_dia >= 0", FAIL),)
 def enrich_orders(orders: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
     p = products.select("produto_id", "nome_produto", "categoria_id")
     c = F.broadcast(categories.select("categoria_id", "nome_categoria", "margem_alvo"))
-    return (
+    wanted = ("pedido_id", "cliente_id", "produto_id", "quantidade", "preco_unitario", "receita_bruta",
+              "status", "canal", "pedido_ts", "nome_produto", "categoria_id", "nome_categoria", "margem_alvo")
+    joined = (
         orders.join(p, "produto_id", "left")
         .join(c, "categoria_id", "left")
-        .select(
-            "pedido_id", "cliente_id", "produto_id", "quantidade", "preco_unitario",
-            (F.col("quantidade") * F.col("preco_unitario")).alias("receita_bruta"),
-            "status", "canal", "pedido_ts", "nome_produto", "categoria_id", "nome_categoria", "margem_alvo",
-        )
+        .withColumn("receita_bruta", F.col("quantidade") * F.col("preco_unitario"))
     )
+    return joined.select(*[x for x in wanted if x in joined.columns])
+
+
+def orders_enriched(spark: SparkSession, sf_dir: str, order_columns=None) -> DataFrame:
+    orders = silver.orders(spark, sf_dir, order_columns)
+    products = silver.products(spark, sf_dir, ("nome_produto", "categoria_id"))
+    return enrich_orders(orders, products, fx.categories(spark))
 
 
-def orders_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich_orders(silver.orders(spark, sf_dir), silver.products(spark, sf_dir), fx.categories(spark))
+# Order columns each gold dataset reads (the SCD1 payload carries only these).
+DAILY_ORDER_COLUMNS = ("produto_id", "quantidade", "preco_unitario", "status", "pedido_ts")
+FUNNEL_ORDER_COLUMNS = ("quantidade", "preco_unitario", "status")
+VALUE_ORDER_COLUMNS = ("cliente_id", "quantidade", "preco_unitario", "pedido_ts")
 
 
 def daily_category_sales(enriched: DataFrame, guard: bool = True) -> DataFrame:

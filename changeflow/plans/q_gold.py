@@ -10,7 +10,8 @@ from .registry import query, r2
 
 
 def _daily(spark, sf_dir, guard=True):
-    return gold.daily_category_sales(gold.orders_enriched(spark, sf_dir), guard=guard)
+    enriched = gold.orders_enriched(spark, sf_dir, gold.DAILY_ORDER_COLUMNS)
+    return gold.daily_category_sales(enriched, guard=guard)
 
 
 ENRICHED_OUT_SQL = """SELECT pedido_id, cliente_id, produto_id, quantidade, preco_unitario, round(receita_bruta, 2) AS receita_bruta,
@@ -58,7 +59,7 @@ def fail_guard_query(spark, sf_dir):
     + "SELECT status, count(*) AS qtd_pedidos, round(sum(receita_bruta), 2) AS receita_total FROM enriched GROUP BY ALL",
 )
 def status_funnel(spark, sf_dir):
-    f = gold.status_funnel(silver.orders(spark, sf_dir))
+    f = gold.status_funnel(silver.orders(spark, sf_dir, gold.FUNNEL_ORDER_COLUMNS))
     return f.select("status", "qtd_pedidos", r2("receita_total").alias("receita_total"))
 
 
@@ -74,7 +75,7 @@ WHERE cli.__END_AT IS NULL
 GROUP BY ALL""",
 )
 def customer_value(spark, sf_dir):
-    v = gold.customer_value(silver.current_customers(spark, sf_dir), silver.orders(spark, sf_dir))
+    v = gold.customer_value(silver.current_customers(spark, sf_dir), silver.orders(spark, sf_dir, gold.VALUE_ORDER_COLUMNS))
     return v.select("cliente_id", "cidade", "uf", "qtd_pedidos", r2("receita_total").alias("receita_total"), "ultima_compra")
 
 

@@ -104,25 +104,28 @@ def valid_order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_events_split(spark, sf_dir)[0]
 
 
-def orders_scd1(valid_log: DataFrame) -> DataFrame:
+def orders_scd1(valid_log: DataFrame, columns=None) -> DataFrame:
     return apply_scd1(
         valid_log, ["pedido_id"], "evento_ts", except_cols=("evento_ts", "desempate"), tiebreak=ORDER_TIEBREAK,
+        columns=columns,
     )
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orders_scd1(valid_order_events(spark, sf_dir))
+def orders(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
+    """Current orders (SCD1); ``columns`` narrows the carried row for consumers reading a few columns."""
+    return orders_scd1(valid_order_events(spark, sf_dir), columns)
 
 
 def valid_product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fail_guard(fx.product_events(spark, sf_dir), PRODUCT_RULES)
 
 
-def products_scd1(valid_log: DataFrame) -> DataFrame:
+def products_scd1(valid_log: DataFrame, columns=None) -> DataFrame:
     return apply_scd1(
         valid_log, ["produto_id"], "atualizado_em", delete_when="operacao = 'DELETE'", except_cols=("operacao",),
+        columns=columns,
     )
 
 
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return products_scd1(valid_product_events(spark, sf_dir))
+def products(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
+    return products_scd1(valid_product_events(spark, sf_dir), columns)
