@@ -9,6 +9,7 @@ idempotent file sink).
 from __future__ import annotations
 
 import os
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,7 @@ class StreamTarget:
         return cls(os.path.join(root, "data"), os.path.join(root, "_checkpoint"))
 
 
+_START_LOCK = threading.Lock()
 STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -73,17 +75,18 @@ def start_available_now(stream: DataFrame, target: StreamTarget, output_mode: st
             "HDFSBackedStateStoreProvider"):
         # State beyond executor memory: RocksDB keeps it on local disk, checkpointed to the shared folder.
         settings[STATE_PROVIDER_CONF] = ROCKSDB_PROVIDER
-    previous = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        q = w.start(target.path)
-    finally:
-        for k, v in previous.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    with _START_LOCK:  # the swap is session-wide: one start at a time
+        previous = {k: spark.conf.get(k, None) for k in settings}
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        try:
+            q = w.start(target.path)
+        finally:
+            for k, v in previous.items():
+                if v is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, v)
     return q
 
 
