@@ -110,3 +110,14 @@ def test_hot_key_split_with_timestamp_sequence(spark):
         "seq", F.col("seq").cast("timestamp_ntz"))
     cols = ["k", "seq", "_next_seq"]
     assert _rows(lead_sequence(log, ["k"], "seq", hot_rows=7), cols) == _rows(lead_sequence(log, ["k"], "seq"), cols)
+
+
+def test_scd1_narrow_payload_equals_full_projection(spark):
+    log = spark.createDataFrame(
+        [(1, 1, "INSERT", "a"), (1, 3, "DELETE", None), (1, 2, "UPDATE", "stale"), (2, 5, "UPDATE", "b"), (2, 4, "INSERT", "c")],
+        LOG,
+    )
+    full = apply_scd1(log, ["k"], "seq", delete_when="op = 'DELETE'", except_cols=("op",))
+    narrow = apply_scd1(log, ["k"], "seq", delete_when="op = 'DELETE'", except_cols=("op",), columns=("v",))
+    assert narrow.columns == ["k", "v"]
+    assert _rows(narrow, ["k", "v"]) == _rows(full, ["k", "v"]) == [(2, "b")]
