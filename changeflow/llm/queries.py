@@ -2,26 +2,62 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
+from ..session import work_dir
 from ..sources.tables import read_table
-from . import exact_dedup, quality, sharding
+from . import chat, exact_dedup, langid, packing, piece_bpe, quality, sharding, tokenfile
+from .common import written
 
 
 def op1_quality_rules(spark, sf_dir):
     return quality.quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark, sf_dir):
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
+def op3_token_files(spark, sf_dir, tokenizer=public_tokenizers.path("word_bpe_49k.json")):
+    path = work_dir(spark, "tokens")
+    tokenfile.write_tokens(read_table(spark, sf_dir, "documents"), tokenizer, path)
+    return tokenfile.read_documents(spark, path)
+
+
 def op4_hilbert_shards(spark, sf_dir):
     return sharding.document_shards(read_table(spark, sf_dir, "documents"))
 
 
+def op5_piece_bpe(spark, sf_dir, model=public_tokenizers.path("piece_bpe_32k.model")):
+    return piece_bpe.encode_texts(read_table(spark, sf_dir, "documents"), model, digest=True)
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents")).drop("bucket")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_hilbert_shards, op6_exact_dedup)}
+def op9_chat_format(spark, sf_dir):
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.unionByName(spark.createDataFrame(chat.PROBE, turns.schema))
+    out = chat.format_conversations(turns.withColumn("content", chat.text_parts()))
+    return chat.read_conversations(written(out, "chat"))
+
+
+def op10_best_fit_packing(spark, sf_dir, tokenizer=public_tokenizers.path("byte_bpe_50k.json")):
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_rules, op2_language_id, op3_token_files, op4_hilbert_shards, op5_piece_bpe, op6_exact_dedup,
+        op9_chat_format, op10_best_fit_packing,
+    )
+}
 
 ORACLE = {
     "op1_quality_rules": quality.oracle_sql(),
     "op4_hilbert_shards": sharding.oracle_sql(),
     "op6_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op9_chat_format": chat.ORACLE_SQL,
 }
