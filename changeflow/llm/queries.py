@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from ..session import work_dir
 from ..sources.tables import read_table
-from . import chat, exact_dedup, langid, packing, piece_bpe, quality, sharding, tokenfile
+from . import chat, class_lm, exact_dedup, langid, near_dedup, packing, piece_bpe, quality, sharding, tokenfile
 from .common import written
 
 
@@ -36,6 +37,15 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents")).drop("bucket")
 
 
+def op7_near_dedup(spark, sf_dir):
+    classes = near_dedup.near_classes(read_table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", "class_size", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
+def op8_class_lm(spark, sf_dir):
+    return class_lm.score(read_table(spark, sf_dir, "documents"))
+
+
 def op9_chat_format(spark, sf_dir):
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     turns = turns.unionByName(spark.createDataFrame(chat.PROBE, turns.schema))
@@ -51,7 +61,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_language_id, op3_token_files, op4_hilbert_shards, op5_piece_bpe, op6_exact_dedup,
-        op9_chat_format, op10_best_fit_packing,
+        op7_near_dedup, op8_class_lm, op9_chat_format, op10_best_fit_packing,
     )
 }
 
