@@ -67,11 +67,10 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             value = value * np.uint32(0x01000193) ^ codes[k:k + m]
             if k < size - 1:
                 ok &= inner[k:k + m]
-        ok &= inner[:m] | inner[size - 1:]
         value = value[ok] * np.uint32(0x9E3779B1) + np.uint32(size)
         buckets.append((value >> np.uint32(18)).astype(np.int32))
         # An n-gram that starts at a separator belongs to the text of its second byte.
-        owners.append(owner[1:m + 1][ok])
+        owners.append(np.where(gap[:m], owner[1:m + 1], owner[:m])[ok])
     if not buckets:
         return np.zeros(0, np.int32), np.zeros(0, np.int64)
     return np.concatenate(buckets), np.concatenate(owners)
