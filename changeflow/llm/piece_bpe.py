@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .wordcodes import PieceIds, text_batches
+from .wordcodes import PieceIds, of_worker, text_batches
 
 SPACE = "▁"
 NONE = np.int64(1) << 40
@@ -169,8 +169,13 @@ class Merges:
 
 
 def piece_ids(path: str) -> tuple[PieceIds, Merges]:
-    merges = Merges(path)
-    return PieceIds(merges.encode_many, at_signs=False), merges
+    """The worker's encoder for a model file."""
+
+    def load():
+        merges = Merges(path)
+        return PieceIds(merges.encode_many, at_signs=False), merges
+
+    return of_worker(path, load)
 
 
 def marked(texts: pa.Array) -> pa.Array:

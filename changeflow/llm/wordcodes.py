@@ -11,6 +11,8 @@ from __future__ import annotations
 import itertools
 import os
 import re
+import sys
+import types
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,9 @@ import pyarrow.compute as pc
 #: Characters next to which a cut could change the result: control and Unicode white space, joiners, and the mark
 #: that SentencePiece writes for a space.
 ODD_WHITE = "[\x1c-\x1f\u0085\u00a0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff\u2581]"
+#: First bytes of those characters in UTF-8.
+ODD_BYTE = np.zeros(256, dtype=bool)
+ODD_BYTE[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] = True
 BLANK = np.zeros(256, dtype=bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 LETTER = np.zeros(256, dtype=bool)
@@ -26,7 +31,7 @@ LETTER[[*range(65, 91), *range(97, 123)]] = True
 SIGN = ~LETTER & (np.arange(256) < 128)
 
 
-def text_batches(batches, text: str = "text", limit: int = 4 << 20):
+def text_batches(batches, text: str = "text", limit: int = 8 << 20):
     """Slices of Arrow record batches whose texts hold about ``limit`` bytes: (slice, texts without nulls)."""
     for batch in batches:
         if not batch.num_rows:
@@ -63,9 +68,10 @@ def word_pieces(texts: pa.Array, at_signs: bool = True) -> tuple[np.ndarray, lis
     np.greater(blank[1:], blank[:-1], out=cut[1:])
     if at_signs:
         cut[1:] |= LETTER[data[:-1]] & SIGN[data[1:]]
-    odd = pc.match_substring_regex(texts, ODD_WHITE).to_numpy(zero_copy_only=False)
-    for i in np.flatnonzero(odd):
-        cut[offsets[i]:offsets[i + 1]] = False
+    if ODD_BYTE[data].any():
+        odd = pc.match_substring_regex(texts, ODD_WHITE).to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(odd):
+            cut[offsets[i]:offsets[i + 1]] = False
     cut[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
     starts = np.flatnonzero(cut)
     ends = np.append(starts, len(data)).astype(np.int64)
@@ -73,47 +79,65 @@ def word_pieces(texts: pa.Array, at_signs: bool = True) -> tuple[np.ndarray, lis
     return pieces.indices.to_numpy().astype(np.int64), pieces.dictionary.to_pylist(), np.searchsorted(starts, offsets)
 
 
+def of_worker(name: str, make):
+    """``make()``, made once in the life of a Python worker and used by all of its tasks."""
+    kept = sys.modules.setdefault("changeflow_worker", types.ModuleType("changeflow_worker")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 class PieceIds:
-    """Ids of word pieces, kept for the next batches of the task while they number under ``limit``."""
+    """Ids of word pieces. When over ``limit`` pieces are held, the half met in fewer batches is forgotten."""
 
-    def __init__(self, encode_many, limit: int = 200_000, at_signs: bool = True):
+    def __init__(self, encode_many, limit: int = 500_000, at_signs: bool = True):
         self.encode_many, self.limit, self.at_signs = encode_many, limit, at_signs
-        self.clear()
-
-    def clear(self):
         self.at: dict[str, int] = {}
-        self.lengths = np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.int32)
+        self.met, self.lengths, self.pool = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def forget(self):
+        often = np.sort(self.met)[-(self.limit // 2):]
+        keep = self.met > max(1, int(often[0]))
+        self.at = dict(zip((p for p, k in zip(self.at, keep.tolist()) if k), range(int(keep.sum()))))
+        self.pool = self.pool[np.repeat(keep, self.lengths)]
+        self.lengths, self.met = self.lengths[keep], np.ones(int(keep.sum()), np.int32)
 
     def lookup(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pool of ids, and where each piece starts in it and how long it is."""
         if len(self.at) > self.limit:
-            self.clear()
-        new = [p for p in pieces if p not in self.at]
-        if new:
-            flat, lengths = self.encode_many(new)
-            self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
+            self.forget()
+        held = len(self.at)
+        at = np.fromiter((self.at.setdefault(p, len(self.at)) for p in pieces), np.int64, len(pieces))
+        new = np.flatnonzero(at >= held)
+        if len(new):
+            flat, lengths = self.encode_many([pieces[i] for i in new])
             self.lengths, self.pool = np.concatenate([self.lengths, lengths]), np.concatenate([self.pool, flat])
+            self.met = np.concatenate([self.met, np.zeros(len(new), np.int32)])
+        self.met[at] += 1
         starts = np.cumsum(self.lengths) - self.lengths
-        at = np.fromiter(map(self.at.__getitem__, pieces), np.int64, len(pieces))
         return self.pool, starts[at], self.lengths[at]
 
     def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the offset of each; ``end`` is appended to each text."""
         codes, pieces, first = word_pieces(texts, self.at_signs)
         pool, starts, lengths = self.lookup(pieces)
+        if end is not None:  # as one more piece after each text
+            codes = np.insert(codes, first[1:], len(pieces))
+            first = first + np.arange(len(first))
+            starts, lengths, pool = np.append(starts, len(pool)), np.append(lengths, 1), np.append(pool, np.int32(end))
         n = lengths[codes] if len(codes) else np.zeros(0, np.int64)
-        upto = np.concatenate([[0], np.cumsum(n)])
-        ids = pool[np.repeat((starts[codes] if len(codes) else n) - upto[:-1], n) + np.arange(upto[-1])]
-        offsets = upto[first]
-        if end is None:
-            return ids, offsets
-        out = np.full(len(ids) + len(texts), end, dtype=np.int32)
-        out[np.arange(len(ids)) + np.repeat(np.arange(len(texts)), np.diff(offsets))] = ids
-        return out, offsets + np.arange(len(texts) + 1)
+        upto = np.append(0, np.cumsum(n))
+        at = np.repeat((starts[codes] if len(codes) else n) - upto[:-1], n)
+        at += np.arange(len(at))
+        return pool[at], upto[first]
 
 
 def library_ids(path: str) -> PieceIds:
+    """The worker's encoder for a file of the tokenizers library."""
+    return of_worker(path, lambda: load_library(path))
+
+
+def load_library(path: str) -> PieceIds:
     """Ids by the tokenizers library; strings of special tokens in a text are ordinary text.
 
     Pieces of plain Latin letters skip the library's normaliser and splitter, which leave such a piece whole: their
