@@ -82,32 +82,23 @@ def apply_masks(df: DataFrame, groups: Iterable[str] = ()) -> DataFrame:
 def row_filter(df: DataFrame, policy: DataFrame, groups: Iterable[str] = (), region_col: str = "uf") -> DataFrame:
     """Rows a reader may see: all for ALL_REGIONS groups, else regions granted to one of ``groups``.
 
-    The policy is a grants table (groups x regions), bounded by its definition,
-    so the allowed set is broadcast into a left-semi join.
+    The policy is a grants table (groups x regions); Spark broadcasts the allowed set when it measures few rows.
     """
     groups = set(groups or ())
     if _member(groups, ALL_REGIONS):
         return df
     allowed = policy.filter(F.col("grupo").isin(sorted(groups))).select(F.col("uf").alias("_allowed_uf")).distinct()
-    return df.join(F.broadcast(allowed), F.col(region_col) == F.col("_allowed_uf"), "left_semi")
+    return df.join(allowed, F.col(region_col) == F.col("_allowed_uf"), "left_semi")
 
 
 def register_sql_functions(spark: SparkSession, groups: Iterable[str] = ()) -> None:
     """Register the masks as SQL temporary functions for a reader in ``groups``."""
-    groups = set(groups or ())
-    pii = "true" if _member(groups, PII_READERS) else "false"
-    spark.sql(
-        f"""CREATE OR REPLACE TEMPORARY FUNCTION mask_email(email STRING) RETURNS STRING RETURN
-        CASE WHEN {pii} THEN email WHEN email IS NULL OR NOT contains(email, '@') THEN '{EMAIL_UNKNOWN}'
-             ELSE concat('***@', get(split(email, '@'), 1)) END"""
-    )
-    spark.sql(
-        f"""CREATE OR REPLACE TEMPORARY FUNCTION mask_cpf(cpf STRING) RETURNS STRING RETURN
-        CASE WHEN {pii} THEN cpf WHEN cpf IS NULL OR length(cpf) < 2 THEN '{CPF_MASKED}'
-             ELSE concat('{CPF_PREFIX}', right(cpf, 2)) END"""
-    )
-    spark.sql(
-        f"""CREATE OR REPLACE TEMPORARY FUNCTION mask_phone(telefone STRING) RETURNS STRING RETURN
-        CASE WHEN {pii} THEN telefone WHEN telefone IS NULL OR length(telefone) < 4 THEN '{PHONE_MASK}'
-             ELSE concat('{PHONE_MASK}', right(telefone, 4)) END"""
-    )
+    shown = {  # what stays visible of a value (null: nothing can be shown), after which prefix, or else what instead
+        "mask_email": ("***@", "get(split(value, '@'), 1)", EMAIL_UNKNOWN),
+        "mask_cpf": (CPF_PREFIX, "if(length(value) >= 2, right(value, 2), NULL)", CPF_MASKED),
+        "mask_phone": (PHONE_MASK, "if(length(value) >= 4, right(value, 4), NULL)", PHONE_MASK),
+    }
+    clear = _member(set(groups or ()), PII_READERS)
+    for name, (prefix, part, instead) in shown.items():
+        body = "value" if clear else f"coalesce('{prefix}' || {part}, '{instead}')"
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(value STRING) RETURNS STRING RETURN {body}")

@@ -2,8 +2,9 @@
 
 ``Window.partitionBy(key)`` sends every row of a key to one task; if one key
 holds a third of the log, that task sorts a third of the data. Here keys above
-``hot_rows`` rows are cut into equal-depth sequence buckets (approximate
-percentiles, computed only over hot-key rows), the window runs per
+``hot_rows`` rows are cut into sequence buckets of similar depth (cut points are
+values of a hash sample of the hot-key rows, compared in the sequence's own type
+and order, so text works like numbers), the window runs per
 (key, bucket), and the last row of each bucket takes the first sequence of the
 next bucket from a small per-bucket aggregate. Results are exact whatever the
 bucket cut points are: the cuts only decide which task a row lands in.
@@ -18,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 2_000_000
+#: Sampled sequence values per bucket of a hot key.
+SAMPLED = 200
 
 
 def lead_sequence(
@@ -40,14 +43,17 @@ def lead_sequence(
         return df.withColumn(out_col, F.lead(sequence_by).over(w))
 
     n_buckets = math.ceil(max_n / hot_rows)
-    fractions = [i / n_buckets for i in range(1, n_buckets)]
+    stride = max(1, hot_rows // SAMPLED)
     hot = stats.filter(F.col("_n") > hot_rows).select(*keys)
-    # Equal-depth cut points for hot keys only; the table has at most rows/hot_rows keys,
-    # so AQE broadcasts it when its measured size allows and shuffles otherwise.
+    # About SAMPLED values per bucket and hot key; every n-th of them, sorted, is a cut point. Rows/hot_rows keys at
+    # most, so AQE broadcasts the table when its measured size allows and shuffles otherwise.
+    sampled = F.pmod(F.xxhash64(sequence_by, *tiebreak), F.lit(stride)) == 0
     cuts = (
         df.join(hot, keys, "left_semi")
+        .filter(sampled & F.col(sequence_by).isNotNull())
         .groupBy(*keys)
-        .agg(F.array_distinct(F.percentile_approx(sequence_by, fractions, 10_000)).alias("_cuts"))
+        .agg(F.array_sort(F.collect_set(sequence_by)).alias("_values"))
+        .select(*keys, F.expr(f"filter(_values, (v, i) -> i > 0 AND i % greatest(1, size(_values) DIV {n_buckets}) = 0)").alias("_cuts"))
     )
     seq = F.col(sequence_by)
     tagged = (
@@ -64,7 +70,7 @@ def lead_sequence(
     nxt = firsts.select(
         *keys, "_b", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_b")).alias("_next_first")
     )
-    # Join and window share the (keys, _b) partitioning: one shuffle of the log.
+    # Join and window share the (keys, _b) partitioning.
     w = Window.partitionBy(*keys, "_b").orderBy(*order)
     return (
         tagged.join(nxt, keys + ["_b"], "left")

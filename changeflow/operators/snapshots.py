@@ -127,8 +127,9 @@ class SnapshotTable:
         params: Mapping[str, str] | None = None,
         metrics: Mapping[str, Column] | None = None,
         keep: Column | None = None,
+        helpers: Sequence[str] = (),
     ) -> int:
-        """Write ``df`` (rows where ``keep`` holds) as the next version, with one commit row.
+        """Write ``df`` (rows where ``keep`` holds, without ``helpers``) as the next version, with one commit row.
 
         ``metrics`` are aggregate Columns over ``df`` (before ``keep``); they and the
         output row count are gathered with ``observe`` during the write job itself —
@@ -145,7 +146,7 @@ class SnapshotTable:
         if keep is not None:
             out = out.filter(keep)
         out = out.observe(after, F.count(F.lit(1)).alias("numOutputRows"))
-        out.drop(*[c for c in out.columns if c.startswith("_")]).write.mode("errorifexists").parquet(self._vpath(v))
+        out.drop(*helpers).write.mode("errorifexists").parquet(self._vpath(v))
         values = {**(before.get if metrics else {}), **after.get}
         values["numAddedFiles"] = len(self.spark.read.parquet(self._vpath(v)).inputFiles())
         mvals = {k: None if values.get(k) is None else str(values[k]) for k in METRIC_KEYS if k in values}
@@ -169,7 +170,7 @@ class SnapshotTable:
             "numTargetRowsUpdated": F.count_if("_touched"),
             "numTargetRowsDeleted": F.lit(0).cast("bigint"),
             "numTargetRowsInserted": F.lit(0).cast("bigint"),
-        })
+        }, helpers=("_touched",))
 
     def delete(self, where: str | None, committed_at: dt.datetime) -> int:
         d = delete_rows(self.read(), where)
@@ -177,7 +178,7 @@ class SnapshotTable:
             "numTargetRowsUpdated": F.lit(0).cast("bigint"),
             "numTargetRowsDeleted": F.count_if("_touched"),
             "numTargetRowsInserted": F.lit(0).cast("bigint"),
-        }, keep=~F.col("_touched"))
+        }, keep=~F.col("_touched"), helpers=("_touched",))
 
     def merge(self, source: DataFrame, on: Sequence[str], committed_at: dt.datetime,
               matched_condition: str | None = None, update_set: Mapping[str, str] | None = None) -> int:
@@ -186,7 +187,7 @@ class SnapshotTable:
             "numTargetRowsUpdated": F.count_if(F.col("_action") == "update"),
             "numTargetRowsDeleted": F.lit(0).cast("bigint"),
             "numTargetRowsInserted": F.count_if(F.col("_action") == "insert"),
-        })
+        }, helpers=("_action",))
 
     def optimize_zorder(self, cols: Sequence[str], committed_at: dt.datetime, rows_per_file: int | None = None) -> int:
         """OPTIMIZE ... ZORDER BY (cols): same rows, rewritten along the Z-curve of ``cols``."""
@@ -196,7 +197,8 @@ class SnapshotTable:
         removed = len(before.inputFiles())
         laid_out = zorder(before, cols, rows_per_file or ROWS_PER_FILE)
         return self.commit(laid_out, "OPTIMIZE", committed_at, {"zOrderBy": ",".join(cols)},
-                           {"numRemovedFiles": F.lit(removed).cast("bigint")})
+                           {"numRemovedFiles": F.lit(removed).cast("bigint")},
+                           helpers=[c for c in laid_out.columns if c not in before.columns])
 
     def restore(self, version: int, committed_at: dt.datetime) -> int:
         return self.commit(self.read(version), "RESTORE", committed_at, {"version": str(version)})

@@ -32,6 +32,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.masks import apply_masks
 from ..functions.timeutil import ntz_text, ntz_to_instant
 from ..operators.cdc import apply_incremental
 from ..operators.quality import Rule, rule_metric_columns, split_valid
@@ -74,6 +75,10 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
+RUN_FOLDER = "pipeline"
+PROGRESS_CONF = "spark.sql.streaming.numRecentProgressUpdates"
+
+
 @dataclass(frozen=True)
 class Flow:
     """One streaming flow: input stream, target table, its rules and its upstream tables."""
@@ -91,7 +96,7 @@ class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.root = root or work_dir(spark, "pipeline")
+        self.root = root or work_dir(spark, RUN_FOLDER)
         self.update_id = None
         self.lote = 0
         self._events: list = []
@@ -148,15 +153,32 @@ class Pipeline:
         The rule counters observe a flow's *input*; its output is the valid side of
         its rules (or ``output(observed_input)`` when given).
         """
+        # A query keeps a limited number of progress reports; the totals below need all of them.
+        retained = self.spark.conf.get(PROGRESS_CONF)
+        self.spark.conf.set(PROGRESS_CONF, str(2**31 - 1))
+        try:
+            self._run_flows(flows)
+        finally:
+            self.spark.conf.set(PROGRESS_CONF, retained)
+
+    def _run_flows(self, flows: Sequence["Flow"]) -> None:
         started = []
         for f in flows:
             observed = f.stream.observe(f.flow, *rule_metric_columns(f.rules))
             out = f.output(observed) if f.output is not None else split_valid(observed, f.rules)[0]
             out = out.observe(f"{f.flow}__out", F.count(F.lit(1)).alias("output_rows"))
             started.append((f, start_available_now(out, self.target(f.layer, f.dataset))))
+        failure = None
         for f, q in started:
-            await_query(q)
-            self._log_flow(f, q)
+            try:
+                await_query(q)
+            except Exception as ex:  # noqa: BLE001 - logged, raised once every flow has ended
+                failure = failure or ex
+                self.log("flow_progress", f.flow, f"flow {f.flow} failed", {"flow_progress": {"status": "FAILED", "error": str(ex)[:500]}})
+            else:
+                self._log_flow(f, q)
+        if failure is not None:
+            raise failure
 
     def _log_flow(self, f: "Flow", q) -> None:
         totals: dict[str, int] = {}
@@ -222,7 +244,7 @@ class Pipeline:
     def silver_validate(self) -> None:
         raw_c = self.read("bronze", "clientes_raw", stream=True)
         cust = silver.standardize_customers(
-            raw_c.withColumn("evento_ts", F.expr("try_cast(evento_ts AS TIMESTAMP_NTZ)")), keep=("lote",))
+            raw_c.withColumn("evento_ts", F.expr("try_cast(evento_ts AS TIMESTAMP_NTZ)")), keep=("lote",)).withColumn("atualizacao", F.lit(self.lote))
         flows = [Flow("clientes_eventos_validos", cust, "silver", "clientes_eventos_validos",
                       silver.CUSTOMER_RULES, (("bronze", "clientes_raw"),))]
 
@@ -231,7 +253,7 @@ class Pipeline:
             *[c for c in silver.ORDER_COLUMNS if c not in ("pedido_ts", "evento_ts")], "desempate",
             F.expr("try_cast(pedido_ts AS TIMESTAMP_NTZ)").alias("pedido_ts"),
             F.expr("try_cast(evento_ts AS TIMESTAMP_NTZ)").alias("evento_ts"),
-            "lote",
+            "lote", F.lit(self.lote).alias("atualizacao"),
         )
         flows.append(Flow("pedidos_eventos_validos", orders, "silver", "pedidos_eventos_validos", silver.ORDER_RULES,
                           (("bronze", "pedidos_raw"),)))
@@ -245,6 +267,7 @@ class Pipeline:
         products = raw_p.select(
             "produto_id", "nome_produto", "categoria_id", "preco_lista", "ativo", "operacao",
             F.expr("try_cast(atualizado_em AS TIMESTAMP_NTZ)").alias("atualizado_em"), "lote",
+            F.lit(self.lote).alias("atualizacao"),
         )
         flows.append(Flow("produtos_eventos_validos", products, "silver", "produtos_eventos_validos",
                           silver.PRODUCT_RULES, (("bronze", "produtos_raw"),)))
@@ -267,8 +290,9 @@ class Pipeline:
              ("produto_id", "nome_produto", "categoria_id", "preco_lista", "ativo", "operacao", "atualizado_em")),
         )
         for name, log_name, keys, fn, cols in specs:
-            log = self.read("silver", log_name).select(*cols, "lote")
-            batch = log.filter(F.col("lote") == self.lote).select(*cols)
+            # What this update validated is its batch, whatever folder it came from; later updates' rows are not seen.
+            log = self.read("silver", log_name).filter(F.col("atualizacao") <= self.lote)
+            batch = log.filter(F.col("atualizacao") == self.lote).select(*cols)
             log = log.select(*cols)
             if self.lote == 1:
                 out = fn(log)
@@ -294,7 +318,8 @@ class Pipeline:
             "vendas_diarias_categoria": (gold.daily_category_sales(enriched), ["pedidos", "produtos"]),
             "funil_status_pedidos": (gold.status_funnel(orders), ["pedidos"]),
             "clientes_valor": (gold.customer_value(current, orders), ["clientes", "pedidos"]),
-            "dim_clientes": (gold.masked_dimension_source(current), ["clientes"]),
+            # Stored masked: whoever reads the table without a grant on personal data reads no personal data.
+            "dim_clientes": (apply_masks(gold.masked_dimension_source(current), ()), ["clientes"]),
         }
         for name, (df, srcs) in datasets.items():
             df.write.mode("overwrite").parquet(self.table_path("gold", name))
@@ -314,10 +339,15 @@ class Pipeline:
         self.update_id = f"update-{lote}"
         self.log("update_progress", "pipeline", "update started", {"update_progress": {"state": "RUNNING"}})
         seconds = {}
-        for stage in self.STAGES:
-            t0 = time.perf_counter()
-            getattr(self, stage)()
-            seconds[stage] = time.perf_counter() - t0
+        try:
+            for stage in self.STAGES:
+                t0 = time.perf_counter()
+                getattr(self, stage)()
+                seconds[stage] = time.perf_counter() - t0
+        except Exception:
+            self.log("update_progress", "pipeline", "update failed", {"update_progress": {"state": "FAILED"}})
+            self.flush()
+            raise
         self.log("update_progress", "pipeline", "update completed",
                  {"update_progress": {"state": "COMPLETED", "stage_seconds": {k: round(v, 3) for k, v in seconds.items()}}})
         self.flush()
@@ -347,7 +377,12 @@ def register_tables(p: Pipeline) -> None:
     for db in sorted({layer for layer, _ in locations}):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{os.path.join(p.root, '_catalog', db)}'")
     for (db, name), path in locations.items():
-        spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
+        if spark.catalog.tableExists(f"{db}.{name}"):
+            # Only a table that an earlier run registered is replaced; anybody else's table of that name stays.
+            told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {db}.{name}").collect()}
+            if told.get("Type") != "EXTERNAL" or f"/{RUN_FOLDER}-" not in told.get("Location", ""):
+                raise ValueError(f"table {db}.{name} exists and is not of a pipeline run")
+            spark.sql(f"DROP TABLE {db}.{name}")
         spark.sql(f"CREATE TABLE {db}.{name} USING parquet LOCATION '{path}'")
 
 

@@ -63,7 +63,7 @@ def scd2_multi_version(spark, sf_dir):
 def scd2_incremental(spark, sf_dir):
     """Batch 1 applied in full, batch 2 applied incrementally (only touched keys rebuilt)."""
     log = silver.valid_customer_events(spark, sf_dir)
-    arrived_late = F.col("evento_ts") >= F.expr(f"TIMESTAMP_NTZ '{BATCH_CUTOFF}'")
+    arrived_late = F.coalesce(F.col("evento_ts") >= F.expr(f"TIMESTAMP_NTZ '{BATCH_CUTOFF}'"), F.lit(False))
     batch1, batch2 = log.filter(~arrived_late), log.filter(arrived_late)
     target = silver.customers_scd2(batch1)
     out = apply_incremental(target, log, batch2, ["cliente_id"], silver.customers_scd2)

@@ -32,7 +32,7 @@ def ingest_orders(spark, sf_dir):
     """Land order events as JSON in two batches and stream each batch into bronze."""
     root = work_dir(spark, "landing_pedidos")
     lines = ing.order_landing_lines(fx.order_events(spark, sf_dir))
-    first = F.col("evento_ts") < F.lit(ORDER_BATCH_CUTOFF)
+    first = F.coalesce(F.col("evento_ts") < F.lit(ORDER_BATCH_CUTOFF), F.lit(False))
     target = StreamTarget.create(spark, "bronze_pedidos")
     schema = ing.schema_with_hints(ing.ORDER_HINTS)
     for lote, cond in ((1, first), (2, ~first)):

@@ -33,8 +33,8 @@ P_SCD1_PRODUCTS = O.SCD1_PRODUCTS.replace("scd1_products AS", "p_scd1_products A
     "FROM product_events", "FROM p_product_events")
 P_SCD1_PRODUCTS_1 = O.SCD1_PRODUCTS.replace("scd1_products AS", "p_scd1_products_1 AS").replace(
     "FROM product_events", "FROM p_product_events WHERE lote = 1")
-P_ENRICHED = O.ENRICHED.replace("enriched AS", "p_enriched AS").replace("FROM scd1_orders o", "FROM p_scd1_orders o").replace(
-    "JOIN scd1_products p", "JOIN p_scd1_products p")
+P_ENRICHED = O.ENRICHED.replace("enriched AS", "p_enriched AS").replace("FROM scd1_orders", "FROM p_scd1_orders").replace(
+    "FROM scd1_products", "FROM p_scd1_products")
 P_DAILY = O.DAILY.replace("daily AS", "p_daily AS").replace("FROM enriched", "FROM p_enriched")
 P_SCD2_1 = O.SCD2_CUSTOMERS.replace("scd2_customers AS", "p_scd2_customers_1 AS").replace(
     "FROM valid_customers", f"FROM valid_customers WHERE evento_ts < TIMESTAMP '{CUSTOMER_CUTOFF}'")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.timeutil import instant_to_ntz, ntz_to_instant
 from ..operators.quality import split_valid
 from ..sources import fixtures as fx
-from ..sources.tables import table_path
+from ..sources.tables import table_path, stream_table
 from ..streaming.runner import StreamTarget, read_sink, run_available_now
 from ..streaming.windows import dedup_within_watermark, events_stream, order_creation_events, orders_per_hour
 from . import oracle as O
@@ -90,7 +90,7 @@ def stream_quarantine(spark, sf_dir):
     The line items arrive as a file stream and are joined to the static orders table.
     """
     li_schema = spark.read.parquet(table_path(sf_dir, "lineitem")).schema
-    li = spark.readStream.schema(li_schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+    li = stream_table(spark, sf_dir, "lineitem", li_schema)
     events = fx.order_events(spark, sf_dir, lineitem=li)
     valid, quarantine = split_valid(events, silver.ORDER_RULES)
     tv = StreamTarget.create(spark, "pedidos_eventos_validos")

@@ -32,9 +32,7 @@ PRODUCT_HINTS = (
 
 def schema_with_hints(hints_ddl: str, inferred: T.StructType | None = None) -> T.StructType:
     """Pin the hinted columns' types; keep any other inferred column as inferred."""
-    hinted = T._parse_datatype_string(hints_ddl) if hasattr(T, "_parse_datatype_string") else None
-    if hinted is None:  # pragma: no cover
-        raise RuntimeError("cannot parse schema hints")
+    hinted = T.StructType.fromDDL(hints_ddl)
     if inferred is None:
         return hinted
     pinned = {f.name: f for f in hinted.fields}
@@ -66,7 +64,9 @@ def rescue_json(lines: DataFrame, schema: T.StructType, text_col: str = "value")
     ))
     known = F.array(*[F.lit(n) for n in names])
     unknown = F.map_filter(raw, lambda k, v: ~F.array_contains(known, k))
-    rescued = F.when(raw.isNull(), text).otherwise(_to_json_or_null(F.map_concat(mistyped, unknown)))
+    # A line that repeats a key is kept whole: a map holds a key once.
+    repeats = F.size(F.array_distinct(F.map_keys(raw))) < F.size(raw)
+    rescued = F.when(raw.isNull() | repeats, text).otherwise(_to_json_or_null(F.map_concat(mistyped, unknown)))
     return parsed.select(
         *[c for c in lines.columns if c != text_col], *[typed[n].alias(n) for n in names], rescued.alias(RESCUED)
     )
@@ -98,15 +98,19 @@ def json_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 
 
 def csv_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Headered CSV files under ``path`` as a stream: string columns -> try_cast + rescued + provenance."""
+    """Headered CSV files under ``path`` as a stream: string columns -> try_cast + rescued + provenance.
+
+    The header of every file must name the schema's columns in order: a file whose header differs stops the
+    stream instead of being read by position under wrong names.
+    """
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = spark.readStream.option("header", True).option("mode", "PERMISSIVE").schema(as_text).csv(path)
+    raw = spark.readStream.option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE").schema(as_text).csv(path)
     return rescue_csv(with_provenance(raw), schema)
 
 
 def batch_of(path_col: str = "arquivo_origem") -> Column:
-    """The landing batch number from a ``lote=<n>`` folder in the file path."""
-    return F.regexp_extract(F.col(path_col), r"lote=(\d+)", 1).cast("int")
+    """The landing batch number from a ``lote=<n>`` folder in the file path; null for other paths."""
+    return F.regexp_extract(F.col(path_col), r"lote=(\d+)", 1).try_cast("int")
 
 
 # ---------------------------------------------------------------------------- landing writers

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.timeutil import ntz_to_instant
 from ..sources.fixtures import CHANNELS
+from ..sources.tables import stream_table
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -35,11 +36,8 @@ EVENT_STATUS = (
 
 
 def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The ``events`` table as a file stream (the parquet file is the only file the stream sees)."""
-    r = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(sf_dir)
+    """The ``events`` table as a file stream."""
+    return stream_table(spark, sf_dir, "events", EVENTS_SCHEMA, max_files_per_trigger)
 
 
 def order_creation_events(events: DataFrame) -> DataFrame:

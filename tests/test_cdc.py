@@ -121,3 +121,13 @@ def test_scd1_narrow_payload_equals_full_projection(spark):
     narrow = apply_scd1(log, ["k"], "seq", delete_when="op = 'DELETE'", except_cols=("op",), columns=("v",))
     assert narrow.columns == ["k", "v"]
     assert _rows(narrow, ["k", "v"]) == _rows(full, ["k", "v"]) == [(2, "b")]
+
+
+def test_text_sequences_split_like_numbers(spark):
+    """A hot key's next value is the same whatever the split, also where the sequence is text."""
+    from changeflow.operators.skew import lead_sequence
+
+    rows = [("k", str(i)) for i in range(1, 40)] + [("k", f"2024-01-{d:02d}T00:00:00Z") for d in range(1, 29)] + [("c", "x"), ("k", None)]
+    df = spark.createDataFrame(rows, "key string, seq string")
+    plain = sorted(lead_sequence(df, ["key"], "seq").collect(), key=repr)
+    assert sorted(lead_sequence(df, ["key"], "seq", hot_rows=5).collect(), key=repr) == plain

@@ -12,6 +12,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import rows_key  # noqa: E402
+from changeflow.plans.catalog import QUERIES  # noqa: E402
 from changeflow.sources.tables import TABLES  # noqa: E402
 
 
@@ -39,7 +40,7 @@ def duck():
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF")
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF_SMOKE)
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -66,3 +67,21 @@ def test_pipeline_update_rerun_is_idempotent(spark):
     p.update(1)
     assert {n: p.read("silver", n).count() for n in counts} == counts
     assert p.current("silver", "clientes").count() == current
+
+
+def test_foreign_table_of_the_same_name_stays(spark):
+    """Registering a run replaces tables of earlier runs only."""
+    from changeflow.plans.pipeline import Pipeline, register_tables, run_pipeline
+
+    p = run_pipeline(spark, SF_SMOKE)
+    register_tables(p)
+    masked = spark.table("gold.dim_clientes")
+    assert masked.where("email NOT LIKE '***@%' OR cpf NOT LIKE '***%' OR telefone NOT LIKE '****%'").count() == 0
+    spark.sql("DROP TABLE silver.pedidos")
+    spark.sql("CREATE TABLE silver.pedidos AS SELECT 7 AS mine")
+    with pytest.raises(ValueError):
+        register_tables(p)
+    assert spark.table("silver.pedidos").columns == ["mine"]
+    spark.sql("DROP TABLE silver.pedidos")
+    register_tables(p)
+    assert isinstance(p, Pipeline)

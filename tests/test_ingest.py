@@ -55,3 +55,33 @@ def test_csv_stream_rescues_bad_cast(spark, tmp_dir):
     out = {r.id: (r.qty, r._rescued_data) for r in read_sink(spark, target).collect()}
     assert out[1] == (5, None)
     assert out[2][0] is None and json.loads(out[2][1]) == {"qty": "five"}
+
+
+def test_repeated_keys_are_rescued_and_do_not_stop(spark):
+    from pyspark.sql import types as T
+
+    from changeflow.sources.ingest import rescue_json
+
+    lines = ['{"id":1,"x":"1","x":"2"}', '{"id":2,"id":3}', '{"id":4}']
+    got = rescue_json(spark.createDataFrame([(x,) for x in lines], "value string"), T.StructType.fromDDL("id long")).collect()
+    assert [r["_rescued_data"] for r in got] == [lines[0], lines[1], None] and got[0]["id"] == 1
+
+
+def test_csv_with_another_header_stops(spark, tmp_dir):
+    import pytest
+    from pyspark.sql import types as T
+
+    from changeflow.sources.ingest import csv_stream
+    from changeflow.streaming.runner import StreamTarget, run_available_now
+
+    schema = T.StructType.fromDDL("id long, qty long, name string")
+    spark.createDataFrame([("bob", 1, 5)], "name string, id long, qty long").coalesce(1).write.option("header", True).csv(f"{tmp_dir}/in")
+    with pytest.raises(Exception):
+        run_available_now(csv_stream(spark, f"{tmp_dir}/in", schema), StreamTarget.create(spark, "csv"))
+
+
+def test_batch_of_path_without_batch_is_null(spark):
+    from changeflow.sources.ingest import batch_of
+
+    df = spark.createDataFrame([("/x/a.json",), ("/x/lote=7/a.json",)], "arquivo_origem string")
+    assert [r[0] for r in df.select(batch_of()).collect()] == [None, 7]

@@ -57,3 +57,15 @@ def test_layout_splits_a_hot_key(spark, tmp_dir):
         assert back.count() == 12000
         hot_files = back.filter("a = 1").select(F.input_file_name()).distinct().count()
         assert hot_files >= 4  # 8,000 rows of one value spread over several files
+
+
+def test_commit_keeps_columns_that_start_with_an_underscore(spark, tmp_dir):
+    import datetime as dt
+
+    from changeflow.operators.snapshots import SnapshotTable
+
+    t = SnapshotTable(spark, tmp_dir + "/t")
+    t.create(spark.createDataFrame([(1, "x", 5), (2, None, 6)], "id int, _rescued_data string, __START_AT long"), dt.datetime(2024, 1, 1))
+    t.update({"id": "id + 1"}, "id = 1", dt.datetime(2024, 1, 2))
+    t.delete("__START_AT = 6", dt.datetime(2024, 1, 3))
+    assert t.read().columns == ["id", "_rescued_data", "__START_AT"] and [tuple(r) for r in t.read().collect()] == [(2, "x", 5)]

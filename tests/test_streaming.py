@@ -67,3 +67,63 @@ def test_fail_rule_aborts_streaming_flow(spark, tmp_dir):
     valid, _ = split_valid(stream, PRODUCT_RULES)
     with pytest.raises(Exception, match="produto_id_obrigatorio"):
         run_available_now(valid, StreamTarget.create(spark, "test_fail_stream"))
+
+
+def test_streams_read_tables_that_are_folders(spark, tmp_dir):
+    from conftest import SF_SMOKE
+
+    from changeflow.sources.tables import read_table, stream_table
+    from changeflow.streaming.runner import StreamTarget, read_sink, run_available_now
+
+    events = read_table(spark, SF_SMOKE, "events")
+    events.repartition(3).write.parquet(f"{tmp_dir}/events.parquet")
+    for sf_dir in (tmp_dir, SF_SMOKE):
+        target = StreamTarget.create(spark, "events_copy")
+        run_available_now(stream_table(spark, sf_dir, "events", events.schema), target)
+        assert read_sink(spark, target).count() == events.count()
+
+
+def test_totals_of_many_batches_are_complete(spark):
+    """More micro-batches than a query keeps progress reports for."""
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMOKE
+
+    from changeflow.operators.quality import Rule
+    from changeflow.plans.pipeline import Pipeline
+
+    p = Pipeline(spark, SF_SMOKE)
+    p.lote, p.update_id = 1, "update-1"
+    source = f"{p.root}/numbers"
+    for i in range(12):
+        spark.range(i * 10, i * 10 + 10).coalesce(1).write.mode("append").parquet(source)
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "5")
+    try:
+        stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(source)
+        p.run_flow("numbers", stream, "silver", "numbers", [Rule("even", "id % 2 = 0", "drop")])
+        assert spark.conf.get("spark.sql.streaming.numRecentProgressUpdates") == "5"
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    p.flush()
+    import json
+
+    details = json.loads(p.event_log().where(F.col("event_type") == "flow_progress").first()["details"])["flow_progress"]
+    assert details["metrics"]["num_output_rows"] == 60
+    assert details["data_quality"]["expectations"][0] == {"name": "even", "dataset": "numbers", "passed_records": 60, "failed_records": 60}
+
+
+def test_late_file_in_an_old_folder_is_applied_and_old_updates_stay(spark):
+    from conftest import SF_SMOKE
+
+    from changeflow.plans.pipeline import Pipeline
+
+    p = Pipeline(spark, SF_SMOKE)
+    p.update(1)
+    first = sorted(map(tuple, spark.read.parquet(p.table_path("silver", "pedidos", 1)).collect()), key=repr)
+    line = '{"cliente_id":990001,"nome":"Late","email":"a@b.c","cpf":"12345678901","telefone":"11987654321","cidade":"X","uf":"sp","data_nascimento":"1980-01-01","operacao":"INSERT","evento_seq":1,"evento_ts":"2024-01-01T00:00:00.000"}'
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{p.root}/landing/clientes/lote=1")
+    p.update(2)
+    assert p.current("silver", "clientes").where("cliente_id = 990001").count() == 1
+    p.update(1)
+    assert sorted(map(tuple, spark.read.parquet(p.table_path("silver", "pedidos", 1)).collect()), key=repr) == first
