@@ -158,6 +158,8 @@ def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good))
 
     near = written(near.select("a", "b", "slots_a", "slots_b").mapInArrow(estimated, "a long, b long"), "near")
+    if near.isEmpty():
+        return near
     asked = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     asked = written(asked.join(nodes.select("node", "key"), "node"), "asked")
     texts = written(texts_of(docs, asked, asked.count()), "texts")
@@ -188,6 +190,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges")
     state = None
+    if edges.isEmpty():
+        return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         edges = written(stars(both, "v > u", "v", "m"), "star")
@@ -215,7 +219,8 @@ def prefix_pairs(docs: DataFrame, members: DataFrame) -> DataFrame:
     """All pairs (a, b) of nodes in ``members`` (node, key, label) that can reach the similarity, across labels.
 
     Shingles are ordered from rare to common. Two sets of similarity s share one among the first
-    n - ceil(s * n) + 1 shingles of either, n being its size, so only those are joined.
+    n - ceil(s * n) + 1 shingles of either, n being its size, so only those are joined, and only where
+    the sets are long enough after them.
     """
     rows = members.count()
     texts = texts_of(docs, members.select("node", "key"), rows)
@@ -230,11 +235,20 @@ def prefix_pairs(docs: DataFrame, members: DataFrame) -> DataFrame:
     common = sets.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")  # who is alone finds nobody
     ranked = join_hot(sets, written(common, "common"), ["shingle"], "n", max(1, rows))
     place = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("n", F.lit(1)), "shingle"))
-    prefix = ranked.withColumn("place", place).where(F.col("n").isNotNull() & (F.col("place") <= F.col("size") - F.ceil(F.col("size") * SIMILARITY - 1e-9) + 1))
-    prefix = prefix.join(members.select("node", "label"), "node").select("shingle", "node", "label", "size")
-    left, right = (prefix.withColumnsRenamed({"node": x, "label": f"label_{x}", "size": f"size_{x}"}) for x in "ab")
-    fits = (F.col("size_a") >= F.col("size_b") * SIMILARITY - 1e-9) & (F.col("size_b") >= F.col("size_a") * SIMILARITY - 1e-9)
-    return left.join(right, "shingle").where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & fits).select("a", "b").distinct()
+    need = F.ceil(F.col("size") * SIMILARITY - 1e-9)
+    prefix = ranked.withColumn("place", place).where(F.col("n").isNotNull() & (F.col("place") <= F.col("size") - need + 1))
+    prefix = written(prefix.join(members.select("node", "label"), "node").select("shingle", "node", "label", "size", "place"), "prefix")
+    # The smaller set of a pair shares at least 2s / (1 + s) of its size, so its prefix is shorter still.
+    least = F.ceil(F.col("size") * (2 * SIMILARITY / (1 + SIMILARITY)) - 1e-9)
+    small, large = ({c: f"{c}_{x}" for c in ("node", "label", "size", "place")} for x in "ab")
+    left, right = prefix.where(F.col("place") <= F.col("size") - least + 1).withColumnsRenamed(small), prefix.withColumnsRenamed(large)
+    ordered = (F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("node_a") < F.col("node_b")))
+    fits = F.col("size_a") >= F.col("size_b") * SIMILARITY - 1e-9
+    # What both can still share from their first common shingle on must reach the overlap that the similarity asks for.
+    rest = F.least(F.col("size_a") - F.col("place_a") + 1, F.col("size_b") - F.col("place_b") + 1)
+    enough = rest >= (F.col("size_a") + F.col("size_b")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9
+    found = left.join(right, "shingle").where(ordered & fits & enough & (F.col("label_a") != F.col("label_b")))
+    return found.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -257,15 +271,18 @@ def near_classes(docs: DataFrame) -> DataFrame:
     mixed = labelled.groupBy("bucket").agg(F.count_distinct("label").alias("labels"), F.count(F.lit(1)).alias("n")).where("labels > 1")
     mixed = written(mixed, "mixed")
     n_mixed = mixed.count()
-    few = labelled.join(broadcast_if_small(mixed.where(f"n <= {LISTED}").select("bucket"), n_mixed), "bucket", "left_semi")
-    left, right = (few.select("bucket", F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
-    pairs = left.join(right, "bucket").where("a < b AND label_a != label_b").select("a", "b")
-    many = labelled.join(broadcast_if_small(mixed.where(f"n > {LISTED}").select("bucket"), n_mixed), "bucket", "left_semi")
-    many = written(many.select("node", "label").distinct().join(nodes.select("node", "key"), "node"), "many")
-    pairs = pairs.union(prefix_pairs(docs, many)).distinct().join(stars_, ["a", "b"], "left_anti")
-    more = verified(docs, pairs, nodes)
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    if n_mixed:
+        few = labelled.join(broadcast_if_small(mixed.where(f"n <= {LISTED}").select("bucket"), n_mixed), "bucket", "left_semi")
+        left, right = (few.select("bucket", F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
+        pairs = left.join(right, "bucket").where("a < b AND label_a != label_b").select("a", "b")
+        many = labelled.join(broadcast_if_small(mixed.where(f"n > {LISTED}").select("bucket"), n_mixed), "bucket", "left_semi")
+        many = written(many.select("node", "label").distinct().join(nodes.select("node", "key"), "node"), "many")
+        if not many.isEmpty():
+            pairs = pairs.union(prefix_pairs(docs, many))
+        pairs = pairs.distinct().join(stars_, ["a", "b"], "left_anti")
+        more = verified(docs, pairs, nodes)
+        if not more.isEmpty():
+            labels = components(links.union(more))
     labels = written(nodes.select("key", "node").join(labels, "node", "left").select("key", F.coalesce("label", "node").alias("label")), "labels")
     named = rows.select("doc_id", "key").join(broadcast_if_small(labels, labels.count()), "key")
     named = written(named, "named")
