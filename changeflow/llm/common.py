@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize, work_dir
+from ..session import work_dir
 
 #: Characters that separate words and are folded by exact dedup: space, tab, \n, \v, \f, \r.
 WHITE = r"[\x20\x09-\x0D]+"
@@ -16,7 +16,9 @@ BROADCAST_ROWS = 200_000
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors."""
-    return materialize(df, work_dir(df.sparkSession, name))
+    path = work_dir(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:

@@ -31,7 +31,7 @@ LETTER[[*range(65, 91), *range(97, 123)]] = True
 SIGN = ~LETTER & (np.arange(256) < 128)
 
 
-def text_batches(batches, text: str = "text", limit: int = 8 << 20):
+def text_batches(batches, text: str = "text", limit: int = 4 << 20):
     """Slices of Arrow record batches whose texts hold about ``limit`` bytes: (slice, texts without nulls)."""
     for batch in batches:
         if not batch.num_rows:
@@ -45,6 +45,7 @@ def text_batches(batches, text: str = "text", limit: int = 8 << 20):
             last = max(first + 1, int(np.searchsorted(ends, base + limit, "right")))
             yield batch.slice(first, last - first), filled.slice(first, last - first)
             first = last
+    pa.default_memory_pool().release_unused()  # the worker lives on
 
 
 def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -158,7 +159,7 @@ def load_library(path: str) -> PieceIds:
     plain = re.compile(" ?[" + "".join(map(chr, letters)) + "]+").fullmatch
     model.normalizer = model.pre_tokenizer = model.post_processor = None
 
-    def encode_many(pieces):
+    def some(pieces):
         simple = [bool(plain(p)) for p in pieces]
         fast = iter(model.encode_batch_fast([p.translate(table) for p, s in zip(pieces, simple) if s], add_special_tokens=False))
         slow = iter(full.encode_batch_fast([p for p, s in zip(pieces, simple) if not s], add_special_tokens=False))
@@ -166,4 +167,9 @@ def load_library(path: str) -> PieceIds:
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(lengths.sum())), lengths
 
+    def encode_many(pieces):
+        # The library's results are large objects: a few thousand at a time.
+        done = [some(pieces[i:i + 8192]) for i in range(0, len(pieces), 8192)]
+        return np.concatenate([d[0] for d in done]), np.concatenate([d[1] for d in done])
+
     return PieceIds(encode_many)
