@@ -35,6 +35,9 @@ UNKNOWN = "und"
 SAMPLE_PER_LANGUAGE = 400
 SAMPLE = 4000
 
+#: Scores from here on are accepted, whatever the calibration says: a text in two languages is still a text.
+REJECT_AT_MOST = 0.35
+
 #: Bytes as the features see them: letters in lower case, everything else one separator.
 FOLD = np.full(256, 32, np.uint8)
 FOLD[65:91] = FOLD[97:123] = np.arange(97, 123)
@@ -136,9 +139,9 @@ def train(counts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, langu
     scale = min(np.geomspace(0.1, 10, 41), key=lambda x: -log_p(x)[np.arange(len(held)), labels[held]].mean())
     p = np.exp(log_p(scale))
     right = p[np.arange(len(held)), labels[held]][p.argmax(1) == labels[held]]
-    # Reject what scores below nearly all right predictions, and never more than even odds against all others.
+    # Reject what scores below nearly all right predictions, and never what one language holds REJECT_AT_MOST of.
     floor = float(np.quantile(right, 0.001)) if len(right) else 0.0
-    return Model(languages, (weights * scale).astype(np.float32), bias * scale, min(floor, 0.5))
+    return Model(languages, (weights * scale).astype(np.float32), bias * scale, min(floor, REJECT_AT_MOST))
 
 
 def held_out() -> Column:
@@ -160,7 +163,7 @@ def fit(docs: DataFrame) -> Model | None:
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most SAMPLE rows
 
     def count(batches):
-        for batch, texts in text_batches(batches):
+        for batch, texts in text_batches(batches, limit=1 << 20):
             buckets, owners = features(texts)
             order = np.argsort(owners, kind="stable")
             ends = np.searchsorted(owners[order], np.arange(len(texts) + 1))
@@ -191,7 +194,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
 
     def task(batches):
-        for batch, texts in text_batches(batches):
+        for batch, texts in text_batches(batches, limit=1 << 20):
             lettered = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
             if model is None:
                 name, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
@@ -219,7 +222,7 @@ def keep_identified(docs: DataFrame, model: Model | None = None) -> DataFrame:
     schema = docs.schema
 
     def task(batches):
-        for batch, texts in text_batches(batches):
+        for batch, texts in text_batches(batches, limit=1 << 20):
             lettered = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
             good = lettered & (model.probabilities(texts).max(1) >= model.reject_below)
             yield batch.filter(pa.array(good))
