@@ -39,7 +39,7 @@ SLOTS = ROWS * BANDS
 #: Pairs whose slots agree less than this are not verified; a pair at the threshold is 10 standard deviations above.
 ESTIMATE = 0.45
 #: Members of different classes up to which a bucket's pairs are listed; above, the prefix filter finds them.
-LISTED = 32
+LISTED = 4
 
 C0, C1, C2, C3 = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x2545F4914F6CDD1D))
 
