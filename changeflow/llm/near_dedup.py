@@ -1,18 +1,22 @@
-"""Near-duplicate classes by ProbMinHash over weighted word shingles.
+"""Near-duplicate classes by ProbMinHash over word shingles, weighted and distinct.
 
 A text is the multiset of its runs of five words (lower case); the weight of a
 shingle is how often it occurs. ProbMinHash lets every shingle emit points of a
 Poisson process whose rate is its weight, each into a random slot; a slot keeps
 the shingle of its first point, and a shingle stops as soon as its next point comes after
 the last slot's first. Two texts agree in a slot with the probability Jaccard
-similarity of their multisets. Slots are banded into buckets.
+similarity of their multisets. Slots are banded into buckets. A second sketch, in which
+every shingle weighs one, agrees in a slot with the share of common distinct shingles,
+however often a text repeats a passage; its bands go into the same buckets (a text
+that repeats no shingle has one sketch).
 
 Links are verified on the texts: the share of common distinct shingles must reach
-the threshold. Each bucket first links its members to its head, and linked texts
+the threshold. Pairs whose distinct sketches are far below it are not compared. Each bucket first links its members to its head, and linked texts
 are joined into classes. What a head may have missed follows: members of a
 bucket that are then of different classes are compared with each other, in buckets
-of many such members through an exact prefix filter (rare shingles first), so that
-no bucket is ever expanded into all its pairs and no link is lost.
+of many such members through an exact prefix filter (rare shingles first) whose pairs
+are all compared, so that no bucket is ever expanded into all its pairs. A pair at the
+threshold shares no bucket with a probability of 7 in a million.
 
 Defined results: a text of one to four words has one shingle, all its words. Texts
 equal up to case and white space are copies and share a class; that holds for texts
@@ -36,7 +40,7 @@ WORDS = 5
 SIMILARITY = 0.8
 ROWS, BANDS = 5, 30
 SLOTS = ROWS * BANDS
-#: Pairs whose slots agree less than this are not verified; a pair at the threshold is 10 standard deviations above.
+#: Pairs whose slots of distinct shingles agree less than this are not verified; a pair at the threshold is 10 standard deviations above.
 ESTIMATE = 0.45
 #: Members of different classes up to which a bucket's pairs are listed; above, the prefix filter finds them.
 LISTED = 4
@@ -113,24 +117,38 @@ def prob_min_hash(hashes: np.ndarray, text: np.ndarray, weights: np.ndarray, n:
     return kept.reshape(n, slots)
 
 
+def band_buckets(kept: np.ndarray) -> np.ndarray:
+    """The bucket of each band of each text."""
+    salts = mix(np.arange(1, BANDS + 1).astype(np.uint64) * C0)
+    bands = np.broadcast_to(salts, (len(kept), BANDS)).copy()
+    for k in range(ROWS):
+        bands = mix(bands * C3 + kept.reshape(-1, BANDS, ROWS)[:, :, k])
+    return bands
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, key (digest of the normal form), the bucket of each band and one byte of each slot."""
+    """doc_id, key (digest of the normal form), the buckets of all bands and one byte of each slot of distinct shingles."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def task(batches):
-        salts = mix(np.arange(1, BANDS + 1).astype(np.uint64) * C0)
         for batch, texts in text_batches(batches, "norm", 2 << 20):
             hashes, text, counts = shingles(texts)
-            kept = prob_min_hash(hashes, text, counts, len(texts))
-            some = np.bincount(text, minlength=len(texts)) > 0
-            bands = np.broadcast_to(salts, (len(texts), BANDS)).copy()
-            for k in range(ROWS):
-                bands = mix(bands * C3 + kept.reshape(-1, BANDS, ROWS)[:, :, k])
-            ends = np.append(0, np.cumsum(some * BANDS)).astype(np.int32)
+            n = len(texts)
+            kept = prob_min_hash(hashes, text, np.ones(len(text)), n)
+            bands = np.tile(band_buckets(kept), 2)
+            # Only texts that repeat a shingle have a weighted sketch of their own.
+            repeats = np.bincount(text, counts > 1, n) > 0
+            own = repeats[text]
+            place = np.cumsum(repeats) - 1
+            bands[repeats, BANDS:] = band_buckets(prob_min_hash(hashes[own], place[text[own]], counts[own], int(repeats.sum())))
+            new = np.ones(bands.shape, bool)
+            new[:, BANDS:] = bands[:, BANDS:] != bands[:, :BANDS]
+            new[np.bincount(text, minlength=n) == 0] = False
+            ends = np.append(0, np.cumsum(new.sum(1))).astype(np.int32)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0),
                 "key": batch.column(1),
-                "buckets": pa.ListArray.from_arrays(pa.array(ends), pa.array(bands[some].view(np.int64).ravel())),
+                "buckets": pa.ListArray.from_arrays(pa.array(ends), pa.array(bands[new].view(np.int64))),
                 "slots": pa.array([row.tobytes() for row in (kept & np.uint64(255)).astype(np.uint8)], pa.binary()),
             })
 
@@ -145,19 +163,23 @@ def texts_of(docs: DataFrame, keys: DataFrame, rows: int) -> DataFrame:
     return found.groupBy("node").agg(F.first("norm").alias("norm"))  # one copy of a text leaves each task
 
 
-def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The ``pairs`` (a, b) of nodes whose texts reach the similarity."""
+def estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) of nodes whose slots of distinct shingles agree well enough to be compared."""
     slots = nodes.select("node", "slots")
     near = pairs.join(slots.withColumnsRenamed({"node": "a", "slots": "slots_a"}), "a").join(slots.withColumnsRenamed({"node": "b", "slots": "slots_b"}), "b")
 
-    def estimated(batches):
+    def task(batches):
         for batch in batches:
             if batch.num_rows:
                 left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SLOTS) for i in (2, 3))
                 good = (left == right).mean(1) >= ESTIMATE
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good))
 
-    near = written(near.select("a", "b", "slots_a", "slots_b").mapInArrow(estimated, "a long, b long"), "near")
+    return near.select("a", "b", "slots_a", "slots_b").mapInArrow(task, "a long, b long")
+
+
+def verified(docs: DataFrame, near: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes in ``near``, a written table, whose texts reach the similarity."""
     if near.isEmpty():
         return near
     asked = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -262,7 +284,8 @@ def near_classes(docs: DataFrame) -> DataFrame:
     n_members = nodes.select(F.sum(F.size("buckets"))).first()[0] or 0
     shared = written(join_hot(members, heads, ["bucket"], "n", n_members, how="inner"), "buckets")
     stars_ = shared.where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    links = verified(docs, stars_, nodes)
+    near = written(estimated(stars_, nodes), "near")
+    links = verified(docs, near, nodes)
     labels = components(links)
     # Buckets that still hold several classes.
     n_labels = labels.count()
@@ -274,13 +297,13 @@ def near_classes(docs: DataFrame) -> DataFrame:
     if n_mixed:
         few = labelled.join(broadcast_if_small(mixed.where(f"n <= {LISTED}").select("bucket"), n_mixed), "bucket", "left_semi")
         left, right = (few.select("bucket", F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
-        pairs = left.join(right, "bucket").where("a < b AND label_a != label_b").select("a", "b")
+        pairs = estimated(left.join(right, "bucket").where("a < b AND label_a != label_b").select("a", "b").distinct(), nodes)
         many = labelled.join(broadcast_if_small(mixed.where(f"n > {LISTED}").select("bucket"), n_mixed), "bucket", "left_semi")
         many = written(many.select("node", "label").distinct().join(nodes.select("node", "key"), "node"), "many")
         if not many.isEmpty():
             pairs = pairs.union(prefix_pairs(docs, many))
-        pairs = pairs.distinct().join(stars_, ["a", "b"], "left_anti")
-        more = verified(docs, pairs, nodes)
+        pairs = pairs.distinct().join(near, ["a", "b"], "left_anti")
+        more = verified(docs, written(pairs, "near"), nodes)
         if not more.isEmpty():
             labels = components(links.union(more))
     labels = written(nodes.select("key", "node").join(labels, "node", "left").select("key", F.coalesce("label", "node").alias("label")), "labels")

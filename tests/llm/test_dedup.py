@@ -136,6 +136,19 @@ def test_large_classes_and_shared_passages(spark, monkeypatch):
     assert near_rows(near_dedup.near_classes(documents(spark, docs))) == expected
 
 
+def test_repeated_passages_do_not_hide_links(spark):
+    """A text, and the same with an inner passage repeated: almost the same distinct shingles, other weights."""
+    texts = []
+    for k, (size, times) in enumerate([(10, 100), (10, 200), (12, 400), (40, 20), (40, 100), (25, 60)]):
+        for j in range(4):
+            base = [f"t{k}x{j}w{i}" for i in range(400)]
+            texts += [" ".join(base), " ".join(base[:100] + base[100:100 + size] * times + base[100 + size:])]
+    docs = [(i, t, "en", "a", 1) for i, t in enumerate(texts)]
+    expected = brute([(i, t) for i, t, *_ in docs])
+    assert {n for _, _, n in expected} == {2}
+    assert near_rows(near_dedup.near_classes(documents(spark, docs))) == expected
+
+
 def test_prefix_filter_finds_all_pairs(spark):
     texts = variants(30, 1, size=100, seed=7) + variants(30, 3, size=100, seed=8)
     docs = documents(spark, [(i, t, "en", "a", 1) for i, t in enumerate(texts)])
