@@ -7,10 +7,13 @@ unknown word is summed over classes and leaves the history as it was.
 
 Texts are kept as blocks: documents of a task as codes into the block's own word list. Only word lists
 are shuffled, one row per block and word, to count words over all documents and to bring counts and
-classes back to the blocks. Classes come from the exchange algorithm in two steps. The most frequent words
+classes back to the blocks. Classes come from the exchange algorithm. For a start, the most frequent words
 (a fixed number, whose bigram counts over all training documents fit the driver) are exchanged one at
-a time until no move raises the likelihood. Every other word then makes one exchange move, in parallel:
-it takes the class of highest likelihood given its neighbours over all training documents.
+a time until no move raises the likelihood, and every other word takes the class that these neighbours say.
+Then all training words are exchanged in rounds: blocks count the classes of each word's neighbours, all of them
+classed, words are dealt to parts, and each takes its best move against the class bigrams of all documents. A round
+that does not raise the likelihood is taken back and half as many words move at once, down to an eighth;
+the rounds end when no word moves or the likelihood stays still.
 
 Defined results: a null text counts as empty and is scored on its end alone. Repeated rows are learnt and
 scored row by row. Equal counts are ordered by word, equal moves by class number. Without training
@@ -33,6 +36,11 @@ from .wordcodes import BLANK, raw, text_batches
 #: Words that are exchanged one at a time, and classes besides that of the end.
 FREQUENT = 512
 CLASSES = 24
+#: A rise of the likelihood below this, in nats a token, counts as still; the least share of words that move at once.
+STILL = 1e-3
+SHARE = 8
+#: Words of a part, about.
+PART = 1 << 15
 #: Bytes of text in a block.
 BLOCK = 12 << 20
 
@@ -226,6 +234,183 @@ def assign_rest(blocks: DataFrame, frequent: list[str], of: np.ndarray, counts:
     return rows.mapInArrow(choose, "word string, class int")
 
 
+def likelihood(grid: np.ndarray) -> float:
+    """The class bigram likelihood, but for what no move changes."""
+    return float(entropy_term(grid).sum() - entropy_term(grid.sum(0)).sum() - entropy_term(grid.sum(1)).sum())
+
+
+def gains(grid: np.ndarray, of: np.ndarray, sides: np.ndarray) -> np.ndarray:
+    """What the likelihood gains when words, taken out of their classes ``of``, are put into each class but the last (the end).
+
+    ``sides``: for each word its counts by class before it, by class after it (both without itself) and next to itself.
+    """
+    c, n, at = len(grid), len(of), np.arange(len(of))
+    before, after, own = sides[:, :c].astype(float), sides[:, c:2 * c].astype(float), sides[:, 2 * c].astype(float)
+    gain = np.zeros((n, c - 1))
+    for g, mine, other in ((grid, after, before), (grid.T, before, after)):
+        w, j = np.nonzero(mine)
+        count, a = mine[w, j], of[w]
+        cell = g[:-1, j].T.copy()  # the grid without the word
+        cell[np.arange(len(w)), a] -= count
+        inner = j == a
+        cell[inner] -= other[w[inner], :-1]
+        cell[np.flatnonzero(inner), a[inner]] -= own[w[inner]]
+        term = entropy_term(cell + count[:, None]) - entropy_term(cell)
+        first = np.flatnonzero(np.append(True, w[1:] != w[:-1])) if len(w) else w
+        gain[w[first]] += np.add.reduceat(term, first, axis=0) if len(w) else 0
+        total = np.tile(g.sum(1)[:-1], (n, 1))  # whatever the class, it is next to the same words
+        size = mine.sum(1) + own
+        total[at, of] -= size
+        gain -= entropy_term(total + size[:, None]) - entropy_term(total)
+    d = np.tile(np.diag(grid)[:-1], (n, 1))
+    d[at, of] -= before[at, of] + after[at, of] + own
+    right, left = after[:, :-1], before[:, :-1]
+    return gain + entropy_term(d + right + left + own[:, None]) - entropy_term(d + right) - entropy_term(d + left) + entropy_term(d)
+
+
+def best_moves(grid: np.ndarray, of: np.ndarray, sides: np.ndarray) -> np.ndarray:
+    """The class of each word after its best move; words alike in class and counts are looked at once."""
+    kinds, which = np.unique(np.concatenate([sides, of[:, None]], 1), axis=0, return_inverse=True)
+    best = np.zeros(len(kinds), np.int64)
+    for a in range(0, len(kinds), 2048):
+        some = kinds[a:a + 2048]
+        now, gain = some[:, -1], gains(grid, some[:, -1], some[:, :-1])
+        to = gain.argmax(1)
+        at = np.arange(len(some))
+        best[a:a + 2048] = np.where(gain[at, to] > gain[at, now] + 1e-9, to, now)
+    return best[which.ravel()]
+
+
+LINKS = "part int, block long, codes binary, ids binary, classes binary, moved long"
+
+
+def deal_words(listed: DataFrame, named: DataFrame, parts: int) -> DataFrame:
+    """Training words dealt to parts: a row for each block of a part (the block's codes, their numbers in the part and classes), and block -1 with all."""
+
+    def deal(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        words = table["word"].combine_chunks().dictionary_encode()
+        words = words.chunk(0) if isinstance(words, pa.ChunkedArray) else words
+        order = pc.sort_indices(words.dictionary).to_numpy()
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        ids = rank[words.indices.to_numpy()].astype(np.int32)
+        block, code, kind = (table[c].to_numpy() for c in ("block", "code", "class"))
+        all_ = np.zeros(len(order), np.uint8)
+        all_[ids] = kind
+        by = np.argsort(block, kind="stable")
+        cuts = np.flatnonzero(np.append(True, np.diff(block[by]) != 0))
+        out = [(int(block[i[0]]), packed(code[i].astype(np.int32)), packed(ids[i]), packed(all_[ids[i]]), None) for i in np.split(by, cuts[1:])]
+        out.append((-1, None, None, packed(all_), words.dictionary.take(pa.array(order)).to_pylist()))
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.string()))
+        columns = {n: pa.array(list(v), t) for n, v, t in zip(("block", "codes", "ids", "classes", "words"), zip(*out), kinds)}
+        return pa.table({"part": pa.array([key[0].as_py()] * len(out), pa.int32())} | columns | {"moved": pa.array([0] * len(out), pa.int64())})
+
+    rows = listed.select("block", "code", "word").join(named.select("word", "class"), "word")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(parts)).cast("int"))
+    return rows.groupBy("part").applyInArrow(deal, LINKS.replace(", moved", ", words array<string>, moved"))
+
+
+def neighbour_counts(blocks: DataFrame, links: DataFrame, c: int) -> DataFrame:
+    """For each block and part: words, sides and counts of neighbours by class; on a block's first row the class bigrams."""
+    width = 2 * c + 1
+
+    def count(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = {"part": [], "ids": [], "sides": [], "n": [], "cells": []}
+        if left.num_rows and right.num_rows:
+            row = left.to_pylist()[0]
+            codes, lengths, held = codes_of(row)
+            end = row["n_listed"]
+            kind, part, number = np.full(end + 1, c - 1), np.full(end + 1, -1), np.zeros(end + 1, np.int64)
+            for r in right.to_pylist():
+                at = unpacked(r["codes"], np.int32)
+                kind[at], part[at], number[at] = unpacked(r["classes"], np.uint8), r["part"], unpacked(r["ids"], np.int32)
+            seq, _ = running(codes, lengths, end, ~held)
+            last = np.append(end, seq[:-1]) if len(seq) else seq
+            cells = np.bincount(kind[last] * c + kind[seq], minlength=c * c)
+            same = (last == seq) & (seq != end)
+            one, two = (seq != end) & ~same, (last != end) & ~same
+            keys = np.concatenate([seq[one] * width + kind[last[one]], last[two] * width + c + kind[seq[two]], seq[same] * width + 2 * c])
+            if end * width <= 1 << 23:
+                n = np.bincount(keys)
+                keys = np.flatnonzero(n)
+                n = n[keys]
+            else:
+                keys, n = np.unique(keys, return_counts=True)
+            word, side = keys // width, keys % width
+            by = np.argsort(part[word], kind="stable")
+            cuts = np.flatnonzero(np.append(True, np.diff(part[word[by]]) != 0)) if len(by) else by
+            for i in np.split(by, cuts[1:]) if len(by) else ():
+                out["part"].append(int(part[word[i[0]]]))
+                out["ids"].append(packed(number[word[i]].astype(np.int32)))
+                out["sides"].append(packed(side[i].astype(np.uint8)))
+                out["n"].append(packed(n[i].astype(np.int32)))
+                out["cells"].append(None if out["cells"] else cells.tolist())
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+        return pa.table({k: pa.array(v, t) for (k, v), t in zip(out.items(), kinds)})
+
+    left = blocks.select("block", "held", "lengths", "codes", F.size("words").alias("n_listed"))
+    right = links.where("block >= 0").select(F.col("block").alias("of_block"), "part", "codes", "ids", "classes")
+    return left.groupBy("block").cogroup(right.groupBy("of_block")).applyInArrow(count, "part int, ids binary, sides binary, n binary, cells array<long>")
+
+
+def summed_cells(rows: DataFrame, c: int) -> np.ndarray:
+    grid = np.zeros(c * c)
+    for r in rows.select(F.posexplode("cells").alias("cell", "n")).groupBy("cell").agg(F.sum("n").alias("n")).collect():  # a row per class pair
+        grid[r["cell"]] = r["n"]
+    return grid.reshape(c, c)
+
+
+def moved_words(said: DataFrame, links: DataFrame, grid: np.ndarray, share: int, turn: int) -> DataFrame:
+    """The links after the best moves of one in ``share`` words."""
+    width = 2 * len(grid) + 1
+
+    def choose(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = right.to_pylist()
+        of = unpacked(next(r["classes"] for r in rows if r["block"] < 0), np.uint8).astype(np.int64)
+        sides = np.zeros(len(of) * width, np.int64)
+        for r in left.to_pylist():
+            sides[unpacked(r["ids"], np.int32).astype(np.int64) * width + unpacked(r["sides"], np.uint8)] += unpacked(r["n"], np.int32)
+        new = of.copy()
+        mine = (np.arange(len(of)) + turn) % share == 0
+        new[mine] = best_moves(grid, of[mine], sides.reshape(-1, width)[mine])
+        moved, new = int((new != of).sum()), new.astype(np.uint8)
+        classes = [packed(new if r["block"] < 0 else new[unpacked(r["ids"], np.int32)]) for r in rows]
+        return pa.table({n: right[n] for n in ("part", "block", "codes", "ids")} | {"classes": pa.array(classes, pa.binary()), "moved": pa.array([moved * (r["block"] < 0) for r in rows], pa.int64())})
+
+    left = said.select(F.col("part").alias("of_part"), "ids", "sides", "n")
+    return left.groupBy("of_part").cogroup(links.select("part", "block", "codes", "ids", "classes").groupBy("part")).applyInArrow(choose, LINKS)
+
+
+def exchanged(blocks: DataFrame, listed: DataFrame, named: DataFrame, c: int, types: int, tokens: int) -> DataFrame:
+    """(word, n, class) of all training words after rounds of exchange moves from the classes in ``named``; ``c`` counts the end."""
+    links = written(deal_words(listed, named, -(-types // PART)), "links")
+    words = links.where("block < 0").select("part", "words")
+    share, turn, best = 1, 0, None
+    while share <= SHARE:
+        said = written(neighbour_counts(blocks, links, c), "said")
+        grid = summed_cells(said, c)
+        now = likelihood(grid)
+        if best is not None and now <= best[0]:
+            share *= 2
+        else:
+            still = best is not None and now - best[0] < STILL * tokens
+            best = (now, links, said, grid)
+            if still:
+                break
+        turn += 1
+        links = written(moved_words(best[2], best[1], best[3], share, turn), "links")
+        if share == 1 and not links.agg(F.sum("moved")).first()[0]:
+            break
+
+    def names(left: pa.Table, right: pa.Table) -> pa.Table:
+        kinds = unpacked(right["classes"][0].as_py(), np.uint8).astype(np.int32)
+        return pa.table({"word": left["words"].combine_chunks().flatten(), "class": pa.array(kinds)})
+
+    last = best[1].where("block < 0").select(F.col("part").alias("of_part"), "classes")
+    found = words.groupBy("part").cogroup(last.groupBy("of_part")).applyInArrow(names, "word string, class int")
+    return named.select("word", "n").join(found, "word")
+
+
 def score(docs: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each whole text (log10)."""
     spark = docs.sparkSession
@@ -247,9 +432,9 @@ def score(docs: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES) ->
         known = spark.createDataFrame([(w, int(c)) for w, c in zip(top, of)], "word string, class int")
         named = counted.join(rest.unionByName(known), "word", "left").select("word", "n", F.coalesce("class", F.lit(largest)).alias("class"))
         end = int(of.max()) + 1
+        named = written(exchanged(blocks, listed, written(named, "seeds"), end + 1, n_types, total), "classes")
     else:
-        named, end = counted.select("word", "n", F.lit(0).alias("class")), 0
-    named = written(named, "classes")
+        named, end = written(counted.select("word", "n", F.lit(0).alias("class")), "classes"), 0
     mass, once = np.zeros(end + 1), np.zeros(end + 1)
     for r in named.groupBy("class").agg(F.sum("n").alias("n"), F.sum((F.col("n") == 1).cast("long")).alias("once")).collect():  # a row per class
         mass[r["class"]], once[r["class"]] = r["n"], r["once"]
@@ -271,10 +456,7 @@ def score(docs: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES) ->
     left = blocks.select("block", "doc_ids", "held", "lengths", "codes", F.size("words").alias("n_listed"))
     ready = left.groupBy("block").cogroup(back.groupBy("of_block")).applyInArrow(with_model, f"block long, doc_ids array<{kind}>, held binary, lengths binary, codes binary, n binary, class binary, cells array<long>")
     ready = written(ready, "ready")
-    grid = np.zeros((end + 1) ** 2)
-    for r in ready.select(F.posexplode("cells").alias("cell", "n")).groupBy("cell").agg(F.sum("n").alias("n")).collect():  # a row per class pair
-        grid[r["cell"]] = r["n"]
-    grid = grid.reshape(end + 1, end + 1)
+    grid = summed_cells(ready, end + 1)
     mass[end] = n_ends
     share = (mass + 1) / (mass.sum() + end + 1)
     step = (grid + (end + 1) * share) / (grid.sum(1, keepdims=True) + end + 1)

@@ -85,6 +85,41 @@ def test_exchange_separates_two_languages():
     assert len(set(of[:10])) == 1 and len(set(of[10:20])) == 1 and of[0] != of[10]
 
 
+def test_gains_equal_the_likelihood():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 4, (13, 13)) * (rng.random((13, 13)) < 0.5)
+    of = np.append(rng.integers(0, 4, 12), 4)  # the last is the end
+
+    def grid(classes):
+        member = np.eye(5)[classes]
+        return member.T @ counts @ member
+
+    others = counts - np.diag(np.diag(counts))
+    sides = np.concatenate([others.T @ np.eye(5)[of], others @ np.eye(5)[of], np.diag(counts)[:, None]], 1)[:12].astype(int)
+    got = class_lm.gains(grid(of), of[:12], sides)
+    for w in range(12):
+        wanted = [class_lm.likelihood(grid(np.where(np.arange(13) == w, b, of))) for b in range(4)]
+        assert np.allclose(got[w] - got[w, of[w]], np.array(wanted) - wanted[of[w]])
+
+
+def test_words_without_frequent_neighbours_are_exchanged(spark):
+    """Two languages of rare words, met by the few frequent words at one place only: all words find their language."""
+    import random
+
+    rng = random.Random(3)
+    docs = []
+    for i in range(400):
+        name = "ab"[i % 2]
+        text = [f"the{name}"] * 2 + [f"{name}{rng.randint(0, 60)}" for _ in range(60)]
+        docs.append((i, " ".join(text), "en", "a", 1))
+    got = class_lm.score(documents(spark, docs), frequent=2, classes=2).collect()
+    learnt = [r for r in got if not r["held_out"]]
+    # The class is known from the word before, which is worth a factor of two for each word.
+    assert sum(r["score"] - r["base_score"] for r in learnt) > 0.27 * sum(r["n_tokens"] for r in learnt)
+
+
 TEXTS = ["<|im_end|><|im_start|>assistant ok", "<\\|x", "a < b | c <\\\\|", "", "plain\ntext", "<|<|image|>", "é🙂" * 500, "\\", "<", "|"]
 
 
