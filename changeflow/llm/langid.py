@@ -5,7 +5,9 @@ edges, hashed into a fixed number of buckets. The mean of their embeddings goes
 through a linear softmax; both are trained together by stochastic gradient descent
 in numpy. A temperature fitted on labelled documents that were not trained on
 calibrates the score, and the score below which a prediction is rejected is taken
-from the same documents. Counting and prediction run in Spark tasks over whole
+from the same documents, alone and mixed in pairs of two languages: a text in two
+learnt languages is still a text. With one or two learnt languages some language
+always holds that much, and no text with a letter is rejected. Counting and prediction run in Spark tasks over whole
 texts; only the counts of a bounded sample of labelled documents reach the driver.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0 and
@@ -35,9 +37,6 @@ UNKNOWN = "und"
 SAMPLE_PER_LANGUAGE = 400
 SAMPLE = 4000
 
-#: Scores from here on are accepted, whatever the calibration says: a text in two languages is still a text.
-REJECT_AT_MOST = 0.35
-
 #: Bytes as the features see them: letters in lower case, everything else one separator.
 FOLD = np.full(256, 32, np.uint8)
 FOLD[65:91] = FOLD[97:123] = np.arange(97, 123)
@@ -129,7 +128,7 @@ def train(counts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, langu
         return counts[d][1] @ weights[counts[d][0]] + bias
 
     held = np.flatnonzero(calibrate) if calibrate.any() else fit
-    z = np.array([logits_of(d) for d in held])
+    z = np.array([logits_of(d) for d in held], np.float64)
 
     def log_p(scale):
         s = z * scale
@@ -139,9 +138,23 @@ def train(counts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, langu
     scale = min(np.geomspace(0.1, 10, 41), key=lambda x: -log_p(x)[np.arange(len(held)), labels[held]].mean())
     p = np.exp(log_p(scale))
     right = p[np.arange(len(held)), labels[held]][p.argmax(1) == labels[held]]
-    # Reject what scores below nearly all right predictions, and never what one language holds REJECT_AT_MOST of.
-    floor = float(np.quantile(right, 0.001)) if len(right) else 0.0
-    return Model(languages, (weights * scale).astype(np.float32), bias * scale, min(floor, REJECT_AT_MOST))
+    # Reject what scores below nearly all right predictions and mixes of two, each mixed so that neither language leads.
+    good = np.flatnonzero(p.argmax(1) == labels[held])
+    own = labels[held][good]
+    scores = [right]
+    for turn in range(1, min(len(good), 64)):
+        i, j = good, np.roll(good, turn)
+        a, b = own, np.roll(own, turn)
+        i, j, a, b = (x[a != b] for x in (i, j, a, b))
+        at = np.arange(len(i))
+        lead, lag = z[i, a] - z[i, b], z[j, b] - z[j, a]
+        part = (lag / np.maximum(lead + lag, 1e-12))[:, None]
+        s = (part * z[i] + (1 - part) * z[j]) * scale
+        e = np.exp(s - s.max(1, keepdims=True))
+        e /= e.sum(1, keepdims=True)
+        scores.append(np.minimum(e[at, a], e[at, b]))
+    floor = float(np.quantile(np.concatenate(scores), 0.001)) if len(right) else 0.0
+    return Model(languages, (weights * scale).astype(np.float32), bias * scale, floor)
 
 
 def held_out() -> Column:
