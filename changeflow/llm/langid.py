@@ -163,17 +163,18 @@ def held_out() -> Column:
 
 
 def fit(docs: DataFrame) -> Model | None:
-    """The model, from a bounded sample of labelled documents: the first of each language by hash of the id."""
-    labelled = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", F.xxhash64("doc_id").alias("key"))
-    languages = sorted(r["lang"] for r in labelled.select("lang").distinct().collect())
+    """The model, from a bounded sample of labelled rows: the first of each language by hash of id, language and text; equal rows count once."""
+    named = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    named = named.select("lang", "text", F.xxhash64("doc_id", "lang", "text").alias("key"))
+    labelled = named.select("lang", "key").distinct()
+    languages = sorted(r["lang"] for r in named.select("lang").distinct().collect())
     if not languages:
         return None
     per_language = max(2, min(SAMPLE_PER_LANGUAGE, SAMPLE // len(languages)))
     # Spark keeps the first rows of each language per task before it shuffles them.
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("key", "doc_id"))
-    chosen = labelled.withColumn("place", place).where(F.col("place") <= per_language).select("doc_id", "lang")
-    chosen = written(chosen.dropDuplicates(["doc_id"]), "sample")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most SAMPLE rows
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
+    chosen = written(labelled.withColumn("place", place).where(F.col("place") <= per_language).select("lang", "key"), "sample")
+    rows = named.join(F.broadcast(chosen), ["lang", "key"]).groupBy("lang", "key").agg(F.first("text").alias("text"))  # at most SAMPLE rows
 
     def count(batches):
         for batch, texts in text_batches(batches, limit=1 << 20):
@@ -190,7 +191,7 @@ def fit(docs: DataFrame) -> Model | None:
                     out["share"].append((n / n.sum()).astype("<f4").tobytes())
             yield pa.RecordBatch.from_pydict({"lang": pa.array(out["lang"], pa.string()), "key": pa.array(out["key"], pa.int64()), "at": pa.array(out["at"], pa.binary()), "share": pa.array(out["share"], pa.binary())})
 
-    rows = rows.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), "text", "lang")
+    rows = rows.select("key", "text", "lang")
     got = sorted(tuple(r) for r in rows.mapInArrow(count, "lang string, key long, at binary, share binary").collect())
     counts = [(np.frombuffer(a, "<u2").astype(np.int64), np.frombuffer(s, "<f4")) for _, _, a, s in got]
     labels = np.array([languages.index(r[0]) for r in got], np.int64)

@@ -71,3 +71,16 @@ def test_letters_outside_all_learnt_languages_are_rejected(spark):
     foreign = ["\u65e5\u672c\u8a9e\u306e\u6587\u7ae0\u3067\u3059 " * 20, "\u042d\u0442\u043e \u0440\u0443\u0441\u0441\u043a\u0438\u0439 \u0442\u0435\u043a\u0441\u0442 " * 20]
     score = model.probabilities(pa.array(pairs + foreign, pa.large_string())).max(1)
     assert (score[:len(pairs)] >= model.reject_below).all() and (score[len(pairs):] < model.reject_below).all(), (score, model.reject_below)
+
+
+def test_sample_is_of_rows_not_ids(spark, monkeypatch):
+    """One id with many rows of two languages: its rows keep their own labels, and the sample stays bounded."""
+    from collections import Counter
+
+    rows_ = [(1, f"{'uno dos tres' if i % 2 else 'one two three'} {i}", "es" if i % 2 else "en", "a", 1) for i in range(100)]
+    rows_ += rows_[:2] * 50
+    seen = []
+    monkeypatch.setattr(langid, "SAMPLE_PER_LANGUAGE", 20)
+    monkeypatch.setattr(langid, "train", lambda counts, labels, languages, calibrate: seen.append(Counter(languages[i] for i in labels)))
+    langid.fit(documents(spark, rows_))
+    assert seen == [{"en": 20, "es": 20}]
