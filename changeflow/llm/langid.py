@@ -12,7 +12,9 @@ texts; only the counts of a bounded sample of labelled documents reach the drive
 
 Defined results: a text that is null or has no letter is ``und`` with score 0 and
 is not accepted. Ties go to the alphabetically first language. Without labelled
-rows there is nothing to learn: every text is ``und``. Repeated rows are predicted
+rows outside the held-out quarter there is nothing to learn: every text is ``und``
+with score 0, and accepted if it has a letter, so that a stage before others does
+not empty the corpus. Repeated rows are predicted
 row by row; an empty table gives an empty table; other columns are ignored.
 """
 
@@ -212,7 +214,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             lettered = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
             if model is None:
                 name, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
-                accepted = np.zeros(len(texts), bool)
+                accepted = lettered
             else:
                 p = model.probabilities(texts)
                 score = np.where(lettered, p.max(1), 0.0)
@@ -229,16 +231,14 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is accepted."""
+    """The rows of ``docs``, all columns, whose language is accepted; where nothing can be learnt, all with a letter."""
     model = model or fit(docs)
-    if model is None:
-        return docs.limit(0)
     schema = docs.schema
 
     def task(batches):
         for batch, texts in text_batches(batches, limit=1 << 20):
             lettered = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
-            good = lettered & (model.probabilities(texts).max(1) >= model.reject_below)
+            good = lettered if model is None else lettered & (model.probabilities(texts).max(1) >= model.reject_below)
             yield batch.filter(pa.array(good))
 
     return docs.mapInArrow(task, schema)

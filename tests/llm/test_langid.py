@@ -84,3 +84,9 @@ def test_sample_is_of_rows_not_ids(spark, monkeypatch):
     monkeypatch.setattr(langid, "train", lambda counts, labels, languages, calibrate: seen.append(Counter(languages[i] for i in labels)))
     langid.fit(documents(spark, rows_))
     assert seen == [{"en": 20, "es": 20}]
+
+
+def test_unlabelled_rows_are_kept_if_they_have_a_letter(spark):
+    docs = documents(spark, [(1, "some words", None, None, 1), (2, "12 --", None, None, 1), (3, None, None, None, 1)])
+    assert [r["doc_id"] for r in langid.keep_identified(docs).collect()] == [1]
+    assert [r["doc_id"] for r in langid.identify(docs).where("accepted").collect()] == [1]
