@@ -4,9 +4,10 @@ Each row gets a key, a 64-bit hash of its normalised text. A histogram of key
 prefixes drives directory doubling: a bucket with more rows than its capacity is
 split by one more key bit until it fits or the directory has its full depth. The
 index (key, row) is written in bucket order, so each file holds the pages of a
-range of buckets, and a long chain of equal keys runs over several files. Tasks
-then own key ranges: keys met once are unique; for keys met more often the texts
-are compared byte by byte, and different texts of one key are chained apart.
+range of buckets, and a long chain of equal keys runs over several files. The
+directory does not route the search for copies: that is a grouping of the index
+by key and joins on it. Keys met once are unique; for keys met more often the texts
+are compared byte by byte, and different texts of one key are kept apart.
 Only texts whose key repeats are ever moved, one of equal texts per task.
 
 Defined results: null text counts as empty. Of equal texts the smallest id stays;
