@@ -40,8 +40,9 @@ def bin_of(value: Column, cuts: list[tuple[object, int]]) -> Column:
     out = None
     for low, number in reversed(cuts[1:]):
         out = F.when(value >= F.lit(low), number) if out is None else out.when(value >= F.lit(low), number)
-    first = F.lit(cuts[0][1] if cuts else 0)
-    return first if out is None else out.otherwise(first)
+    low, number = cuts[0]
+    # A dimension of one value: a condition, as the curve's steps would copy a literal into each other.
+    return F.when(value >= F.lit(low), number).otherwise(number + 1) if out is None else out.otherwise(number)
 
 
 def hilbert_steps(names: list[str], bits: int) -> list[list[tuple[str, str]]]:
@@ -109,7 +110,10 @@ def hilbert_shards(rows: DataFrame, dims: dict[str, Column], ties: list[str], n_
     cols = rows.columns
     cells = rows
     for name, value in dims.items():
-        cells = cells.withColumn(f"__bin_{name}", bin_of(value, bin_cuts(rows, value, bits)))
+        cuts = bin_cuts(rows, value, bits)
+        if not cuts:  # no rows
+            return rows.limit(0).select("*", F.lit(0).cast("long").alias("hilbert"), F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
+        cells = cells.withColumn(f"__bin_{name}", bin_of(value, cuts))
     cells = hilbert_index(cells, [f"__bin_{n}" for n in dims], bits).select(*cols, "hilbert")
     placed, total = prefix_sums(cells, ["hilbert", *ties], {"__at": F.lit(1)})
     n = max(1, total["__at"])
