@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import work_dir
 from ..sources.tables import read_table
-from . import chat, class_lm, exact_dedup, langid, near_dedup, packing, piece_bpe, quality, sharding, tokenfile
+from . import chat, class_lm, divergence, exact_dedup, langid, near_dedup, packing, phrases, piece_bpe, quality, sharding, tokenfile, url_filter
 from .common import written
 
 
@@ -57,11 +57,24 @@ def op10_best_fit_packing(spark, sf_dir, tokenizer=public_tokenizers.path("byte_
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer)
 
 
+def op11_url_filter(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, url_filter.build_index(url_filter.page_entries(pages)))
+
+
+def op12_phrases(spark, sf_dir):
+    return phrases.top_phrases(phrases.mine(read_table(spark, sf_dir, "documents")))
+
+
+def op13_divergence(spark, sf_dir):
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_language_id, op3_token_files, op4_hilbert_shards, op5_piece_bpe, op6_exact_dedup,
-        op7_near_dedup, op8_class_lm, op9_chat_format, op10_best_fit_packing,
+        op7_near_dedup, op8_class_lm, op9_chat_format, op10_best_fit_packing, op11_url_filter, op12_phrases, op13_divergence,
     )
 }
 
@@ -70,4 +83,7 @@ ORACLE = {
     "op4_hilbert_shards": sharding.oracle_sql(),
     "op6_exact_dedup": exact_dedup.ORACLE_SQL,
     "op9_chat_format": chat.ORACLE_SQL,
+    "op11_url_filter": url_filter.ORACLE_SQL,
+    "op12_phrases": phrases.oracle_sql(),
+    "op13_divergence": divergence.oracle_sql(),
 }
