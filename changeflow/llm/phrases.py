@@ -1,11 +1,11 @@
 """Phrase collocations by Toivonen's sampling: a sample proposes, full passes count exactly.
 
 Texts are kept as blocks, one per language, sample and batch: codes into the block's own word list with a mark between
-pieces. Phrases that are frequent in the sample (at a lowered threshold) form a proposed set. A full
-pass counts that set and its negative border, the phrases outside it whose two longest parts are both inside (all words,
-to begin with). A border phrase that turns out frequent is a failure of the sample: it joins the set, and a further pass
+pieces. Words are counted from the blocks' lists. The longer phrases that are frequent in the sample (at a lowered threshold) form,
+with the frequent words, a proposed set. A full
+pass counts that set and its negative border, the phrases outside it whose two longest parts are both inside. A border phrase that turns out frequent is a failure of the sample: it joins the set, and a further pass
 counts what the border gained. No frequent phrase is missed when a pass adds nothing, as all parts of a frequent phrase are
-frequent. The sample's own set is found by the same passes from the empty set.
+frequent. The sample's own set is found by the same passes over the sample from the frequent words.
 
 The set is sent to the tasks as a bit filter of a fixed size. A phrase that the filter takes for a member by mistake
 only makes the border larger: it is counted like the others, and counts are exact whatever the sample and the filter said.
@@ -42,7 +42,7 @@ COVERED = 80
 #: Bits of the filter (8 MB), whatever the corpus.
 FILTER_BITS = 1 << 26
 #: Bytes of text in a block.
-BLOCK = 12 << 20
+BLOCK = 6 << 20
 
 PIECE_END = np.zeros(256, dtype=bool)
 PIECE_END[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -64,18 +64,18 @@ def word_codes(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.nd
     first = offsets[:-1][offsets[:-1] < offsets[1:]]
     begins[first] = solid[first]
     starts = np.flatnonzero(begins)
-    upto = np.cumsum(solid)
+    upto = np.cumsum(solid, dtype=np.int32)
     ends = np.append(upto[starts] - 1, upto[-1] if len(upto) else 0).astype(np.int64)
     letters = FOLD[data[solid]]
     words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends.tobytes()), pa.py_buffer(letters.tobytes())).dictionary_encode()
     text = np.searchsorted(offsets, starts, "right") - 1
-    piece = np.cumsum(PIECE_END[data])[starts] if len(starts) else starts
+    piece = np.cumsum(PIECE_END[data], dtype=np.int32)[starts] if len(starts) else starts
     fresh = np.append(True, (text[1:] != text[:-1]) | (piece[1:] != piece[:-1]))[:len(starts)]
-    return words.indices.to_numpy().astype(np.int64), words.dictionary, text, fresh
+    return words.indices.to_numpy(), words.dictionary, text, fresh
 
 
 def word_blocks(docs: DataFrame, one_in: int) -> DataFrame:
-    """Blocks of one language, in the sample or not: word list, codes with -1 before each piece, and number of words."""
+    """Blocks of one language, in the sample or not: word list with counts and hashes, and codes with -1 before each piece."""
 
     def task(batches):
         for batch, texts in text_batches(batches, limit=BLOCK):
@@ -87,16 +87,20 @@ def word_blocks(docs: DataFrame, one_in: int) -> DataFrame:
                 mine = of == k
                 used, seq = np.unique(codes[mine], return_inverse=True)
                 at = np.flatnonzero(fresh[mine])
-                seq = np.insert(seq, at, -1).astype(np.int32)
+                counts = np.bincount(seq, minlength=len(used))
+                seq = np.insert(seq.astype(np.int32), at, -1)
+                lang, own = langs.dictionary[k // 2].as_py(), words.take(pa.array(used)).cast(pa.string())
+                ends = pa.array([0, len(used)], pa.int32())
                 yield pa.RecordBatch.from_pydict({
-                    "lang": [langs.dictionary[k // 2].as_py()], "sampled": [bool(k % 2)], "n": [int(mine.sum())],
-                    "words": pa.ListArray.from_arrays(pa.array([0, len(used)], pa.int32()), words.take(pa.array(used)).cast(pa.string())),
+                    "lang": [lang], "sampled": [bool(k % 2)],
+                    "words": pa.ListArray.from_arrays(ends, own), "counts": pa.ListArray.from_arrays(ends, pa.array(counts)),
+                    "hashes": pa.array([word_hash(lang, own.to_pylist()).tobytes()], pa.binary()),
                     "codes": pa.array([zstandard.compress(seq.tobytes(), 1)], pa.binary()),
                 })
 
     sampled = F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_in)) == 0
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), sampled.alias("sampled"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(task, "lang string, sampled boolean, n long, words array<string>, codes binary")
+    return rows.mapInArrow(task, "lang string, sampled boolean, words array<string>, counts array<long>, hashes binary, codes binary")
 
 
 def word_hash(lang: str, words: list[str]) -> np.ndarray:
@@ -124,12 +128,9 @@ def inside(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def block_phrases(lang: str, words: pa.Array, seq: np.ndarray, old: np.ndarray | None, new: np.ndarray, most: int):
-    """(phrases, number of words, counts) of the block that ``new`` admits and ``old`` did not; without ``old`` all words too."""
+def block_phrases(words: pa.Array, base: np.ndarray, seq: np.ndarray, old: np.ndarray | None, new: np.ndarray, most: int):
+    """(phrases, number of words, counts) of the block that ``new`` admits and ``old`` did not."""
     ids = seq.astype(np.int64)
-    base = word_hash(lang, words.to_pylist())
-    if old is None:
-        yield words, 1, np.bincount(ids[ids >= 0], minlength=len(words))
     grams, hashes, met = np.arange(len(words))[:, None], base, np.full(len(words), old is not None)
     for n in range(2, most + 1):
         member = np.append(inside(new, hashes), False)  # -1: no phrase
@@ -158,13 +159,14 @@ def counted(blocks: DataFrame, old: np.ndarray | None, new: np.ndarray, least: i
     def task(batches):
         old, new = sent.value
         for batch in batches:
-            for lang, words, codes in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-                seq = np.frombuffer(zstandard.decompress(codes), np.int32)
-                for phrases, n, counts in block_phrases(lang, words.values.cast(pa.large_string()), seq, old, new, most):
+            for lang, words, hashes, codes in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3)):
+                seq = np.frombuffer(zstandard.decompress(codes.as_py()), np.int32)
+                base = np.frombuffer(hashes.as_py(), np.uint64)
+                for phrases, n, counts in block_phrases(words.values.cast(pa.large_string()), base, seq, old, new, most):
                     size = len(phrases)
                     yield pa.RecordBatch.from_pydict({"lang": pa.repeat(lang, size), "phrase": phrases.cast(pa.string()), "words": pa.repeat(pa.scalar(n, pa.int32()), size), "a": pa.array(counts.astype(np.int64))})
 
-    rows = blocks.select("lang", "words", "codes").mapInArrow(task, "lang string, phrase string, words int, a long")
+    rows = blocks.select("lang", "words", "hashes", "codes").mapInArrow(task, "lang string, phrase string, words int, a long")
     return written(rows.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).where(F.col("a") >= least), "phrases")
 
 
@@ -217,13 +219,16 @@ class Mined:
 
 def mine(docs: DataFrame, least: int = LEAST, most: int = WORDS, one_in: int = SAMPLE_ONE_IN) -> Mined:
     blocks = written(word_blocks(docs, one_in), "phrase_blocks")
-    empty = np.zeros(FILTER_BITS // 64, np.uint64)
-    _, proposed = closed(blocks.where("sampled"), empty, max(2, int(LOWERED * least / one_in)), most)
+    listed = blocks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("lang", F.col("w.words").alias("phrase"), F.col("w.counts").alias("a"))
+    frequent = written(listed.groupBy("lang", "phrase").agg(F.sum("a").alias("a")).where(F.col("a") >= least), "words")
+    words = marked(frequent, np.zeros(FILTER_BITS // 64, np.uint64))
+    frequent = frequent.select("lang", "phrase", F.lit(1).alias("words"), "a")
+    _, proposed = closed(blocks.where("sampled"), words, max(2, int(LOWERED * least / one_in)), most)
     tables, _ = closed(blocks, proposed, least, most)
-    frequent = tables[0]
-    for t in tables[1:]:
+    for t in tables:
         frequent = frequent.unionByName(t)
-    return Mined(frequent, blocks.groupBy("lang").agg(F.sum("n").alias("n")), len(tables))
+    totals = blocks.groupBy("lang").agg(F.sum(F.expr("aggregate(counts, 0L, (s, c) -> s + c)")).alias("n"))
+    return Mined(frequent, totals, len(tables))
 
 
 def top_phrases(mined: Mined, top: int = TOP, covered: int = COVERED) -> DataFrame:
