@@ -3,12 +3,13 @@
 Texts are kept as blocks, one per language, sample and batch: codes into the block's own word list with a mark between
 pieces. Words are counted from the blocks' lists. The longer phrases that are frequent in the sample (at a lowered threshold) form,
 with the frequent words, a proposed set. A full
-pass counts that set and its negative border, the phrases outside it whose two longest parts are both inside. A border phrase that turns out frequent is a failure of the sample: it joins the set, and a further pass
-counts what the border gained. No frequent phrase is missed when a pass adds nothing, as all parts of a frequent phrase are
-frequent. The sample's own set is found by the same passes over the sample from the frequent words.
+pass counts that set and its negative border, the phrases outside it whose two longest parts are both inside. A border
+phrase that turns out frequent is a failure of the sample: it joins the set, and a further pass counts what the border
+gained. No frequent phrase is missed when a pass adds nothing, as all parts of a frequent phrase are frequent. The sample's own set is found by the same passes over the sample from the frequent words.
 
-The set is sent to the tasks as a bit filter of a fixed size. A phrase that the filter takes for a member by mistake
-only makes the border larger: it is counted like the others, and counts are exact whatever the sample and the filter said.
+Passes count phrases by a 64-bit hash, and the set is sent to the tasks as a bit filter of a fixed size. Phrases that share a
+hash, or that the filter takes for members by mistake, only make the set or its border larger, never smaller. A last pass counts
+the phrases found frequent by their texts: results are exact whatever the sample, the hash and the filter said.
 
 Defined results: a null text is empty, a null language ``und``. Repeated rows and copies all count, overlapping
 occurrences too. Words keep the spelling of their bytes but for A-Z. Ties follow the contract: the earliest cut, then
@@ -129,7 +130,7 @@ def inside(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def block_phrases(words: pa.Array, base: np.ndarray, seq: np.ndarray, old: np.ndarray | None, new: np.ndarray, most: int):
-    """(phrases, number of words, counts) of the block that ``new`` admits and ``old`` did not."""
+    """(word codes, hashes, counts) of the block's phrases that ``new`` admits and ``old`` did not, for each number of words."""
     ids = seq.astype(np.int64)
     grams, hashes, met = np.arange(len(words))[:, None], base, np.full(len(words), old is not None)
     for n in range(2, most + 1):
@@ -147,64 +148,81 @@ def block_phrases(words: pa.Array, base: np.ndarray, seq: np.ndarray, old: np.nd
         met = before[head] & before[tail]  # counted by an earlier pass
         fresh = ~met
         grams, hashes = np.column_stack([grams[head], last]), longer_hash(hashes[head], base[last])
-        if fresh.any():
-            parts = [words.take(pa.array(grams[fresh, k])) for k in range(n)]
-            yield pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())), n, counts[fresh]
+        yield grams[fresh], hashes[fresh], counts[fresh]
+
+
+def blocks_of(batch: pa.RecordBatch):
+    for lang, words, hashes, codes in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3)):
+        seq = np.frombuffer(zstandard.decompress(codes.as_py()), np.int32)
+        yield lang, words.values.cast(pa.large_string()), np.frombuffer(hashes.as_py(), np.uint64), seq
 
 
 def counted(blocks: DataFrame, old: np.ndarray | None, new: np.ndarray, least: int, most: int) -> DataFrame:
-    """(lang, phrase, words, a) of the phrases newly admitted that occur ``least`` times, written."""
+    """The hashes of phrases newly admitted whose counts reach ``least``."""
     sent = blocks.sparkSession.sparkContext.broadcast((old, new))
 
     def task(batches):
         old, new = sent.value
         for batch in batches:
-            for lang, words, hashes, codes in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3)):
-                seq = np.frombuffer(zstandard.decompress(codes.as_py()), np.int32)
-                base = np.frombuffer(hashes.as_py(), np.uint64)
-                for phrases, n, counts in block_phrases(words.values.cast(pa.large_string()), base, seq, old, new, most):
+            for _, words, base, seq in blocks_of(batch):
+                for _, hashes, counts in block_phrases(words, base, seq, old, new, most):
+                    yield pa.RecordBatch.from_pydict({"hash": pa.array(hashes.view(np.int64)), "a": pa.array(counts.astype(np.int64))})
+
+    rows = blocks.select("lang", "words", "hashes", "codes").mapInArrow(task, "hash long, a long")
+    return rows.groupBy("hash").agg(F.sum("a").alias("a")).where(F.col("a") >= least).select("hash")
+
+
+def recounted(blocks: DataFrame, members: np.ndarray, least: int, most: int) -> DataFrame:
+    """(lang, phrase, words, a) of all phrases in the set, counted by their texts."""
+    sent = blocks.sparkSession.sparkContext.broadcast(members)
+
+    def task(batches):
+        members = sent.value
+        for batch in batches:
+            for lang, words, base, seq in blocks_of(batch):
+                for grams, hashes, counts in block_phrases(words, base, seq, None, members, most):
+                    mine = inside(members, hashes)
+                    parts = [words.take(pa.array(c)) for c in grams[mine].T]
+                    phrases = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
                     size = len(phrases)
-                    yield pa.RecordBatch.from_pydict({"lang": pa.repeat(lang, size), "phrase": phrases.cast(pa.string()), "words": pa.repeat(pa.scalar(n, pa.int32()), size), "a": pa.array(counts.astype(np.int64))})
+                    yield pa.RecordBatch.from_pydict({"lang": pa.repeat(lang, size), "phrase": phrases.cast(pa.string()), "words": pa.repeat(pa.scalar(len(parts), pa.int32()), size), "a": pa.array(counts[mine].astype(np.int64))})
 
     rows = blocks.select("lang", "words", "hashes", "codes").mapInArrow(task, "lang string, phrase string, words int, a long")
     return written(rows.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).where(F.col("a") >= least), "phrases")
 
 
-def marked(frequent: DataFrame, bits: np.ndarray) -> np.ndarray:
-    """``bits`` with the bits of all ``frequent`` phrases."""
+def word_marks(words: DataFrame) -> DataFrame:
+    """The hashes of ``words`` (lang, phrase)."""
 
     def task(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
             for lang in pc.unique(batch.column(0)).to_pylist():
-                phrases = [p.split(" ") for p in batch.column(1).filter(pc.equal(batch.column(0), lang)).to_pylist()]
-                by: dict[int, list] = {}
-                for p in phrases:
-                    by.setdefault(len(p), []).append(p)
-                for n, some in by.items():
-                    h = word_hash(lang, [p[0] for p in some])
-                    for k in range(1, n):
-                        h = longer_hash(h, word_hash(lang, [p[k] for p in some]))
-                    at = np.concatenate(places(h))
-                    yield pa.RecordBatch.from_pydict({"slot": pa.array((at >> np.uint64(6)).astype(np.int32)), "mark": pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))})
-
-    rows = frequent.select("lang", "phrase").mapInArrow(task, "slot int, mark long").groupBy("slot").agg(F.bit_or("mark").alias("mark"))
-    got = rows.toArrow()  # at most FILTER_BITS / 64 rows
-    out = bits.copy()
-    if got.num_rows:
-        out[got["slot"].to_numpy()] |= got["mark"].to_numpy().view(np.uint64)
+                some = batch.column(1).filter(pc.equal(batch.column(0), lang))
+                yield pa.RecordBatch.from_pydict({"hash": pa.array(word_hash(lang, some.to_pylist()).view(np.int64))})
+
+    return words.select("lang", "phrase").mapInArrow(task, "hash long")
+
+
+def marked(hashes: DataFrame, *sets: np.ndarray) -> list[np.ndarray]:
+    """Each of ``sets`` with the bits of all ``hashes``, as ``places`` puts them."""
+    h = F.col("hash").bitwiseXOR(F.shiftrightunsigned("hash", 31))
+    both = hashes.select(h.alias("h")).select(F.explode(F.array(F.col("h"), F.shiftrightunsigned("h", 33))).alias("h"))
+    at = both.select(F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1).cast("long")).alias("at"))
+    got = at.groupBy(F.shiftright("at", 6).alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS INT))")).alias("mark")).toArrow()  # at most FILTER_BITS / 64 rows
+    out = [s.copy() for s in sets]
+    for s in out if got.num_rows else ():
+        s[got["slot"].to_numpy()] |= got["mark"].to_numpy().view(np.uint64)
     return out
 
 
-def closed(blocks: DataFrame, proposed: np.ndarray, least: int, most: int) -> tuple[list[DataFrame], np.ndarray]:
-    """Passes over ``blocks`` until the border of the set holds no frequent phrase: their tables, which do not overlap, and the set."""
-    tables, old, new = [], None, proposed
+def closed(blocks: DataFrame, words: np.ndarray, proposed: np.ndarray, least: int, most: int) -> tuple[np.ndarray, int]:
+    """Passes over ``blocks`` until the border of the set holds no frequent phrase: the frequent phrases (with ``words``), and the passes."""
+    old, new, frequent, passes = None, proposed, words, 0
     while True:
-        tables.append(counted(blocks, old, new, least, most))
-        grown = marked(tables[-1], new)
+        grown, frequent = marked(counted(blocks, old, new, least, most), new, frequent)
+        passes += 1
         if (grown == new).all():
-            return tables, new
+            return frequent, passes
         old, new = new, grown
 
 
@@ -221,14 +239,12 @@ def mine(docs: DataFrame, least: int = LEAST, most: int = WORDS, one_in: int = S
     blocks = written(word_blocks(docs, one_in), "phrase_blocks")
     listed = blocks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("lang", F.col("w.words").alias("phrase"), F.col("w.counts").alias("a"))
     frequent = written(listed.groupBy("lang", "phrase").agg(F.sum("a").alias("a")).where(F.col("a") >= least), "words")
-    words = marked(frequent, np.zeros(FILTER_BITS // 64, np.uint64))
-    frequent = frequent.select("lang", "phrase", F.lit(1).alias("words"), "a")
-    _, proposed = closed(blocks.where("sampled"), words, max(2, int(LOWERED * least / one_in)), most)
-    tables, _ = closed(blocks, proposed, least, most)
-    for t in tables:
-        frequent = frequent.unionByName(t)
+    words = marked(word_marks(frequent), np.zeros(FILTER_BITS // 64, np.uint64))[0]
+    proposed, _ = closed(blocks.where("sampled"), words, words, max(2, int(LOWERED * least / one_in)), most)
+    members, passes = closed(blocks, words, proposed, least, most)
+    frequent = frequent.select("lang", "phrase", F.lit(1).alias("words"), "a").unionByName(recounted(blocks, members, least, most))
     totals = blocks.groupBy("lang").agg(F.sum(F.expr("aggregate(counts, 0L, (s, c) -> s + c)")).alias("n"))
-    return Mined(frequent, totals, len(tables))
+    return Mined(frequent, totals, passes)
 
 
 def top_phrases(mined: Mined, top: int = TOP, covered: int = COVERED) -> DataFrame:
