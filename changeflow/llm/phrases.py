@@ -43,7 +43,7 @@ COVERED = 80
 #: Bits of the filter (8 MB), whatever the corpus.
 FILTER_BITS = 1 << 26
 #: Bytes of text in a block.
-BLOCK = 6 << 20
+BLOCK = 4 << 20
 
 PIECE_END = np.zeros(256, dtype=bool)
 PIECE_END[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -158,7 +158,10 @@ def blocks_of(batch: pa.RecordBatch):
 
 
 def counted(blocks: DataFrame, old: np.ndarray | None, new: np.ndarray, least: int, most: int) -> DataFrame:
-    """The hashes of phrases newly admitted whose counts reach ``least``."""
+    """The hashes of phrases newly admitted whose counts reach ``least``.
+
+    Blocks have added up their phrases; few repeat within a task, so that they are added up after the shuffle.
+    """
     sent = blocks.sparkSession.sparkContext.broadcast((old, new))
 
     def task(batches):
@@ -167,9 +170,10 @@ def counted(blocks: DataFrame, old: np.ndarray | None, new: np.ndarray, least: i
             for _, words, base, seq in blocks_of(batch):
                 for _, hashes, counts in block_phrases(words, base, seq, old, new, most):
                     yield pa.RecordBatch.from_pydict({"hash": pa.array(hashes.view(np.int64)), "a": pa.array(counts.astype(np.int64))})
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     rows = blocks.select("lang", "words", "hashes", "codes").mapInArrow(task, "hash long, a long")
-    return rows.groupBy("hash").agg(F.sum("a").alias("a")).where(F.col("a") >= least).select("hash")
+    return rows.repartition("hash").groupBy("hash").agg(F.sum("a").alias("a")).where(F.col("a") >= least).select("hash")
 
 
 def recounted(blocks: DataFrame, members: np.ndarray, least: int, most: int) -> DataFrame:

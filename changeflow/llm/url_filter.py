@@ -74,6 +74,16 @@ def shard_of(digest: Column, n: int) -> Column:
     return (F.shiftrightunsigned(digest, 48) * n / 65536).cast("int")
 
 
+def shard_bytes(number: int, digests: np.ndarray, entries: pa.Array, kinds: np.ndarray) -> bytes:
+    """A shard as an Arrow stream, filled up so that it ends at a multiple of ``ALIGN`` with a newline after it."""
+    rows = pa.table({"digest": pa.array(digests), "entry": entries.cast(pa.large_string()), "kind": pa.array(kinds.astype(np.int8))})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema.with_metadata({"shard": str(number)})) as out:
+        out.write_table(rows.replace_schema_metadata({"shard": str(number)}))
+    blob = sink.getvalue().to_pybytes()
+    return blob + b"\0" * (-(len(blob) + 1) % ALIGN)
+
+
 def build_index(entries: DataFrame, shard_entries: int = SHARD_ENTRIES) -> UrlIndex:
     """Write the index of ``entries`` (host, path, kind): distributed, one task per shard."""
     spark = entries.sparkSession
@@ -90,16 +100,7 @@ def build_index(entries: DataFrame, shard_entries: int = SHARD_ENTRIES) -> UrlIn
     def build(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         digests = table["digest"].to_numpy().astype(np.int64).view(np.uint64)
         order = np.argsort(digests, kind="stable")
-        sink = pa.BufferOutputStream()
-        rows = pa.table({
-            "digest": pa.array(digests[order]),
-            "entry": table["entry"].combine_chunks().cast(pa.large_string()).take(pa.array(order)),
-            "kind": pa.array(table["kind"].to_numpy()[order].astype(np.int8)),
-        }).combine_chunks().replace_schema_metadata({"shard": str(key[0].as_py())})
-        with pa.ipc.new_stream(sink, rows.schema) as out:
-            out.write_table(rows)
-        blob = sink.getvalue().to_pybytes()
-        blob += b"\0" * (-(len(blob) + 1) % ALIGN)  # a newline follows
+        blob = shard_bytes(key[0].as_py(), digests[order], table["entry"].combine_chunks().take(pa.array(order)), table["kind"].to_numpy()[order])
         return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "blob": pa.array([blob], pa.binary())})
 
     path = work_dir(spark, "url_index")
@@ -149,7 +150,7 @@ def read_shards(file) -> list[Shard]:
     while file.tell() < file.size():
         with pa.ipc.open_stream(file) as rows:
             out.append(Shard(rows.read_all()))
-        file.seek(min(-(-file.tell() // ALIGN) * ALIGN, file.size()))
+        file.seek(min(-(-(file.tell() + 1) // ALIGN) * ALIGN, file.size()))
     return out
 
 

@@ -64,6 +64,17 @@ def test_equal_digests_are_told_apart():
     assert shard.find(np.array([7, 7, 7, 9, 3, 11], np.uint64), asked) == [[2], [], [0], [3], [1], []]
 
 
+def test_shards_of_one_file_are_told_apart():
+    import numpy as np
+    import pyarrow as pa
+
+    sizes = [*range(1, 40), 500]
+    blobs = [url_filter.shard_bytes(n, np.arange(n, dtype=np.uint64), pa.array(["x" * k for k in range(n)]), np.zeros(n)) for n in sizes]
+    got = url_filter.read_shards(pa.BufferReader(b"".join(b + b"\n" for b in blobs)))
+    assert [(s.number, len(s.entries)) for s in got] == [(n, n) for n in sizes]
+    assert [s.number for b in blobs for s in url_filter.read_shards(pa.BufferReader(b))] == sizes
+
+
 def test_digests_are_those_of_spark(spark):
     import xxhash
     from pyspark.sql import functions as F
