@@ -7,7 +7,7 @@ pass counts that set and its negative border, the phrases outside it whose two l
 phrase that turns out frequent is a failure of the sample: it joins the set, and a further pass counts what the border
 gained. No frequent phrase is missed when a pass adds nothing, as all parts of a frequent phrase are frequent. The sample's own set is found by the same passes over the sample from the frequent words.
 
-Passes count phrases by a 64-bit hash, and the set is sent to the tasks as a bit filter of a fixed size. Phrases that share a
+Passes count phrases by a 48-bit hash, and the set is sent to the tasks as a bit filter of a fixed size. Phrases that share a
 hash, or that the filter takes for members by mistake, only make the set or its border larger, never smaller. A last pass counts
 the phrases found frequent by their texts: results are exact whatever the sample, the hash and the filter said.
 
@@ -43,7 +43,7 @@ COVERED = 80
 #: Bits of the filter (8 MB), whatever the corpus.
 FILTER_BITS = 1 << 26
 #: Bytes of text in a block.
-BLOCK = 4 << 20
+BLOCK = 6 << 20
 
 PIECE_END = np.zeros(256, dtype=bool)
 PIECE_END[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -54,6 +54,9 @@ FOLD[65:91] += 32
 
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 SPREAD = np.uint64(0xD6E8FEB86659FD93)
+UNDO = np.uint64(pow(int(FACTOR), -1, 1 << 64))
+#: Passes count by the upper bits of a hash.
+SHORT = np.uint64(16)
 
 
 def word_codes(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
@@ -76,7 +79,7 @@ def word_codes(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.nd
 
 
 def word_blocks(docs: DataFrame, one_in: int) -> DataFrame:
-    """Blocks of one language, in the sample or not: word list with counts and hashes, and codes with -1 before each piece."""
+    """Blocks of one language, in the sample or not: word list with counts, and codes with -1 before each piece."""
 
     def task(batches):
         for batch, texts in text_batches(batches, limit=BLOCK):
@@ -95,18 +98,22 @@ def word_blocks(docs: DataFrame, one_in: int) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({
                     "lang": [lang], "sampled": [bool(k % 2)],
                     "words": pa.ListArray.from_arrays(ends, own), "counts": pa.ListArray.from_arrays(ends, pa.array(counts)),
-                    "hashes": pa.array([word_hash(lang, own.to_pylist()).tobytes()], pa.binary()),
                     "codes": pa.array([zstandard.compress(seq.tobytes(), 1)], pa.binary()),
                 })
 
     sampled = F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_in)) == 0
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), sampled.alias("sampled"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(task, "lang string, sampled boolean, words array<string>, counts array<long>, hashes binary, codes binary")
+    return rows.mapInArrow(task, "lang string, sampled boolean, words array<string>, counts array<long>, codes binary")
 
 
-def word_hash(lang: str, words: list[str]) -> np.ndarray:
-    head = f"{lang} ".encode()
-    return np.fromiter((xxhash.xxh3_64_intdigest(head + w.encode()) for w in words), np.uint64, len(words))
+def word_hash(lang: str, words: pa.Array) -> np.ndarray:
+    """Polynomials of the words' bytes modulo 2**64, by running sums; mixed with length and language."""
+    data, offsets = raw(words)
+    up, down = np.cumprod(np.full(len(data) + 1, FACTOR)), np.cumprod(np.full(len(data) + 1, UNDO))
+    upto = np.append(np.uint64(0), np.cumsum((data + np.uint64(1)) * up[:-1]))
+    h = (upto[offsets[1:]] - upto[offsets[:-1]]) * down[offsets[:-1]]
+    h = (h ^ np.diff(offsets).astype(np.uint64) ^ np.uint64(xxhash.xxh3_64_intdigest(lang.encode()))) * SPREAD
+    return (h ^ (h >> np.uint64(32))) * FACTOR
 
 
 def longer_hash(prefix: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -115,16 +122,15 @@ def longer_hash(prefix: np.ndarray, last: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(32))) * SPREAD
 
 
-def places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The two bits of each hash."""
-    h = hashes ^ (hashes >> np.uint64(31))
+def places(short: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of each shortened hash."""
     mask = np.uint64(FILTER_BITS - 1)
-    return h & mask, (h >> np.uint64(33)) & mask
+    return short & mask, (short >> np.uint64(22)) & mask
 
 
 def inside(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     out = np.ones(len(hashes), dtype=bool)
-    for at in places(hashes):
+    for at in places(hashes >> SHORT):
         out &= (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
     return out
 
@@ -152,15 +158,17 @@ def block_phrases(words: pa.Array, base: np.ndarray, seq: np.ndarray, old: np.nd
 
 
 def blocks_of(batch: pa.RecordBatch):
-    for lang, words, hashes, codes in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3)):
+    for lang, words, codes in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
         seq = np.frombuffer(zstandard.decompress(codes.as_py()), np.int32)
-        yield lang, words.values.cast(pa.large_string()), np.frombuffer(hashes.as_py(), np.uint64), seq
+        words = words.values.cast(pa.large_string())
+        yield lang, words, word_hash(lang, words), seq
 
 
 def counted(blocks: DataFrame, old: np.ndarray | None, new: np.ndarray, least: int, most: int) -> DataFrame:
-    """The hashes of phrases newly admitted whose counts reach ``least``.
+    """The shortened hashes of phrases newly admitted whose counts reach ``least``.
 
-    Blocks have added up their phrases; few repeat within a task, so that they are added up after the shuffle.
+    Blocks have added up their phrases; few repeat within a task, so that they are added up after the shuffle. They are
+    sent in the order of their hashes, for better compression.
     """
     sent = blocks.sparkSession.sparkContext.broadcast((old, new))
 
@@ -169,10 +177,11 @@ def counted(blocks: DataFrame, old: np.ndarray | None, new: np.ndarray, least: i
         for batch in batches:
             for _, words, base, seq in blocks_of(batch):
                 for _, hashes, counts in block_phrases(words, base, seq, old, new, most):
-                    yield pa.RecordBatch.from_pydict({"hash": pa.array(hashes.view(np.int64)), "a": pa.array(counts.astype(np.int64))})
+                    order = np.argsort(hashes)
+                    yield pa.RecordBatch.from_pydict({"hash": pa.array((hashes[order] >> SHORT).view(np.int64)), "a": pa.array(counts[order].astype(np.int64))})
         pa.default_memory_pool().release_unused()  # the worker lives on
 
-    rows = blocks.select("lang", "words", "hashes", "codes").mapInArrow(task, "hash long, a long")
+    rows = blocks.select("lang", "words", "codes").mapInArrow(task, "hash long, a long")
     return rows.repartition("hash").groupBy("hash").agg(F.sum("a").alias("a")).where(F.col("a") >= least).select("hash")
 
 
@@ -191,26 +200,25 @@ def recounted(blocks: DataFrame, members: np.ndarray, least: int, most: int) ->
                     size = len(phrases)
                     yield pa.RecordBatch.from_pydict({"lang": pa.repeat(lang, size), "phrase": phrases.cast(pa.string()), "words": pa.repeat(pa.scalar(len(parts), pa.int32()), size), "a": pa.array(counts[mine].astype(np.int64))})
 
-    rows = blocks.select("lang", "words", "hashes", "codes").mapInArrow(task, "lang string, phrase string, words int, a long")
+    rows = blocks.select("lang", "words", "codes").mapInArrow(task, "lang string, phrase string, words int, a long")
     return written(rows.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).where(F.col("a") >= least), "phrases")
 
 
 def word_marks(words: DataFrame) -> DataFrame:
-    """The hashes of ``words`` (lang, phrase)."""
+    """The shortened hashes of ``words`` (lang, phrase)."""
 
     def task(batches):
         for batch in batches:
             for lang in pc.unique(batch.column(0)).to_pylist():
-                some = batch.column(1).filter(pc.equal(batch.column(0), lang))
-                yield pa.RecordBatch.from_pydict({"hash": pa.array(word_hash(lang, some.to_pylist()).view(np.int64))})
+                some = batch.column(1).filter(pc.equal(batch.column(0), lang)).cast(pa.large_string())
+                yield pa.RecordBatch.from_pydict({"hash": pa.array((word_hash(lang, some) >> SHORT).view(np.int64))})
 
     return words.select("lang", "phrase").mapInArrow(task, "hash long")
 
 
 def marked(hashes: DataFrame, *sets: np.ndarray) -> list[np.ndarray]:
     """Each of ``sets`` with the bits of all ``hashes``, as ``places`` puts them."""
-    h = F.col("hash").bitwiseXOR(F.shiftrightunsigned("hash", 31))
-    both = hashes.select(h.alias("h")).select(F.explode(F.array(F.col("h"), F.shiftrightunsigned("h", 33))).alias("h"))
+    both = hashes.select(F.explode(F.array(F.col("hash"), F.shiftright("hash", 22))).alias("h"))
     at = both.select(F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1).cast("long")).alias("at"))
     got = at.groupBy(F.shiftright("at", 6).alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS INT))")).alias("mark")).toArrow()  # at most FILTER_BITS / 64 rows
     out = [s.copy() for s in sets]
