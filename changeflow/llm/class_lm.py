@@ -10,10 +10,10 @@ are shuffled, one row per block and word, to count words over all documents and
 classes back to the blocks. Classes come from the exchange algorithm. For a start, the most frequent words
 (a fixed number, whose bigram counts over all training documents fit the driver) are exchanged one at
 a time until no move raises the likelihood, and every other word takes the class that these neighbours say.
-Then all training words are exchanged in rounds: blocks count the classes of each word's neighbours, all of them
+Then all training words are exchanged in ``ROUNDS`` rounds: blocks count the classes of each word's neighbours, all of them
 classed, words are dealt to parts, and each takes its best move against the class bigrams of all documents. A round
 that does not raise the likelihood is taken back and half as many words move at once, down to an eighth;
-the rounds end when no word moves or the likelihood stays still.
+the rounds end earlier when no word moves or the likelihood stays still.
 
 Defined results: a null text counts as empty and is scored on its end alone. Repeated rows are learnt and
 scored row by row. Equal counts are ordered by word, equal moves by class number. Without training
@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import release, written
 from .wordcodes import BLANK, raw, text_batches
 
 #: Words that are exchanged one at a time, and classes besides that of the end.
@@ -39,6 +39,8 @@ CLASSES = 24
 #: A rise of the likelihood below this, in nats a token, counts as still; the least share of words that move at once.
 STILL = 1e-3
 SHARE = 8
+#: Rounds over all training words, like the epochs of any other training.
+ROUNDS = 2
 #: Words of a part, about.
 PART = 1 << 15
 #: Bytes of text in a block.
@@ -381,12 +383,13 @@ def moved_words(said: DataFrame, links: DataFrame, grid: np.ndarray, share: int,
     return left.groupBy("of_part").cogroup(links.select("part", "block", "codes", "ids", "classes").groupBy("part")).applyInArrow(choose, LINKS)
 
 
-def exchanged(blocks: DataFrame, listed: DataFrame, named: DataFrame, c: int, types: int, tokens: int) -> DataFrame:
-    """(word, n, class) of all training words after rounds of exchange moves from the classes in ``named``; ``c`` counts the end."""
+def exchanged(blocks: DataFrame, listed: DataFrame, named: DataFrame, c: int, types: int, tokens: int, rounds: int) -> DataFrame:
+    """(word, n, class) of all training words after ``rounds`` rounds of exchange moves from the classes in ``named``; ``c`` counts the end."""
     links = written(deal_words(listed, named, -(-types // PART)), "links")
     words = links.where("block < 0").select("part", "words")
     share, turn, best = 1, 0, None
-    while share <= SHARE:
+    # Each turn looks at what the last round did; the one after the last round only looks.
+    while share <= SHARE and turn <= rounds:
         said = written(neighbour_counts(blocks, links, c), "said")
         grid = summed_cells(said, c)
         now = likelihood(grid)
@@ -398,7 +401,10 @@ def exchanged(blocks: DataFrame, listed: DataFrame, named: DataFrame, c: int, ty
             if still:
                 break
         turn += 1
+        if turn > rounds:
+            break
         links = written(moved_words(best[2], best[1], best[3], share, turn), "links")
+        release(blocks.sparkSession)
         if share == 1 and not links.agg(F.sum("moved")).first()[0]:
             break
 
@@ -411,7 +417,7 @@ def exchanged(blocks: DataFrame, listed: DataFrame, named: DataFrame, c: int, ty
     return named.select("word", "n").join(found, "word")
 
 
-def score(docs: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES) -> DataFrame:
+def score(docs: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each whole text (log10)."""
     spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
@@ -432,7 +438,7 @@ def score(docs: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES) ->
         known = spark.createDataFrame([(w, int(c)) for w, c in zip(top, of)], "word string, class int")
         named = counted.join(rest.unionByName(known), "word", "left").select("word", "n", F.coalesce("class", F.lit(largest)).alias("class"))
         end = int(of.max()) + 1
-        named = written(exchanged(blocks, listed, written(named, "seeds"), end + 1, n_types, total), "classes")
+        named = written(exchanged(blocks, listed, written(named, "seeds"), end + 1, n_types, total, rounds), "classes")
     else:
         named, end = written(counted.select("word", "n", F.lit(0).alias("class")), "classes"), 0
     mass, once = np.zeros(end + 1), np.zeros(end + 1)

@@ -21,6 +21,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def release(spark) -> None:
+    """Let Spark remove the shuffle files of finished jobs now: its cleaner does so when their plans are collected."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """``df`` with a broadcast hint when its counted ``rows`` are few, else as it is."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

@@ -11,8 +11,9 @@ however often a text repeats a passage; its bands go into the same buckets (a te
 that repeats no shingle has one sketch).
 
 Links are verified on the texts: the share of common distinct shingles must reach
-the threshold. Pairs whose distinct sketches are far below it are not compared. Each bucket first links its members to its head, and linked texts
-are joined into classes. What a head may have missed follows: members of a
+the threshold. Pairs whose distinct sketches are far below it are not compared. Each text is first compared with two heads, the least and the
+greatest of the least members of its buckets, and linked texts
+are joined into classes. What these may have missed follows: members of a
 bucket that are then of different classes are compared with each other, in buckets
 of many such members through an exact prefix filter (rare shingles first) whose pairs
 are all compared, so that no bucket is ever expanded into all its pairs. A pair at the
@@ -283,7 +284,9 @@ def near_classes(docs: DataFrame) -> DataFrame:
     heads = written(heads, "heads")
     n_members = nodes.select(F.sum(F.size("buckets"))).first()[0] or 0
     shared = written(join_hot(members, heads, ["bucket"], "n", n_members, how="inner"), "buckets")
-    stars_ = shared.where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+    # A node of a large class meets another head in almost every bucket: two of them are enough to join most classes.
+    tops = shared.where("node != head").groupBy("node").agg(F.min("head").alias("low"), F.max("head").alias("high"))
+    stars_ = tops.select(F.explode(F.array_distinct(F.array("low", "high"))).alias("a"), F.col("node").alias("b"))
     near = written(estimated(stars_, nodes), "near")
     links = verified(docs, near, nodes)
     labels = components(links)

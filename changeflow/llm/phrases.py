@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import release, written
 from .wordcodes import raw, text_batches
 
 #: Least count of a phrase, most words of it, and the phrases returned for each language.
@@ -233,6 +233,7 @@ def closed(blocks: DataFrame, words: np.ndarray, proposed: np.ndarray, least: in
     while True:
         grown, frequent = marked(counted(blocks, old, new, least, most), new, frequent)
         passes += 1
+        release(blocks.sparkSession)
         if (grown == new).all():
             return frequent, passes
         old, new = new, grown
