@@ -23,42 +23,37 @@ CPF_PREFIX = "***.***.*"
 PHONE_MASK = "****"
 
 
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def _member(groups: Iterable[str], privileged: Iterable[str]) -> bool:
     return bool(set(groups or ()) & set(privileged))
 
 
-def mask_email(c, groups: Iterable[str] = ()) -> Column:
+# What a mask shows of a value (SQL, NULL: nothing can be shown), the text before it, and the text instead of it.
+MASKS = {
+    "mask_email": ("get(split({0}, '@'), 1)", "***@", EMAIL_UNKNOWN),
+    "mask_cpf": ("if(length({0}) < 2, NULL, right({0}, 2))", CPF_PREFIX, CPF_MASKED),
+    "mask_phone": ("if(length({0}) < 4, NULL, right({0}, 4))", PHONE_MASK, PHONE_MASK),
+}
+
+
+def mask_sql(name: str, value: str, groups: Iterable[str] = ()) -> str:
+    """SQL of mask ``name`` for the SQL expression ``value``, as a reader in ``groups`` sees it."""
+    shown, before, instead = MASKS[name]
+    return value if _member(groups, PII_READERS) else f"coalesce('{before}' || {shown.format(value)}, '{instead}')"
+
+
+def mask_email(column: str, groups: Iterable[str] = ()) -> Column:
     """Keep the domain: ``***@`` + the text between the first and second ``@``."""
-    col = _c(c)
-    if _member(groups, PII_READERS):
-        return col
-    return F.when(col.isNull() | ~col.contains("@"), F.lit(EMAIL_UNKNOWN)).otherwise(
-        F.concat(F.lit("***@"), F.get(F.split(col, "@"), 1))
-    )
+    return F.expr(mask_sql("mask_email", f"`{column}`", groups))
 
 
-def mask_cpf(c, groups: Iterable[str] = ()) -> Column:
+def mask_cpf(column: str, groups: Iterable[str] = ()) -> Column:
     """Keep the last two digits."""
-    col = _c(c)
-    if _member(groups, PII_READERS):
-        return col
-    return F.when(col.isNull() | (F.length(col) < 2), F.lit(CPF_MASKED)).otherwise(
-        F.concat(F.lit(CPF_PREFIX), F.right(col, F.lit(2)))
-    )
+    return F.expr(mask_sql("mask_cpf", f"`{column}`", groups))
 
 
-def mask_phone(c, groups: Iterable[str] = ()) -> Column:
+def mask_phone(column: str, groups: Iterable[str] = ()) -> Column:
     """Keep the last four digits."""
-    col = _c(c)
-    if _member(groups, PII_READERS):
-        return col
-    return F.when(col.isNull() | (F.length(col) < 4), F.lit(PHONE_MASK)).otherwise(
-        F.concat(F.lit(PHONE_MASK), F.right(col, F.lit(4)))
-    )
+    return F.expr(mask_sql("mask_phone", f"`{column}`", groups))
 
 
 def mask_format_preview(df: DataFrame) -> DataFrame:
@@ -93,12 +88,5 @@ def row_filter(df: DataFrame, policy: DataFrame, groups: Iterable[str] = (), reg
 
 def register_sql_functions(spark: SparkSession, groups: Iterable[str] = ()) -> None:
     """Register the masks as SQL temporary functions for a reader in ``groups``."""
-    shown = {  # what stays visible of a value (null: nothing can be shown), after which prefix, or else what instead
-        "mask_email": ("***@", "get(split(value, '@'), 1)", EMAIL_UNKNOWN),
-        "mask_cpf": (CPF_PREFIX, "if(length(value) >= 2, right(value, 2), NULL)", CPF_MASKED),
-        "mask_phone": (PHONE_MASK, "if(length(value) >= 4, right(value, 4), NULL)", PHONE_MASK),
-    }
-    clear = _member(set(groups or ()), PII_READERS)
-    for name, (prefix, part, instead) in shown.items():
-        body = "value" if clear else f"coalesce('{prefix}' || {part}, '{instead}')"
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(value STRING) RETURNS STRING RETURN {body}")
+    for name in MASKS:
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(value STRING) RETURNS STRING RETURN {mask_sql(name, 'value', groups)}")

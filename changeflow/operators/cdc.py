@@ -81,6 +81,27 @@ def apply_scd2(
     return versions.drop(*except_cols)
 
 
+def current_scd2(
+    log: DataFrame,
+    keys: Sequence[str],
+    sequence_by: str,
+    delete_when: str | Column | None = None,
+    except_cols: Sequence[str] = (),
+    tiebreak: Sequence[str] = (),
+) -> DataFrame:
+    """The open versions of ``apply_scd2``, without its history: the last event of each key, unless it is a delete.
+
+    ``max_by`` combines a key's events inside each map task; no event is sorted.
+    """
+    rest = [c for c in log.columns if c not in keys]
+    payload = F.struct(*rest, _is_delete(delete_when).alias("_del"))
+    order = F.struct(*[F.col(c) for c in [sequence_by, *tiebreak]])
+    last = log.groupBy(*keys).agg(F.max_by(payload, order).alias("_row")).select(*keys, "_row.*").filter(~F.col("_del"))
+    seq_type = log.schema[sequence_by].dataType
+    opened = last.select(*log.columns, F.col(sequence_by).alias(START_AT), F.lit(None).cast(seq_type).alias(END_AT))
+    return opened.drop(*except_cols)
+
+
 def apply_incremental(
     target: DataFrame,
     log: DataFrame,

@@ -1,26 +1,46 @@
 """Skew-safe "next value within a key" (a ``lead`` that splits hot keys).
 
-``Window.partitionBy(key)`` sends every row of a key to one task; if one key
-holds a third of the log, that task sorts a third of the data. Here keys above
-``hot_rows`` rows are cut into sequence buckets of similar depth (cut points are
-values of a hash sample of the hot-key rows, compared in the sequence's own type
-and order, so text works like numbers), the window runs per
-(key, bucket), and the last row of each bucket takes the first sequence of the
-next bucket from a small per-bucket aggregate. Results are exact whatever the
-bucket cut points are: the cuts only decide which task a row lands in.
+``Window.partitionBy(key)`` sends every row of a key to one task; if one key holds a third of the log, that
+task sorts a third of the data. Keys above ``hot_rows`` rows take another way: their rows are range-partitioned on (key,
+sequence, tie-break, row hash), so that equal and NULL sequences are split too, and numbered in order. The first
+row of each partition is sent to the partition before it as well, where it follows the last row; the window then runs per
+partition. All of it is one lazy plan: which keys are hot is found by a partial count and a broadcast of the hot
+keys, of which there are at most rows / ``hot_rows``. Without hot keys adaptive execution drops the second way.
 """
 
 from __future__ import annotations
 
-import math
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOT_ROWS = 2_000_000
-#: Sampled sequence values per bucket of a hot key.
-SAMPLED = 200
+#: Row numbers of ``monotonically_increasing_id`` hold the partition above this many bits.
+ROW_BITS = 33
+
+
+def _order(keys: Sequence[str], sequence_by: str, tiebreak: Sequence[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in [*keys, sequence_by, *tiebreak]]
+
+
+def lead_by_range(
+    df: DataFrame, keys: Sequence[str], sequence_by: str, tiebreak: Sequence[str] = (), out_col: str = "_next_seq"
+) -> DataFrame:
+    """Add ``out_col`` = ``sequence_by`` of the next row within ``keys``, without gathering a key in one task."""
+    hashed = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, T.VariantType)]
+    order = [*_order(keys, sequence_by, tiebreak), F.xxhash64(*hashed).asc()]
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_row", F.monotonically_increasing_id())
+    part = F.shiftright("_row", ROW_BITS)
+    begins = (F.col("_row").bitwiseAND(F.lit((1 << ROW_BITS) - 1)) == 0) & (part > 0)
+    sent = placed.withColumn("_to", F.explode(F.when(begins, F.array(part, part - 1)).otherwise(F.array(part))))
+    after = F.lead(F.struct(*keys, F.col(sequence_by).alias("_s"))).over(Window.partitionBy("_to").orderBy("_row"))
+    out = sent.withColumn("_after", after).where(F.col("_to") == part)
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col("_after")[k])
+    return out.withColumn(out_col, F.when(F.col("_after").isNotNull() & same, F.col("_after._s"))).drop("_row", "_to", "_after")
 
 
 def lead_sequence(
@@ -31,49 +51,13 @@ def lead_sequence(
     out_col: str = "_next_seq",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add ``out_col`` = ``sequence_by`` of the next row by (sequence_by, *tiebreak) within ``keys``."""
-    keys = list(keys)
-    order: list[Column] = [F.col(sequence_by).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in tiebreak]
+    """Add ``out_col`` = ``sequence_by`` of the next row by (sequence_by, *tiebreak) within ``keys``.
 
-    # One key-only pass with map-side partial counts; the driver reads one number.
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    max_n = stats.agg(F.max("_n")).first()[0] or 0
-    if max_n <= hot_rows:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(out_col, F.lead(sequence_by).over(w))
-
-    n_buckets = math.ceil(max_n / hot_rows)
-    stride = max(1, hot_rows // SAMPLED)
-    hot = stats.filter(F.col("_n") > hot_rows).select(*keys)
-    # About SAMPLED values per bucket and hot key; every n-th of them, sorted, is a cut point. Rows/hot_rows keys at
-    # most, so AQE broadcasts the table when its measured size allows and shuffles otherwise.
-    sampled = F.pmod(F.xxhash64(sequence_by, *tiebreak), F.lit(stride)) == 0
-    cuts = (
-        df.join(hot, keys, "left_semi")
-        .filter(sampled & F.col(sequence_by).isNotNull())
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_set(sequence_by)).alias("_values"))
-        .select(*keys, F.expr(f"filter(_values, (v, i) -> i > 0 AND i % greatest(1, size(_values) DIV {n_buckets}) = 0)").alias("_cuts"))
-    )
-    seq = F.col(sequence_by)
-    tagged = (
-        df.join(cuts, keys, "left")
-        .withColumn(
-            "_b",
-            F.when(F.col("_cuts").isNull() | seq.isNull(), F.lit(0)).otherwise(
-                F.size(F.filter("_cuts", lambda c: c <= seq))
-            ),
-        )
-        .drop("_cuts")
-    )
-    firsts = tagged.groupBy(*keys, "_b").agg(F.min(sequence_by).alias("_first"))
-    nxt = firsts.select(
-        *keys, "_b", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_b")).alias("_next_first")
-    )
-    # Join and window share the (keys, _b) partitioning.
-    w = Window.partitionBy(*keys, "_b").orderBy(*order)
-    return (
-        tagged.join(nxt, keys + ["_b"], "left")
-        .withColumn(out_col, F.coalesce(F.lead(sequence_by).over(w), F.col("_next_first")))
-        .drop("_b", "_next_first")
-    )
+    Rows with a NULL key follow each other like those of any key, in one task.
+    """
+    keys = list(keys)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = F.broadcast(counts.filter(F.col("_n") > hot_rows).select(*keys))
+    w = Window.partitionBy(*keys).orderBy(*_order((), sequence_by, tiebreak))
+    cold = df.join(hot, keys, "left_anti").select(*df.columns).withColumn(out_col, F.lead(sequence_by).over(w))
+    return cold.unionByName(lead_by_range(df.join(hot, keys, "left_semi").select(*df.columns), keys, sequence_by, tiebreak, out_col))

@@ -98,6 +98,35 @@ def ingest_csv_stream(spark, sf_dir):
     return ingest_products(spark, sf_dir).select(*PRODUCT_BRONZE_COLS, ing.RESCUED, "lote")
 
 
+def ingest_products_by_header(spark, sf_dir):
+    """Products whose second delivery names its columns in another order, lacks ``ativo`` and brings ``fornecedor``."""
+    root = work_dir(spark, "landing_produtos_cabecalho")
+    ev = fx.product_events(spark, sf_dir)
+    first = F.col("atualizado_em") == F.expr(f"TIMESTAMP_NTZ '{PRODUCT_FIRST_BATCH}'")
+    target = StreamTarget.create(spark, "bronze_produtos_cabecalho")
+    schema = ing.schema_with_hints(ing.PRODUCT_HINTS)
+    rows = ing.product_landing(ev.filter(first))
+    late = ing.product_landing(ev.filter(~first)).withColumn("fornecedor", F.concat(F.lit("F, "), "produto_id"))
+    late = late.select("atualizado_em", "operacao", "fornecedor", "preco_lista", "categoria_id", "nome_produto", "produto_id")
+    for lote, df in ((1, rows), (2, late)):
+        ing.write_batch_csv(df, os.path.join(root, f"lote={lote}"))
+        ing.run_csv_by_header(spark, os.path.join(root, "*"), schema, target)
+    return read_sink(spark, target).withColumn("lote", ing.batch_of())
+
+
+@query(
+    "ingest_csv_headers",
+    O.with_(O.PRODUCT_EVENTS, BRONZE_PRODUCTS)
+    + """SELECT produto_id, nome_produto, categoria_id, preco_lista, CASE WHEN lote = 1 THEN ativo END AS ativo, operacao, atualizado_em, lote,
+       CASE WHEN lote = 1 THEN _rescued_data
+            WHEN _rescued_data IS NULL THEN '{"fornecedor":"F, ' || produto_id || '"}'
+            ELSE replace(_rescued_data, '}', ',"fornecedor":"F, ' || produto_id || '"}') END AS _rescued_data
+FROM bronze_products""",
+)
+def ingest_csv_headers(spark, sf_dir):
+    return ingest_products_by_header(spark, sf_dir).select(*PRODUCT_BRONZE_COLS, ing.RESCUED, "lote")
+
+
 @query(
     "rescued_data",
     O.with_(O.ORDER_EVENTS, BRONZE_ORDERS, O.PRODUCT_EVENTS, BRONZE_PRODUCTS)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.cdc import apply_scd1, apply_scd2
+from ..operators.cdc import apply_scd1, apply_scd2, current_scd2
 from ..operators.quality import DROP, FAIL, WARN, Rule, fail_guard, split_valid
 from ..sources import fixtures as fx
 
@@ -47,6 +47,10 @@ PRODUCT_RULES = (Rule("produto_id_obrigatorio", "produto_id IS NOT NULL", FAIL),
 # Tie-break of equal order sequences (all descending with the sequence).
 ORDER_TIEBREAK = ("preco_unitario", "quantidade", "produto_id", "desempate", "status")
 
+# Tie-breaks of equal customer and product sequences, so that results never depend on arrival.
+CUSTOMER_TIEBREAK = ("evento_ts", "operacao", "nome", "email", "cpf", "telefone", "cidade", "uf", "data_nascimento")
+PRODUCT_TIEBREAK = ("operacao", "preco_lista", "ativo", "nome_produto", "categoria_id")
+
 ORDER_COLUMNS = (
     "pedido_id", "cliente_id", "produto_id", "quantidade", "preco_unitario", "status", "canal", "pedido_ts", "evento_ts",
 )
@@ -83,7 +87,7 @@ def customers_scd2(valid_log: DataFrame, hot_rows: int | None = None) -> DataFra
     kw = {} if hot_rows is None else {"hot_rows": hot_rows}
     return apply_scd2(
         valid_log, ["cliente_id"], "evento_seq",
-        delete_when="operacao = 'DELETE'", except_cols=("operacao", "evento_seq"), **kw,
+        delete_when="operacao = 'DELETE'", except_cols=("operacao", "evento_seq"), tiebreak=CUSTOMER_TIEBREAK, **kw,
     )
 
 
@@ -92,7 +96,10 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def current_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customers(spark, sf_dir).filter(F.col("__END_AT").isNull())
+    return current_scd2(
+        valid_customer_events(spark, sf_dir), ["cliente_id"], "evento_seq",
+        delete_when="operacao = 'DELETE'", except_cols=("operacao", "evento_seq"), tiebreak=CUSTOMER_TIEBREAK,
+    )
 
 
 def order_events_split(spark: SparkSession, sf_dir: str):
@@ -123,7 +130,7 @@ def valid_product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def products_scd1(valid_log: DataFrame, columns=None) -> DataFrame:
     return apply_scd1(
         valid_log, ["produto_id"], "atualizado_em", delete_when="operacao = 'DELETE'", except_cols=("operacao",),
-        columns=columns,
+        tiebreak=PRODUCT_TIEBREAK, columns=columns,
     )
 
 

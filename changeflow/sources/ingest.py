@@ -108,6 +108,60 @@ def csv_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return rescue_csv(with_provenance(raw), schema)
 
 
+def csv_by_header(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Typed columns of ``schema`` plus ``_rescued_data`` from the text lines of headered CSV files, by column name.
+
+    ``lines``: value, arquivo_origem, data_ingestao and ``_start`` (where the line's block begins in its file). Each
+    file's first line names its columns, in any order: a column of ``schema`` that it lacks is NULL; a column that the schema
+    does not know, a second column of a name, a value of the wrong type and the values beyond the header are rescued
+    (the latter as the whole line, ``_linha``). A quote within quotes is doubled; values hold no line breaks. Blank lines are no rows.
+    """
+    lines = lines.withColumn("_at", F.struct("_start", F.monotonically_increasing_id().alias("_n")))
+    first = lines.filter("_start = 0").groupBy("arquivo_origem").agg(F.min(F.struct("_at", "value")).alias("_h"))
+    first = first.select("arquivo_origem", F.col("_h._at").alias("_first"), F.col("_h.value").alias("_header"))
+    # Separators of the widest header: at least its columns. One number reaches the driver.
+    width = first.agg(F.max(F.length("_header") - F.length(F.replace("_header", F.lit(","), F.lit(""))) + 1)).first()[0] or 1
+    generic = ", ".join(f"c{i} STRING" for i in range(width + 1))
+    cells = lambda c: F.array(*[F.from_csv(c, generic, {"escape": '"'})[f"c{i}"] for i in range(width + 1)])
+    named = first.select("arquivo_origem", "_first", F.transform(F.filter(cells("_header"), lambda x: x.isNotNull()), lambda x: F.trim(x)).alias("_names"))
+    # One row per file: joined like any other table.
+    rows = lines.join(named, "arquivo_origem").filter((F.col("_at") != F.col("_first")) & (F.trim("value") != ""))
+    rows = rows.withColumn("_cells", F.transform(cells("value"), lambda x: F.when(x != "", x)))
+    names = [f.name for f in schema.fields]
+    by_name = {n: F.get("_cells", (F.array_position("_names", n) - 1).cast("int")) for n in names}
+    as_text = rows.select("*", *[F.when(F.array_contains("_names", n), c).alias(n) for n, c in by_name.items()])
+    typed = rescue_csv(as_text, schema).withColumnRenamed(RESCUED, "_mistyped")
+    known = F.lit(names)
+    entry = F.transform("_names", lambda n, i: F.struct(
+        F.when(F.array_position("_names", n) == i + 1, n).otherwise(F.concat(n, F.lit("#"), (i + 1).cast("string"))).alias("k"), F.get("_cells", i).alias("v"),
+        (F.array_contains(known, n) & (F.array_position("_names", n) == i + 1)).alias("fits")))
+    others = F.transform(F.filter(entry, lambda e: ~e["fits"] & e["v"].isNotNull()), lambda e: F.struct(e["k"], e["v"]))
+    beyond = F.exists(F.slice("_cells", F.size("_names") + 1, width + 1), lambda x: x.isNotNull())
+    beyond = F.when(beyond, F.map_from_arrays(F.array(F.lit("_linha")), F.array("value"))).otherwise(F.create_map().cast("map<string,string>"))
+    mistyped = F.coalesce(F.from_json("_mistyped", "map<string,string>"), F.create_map().cast("map<string,string>"))
+    rescued = F.map_concat(mistyped, F.map_from_entries(others), beyond)
+    return typed.select("arquivo_origem", "data_ingestao", *names, _to_json_or_null(rescued).alias(RESCUED))
+
+
+def run_csv_by_header(spark: SparkSession, path: str, schema: T.StructType, target) -> None:
+    """Ingest the headered CSV files under ``path`` not seen before into ``target`` (a StreamTarget), columns by name.
+
+    A micro-batch holds whole files, so their headers are in it. Each is written to a folder of its own number, which a
+    repeated micro-batch overwrites: every file is ingested once.
+    """
+    lines = spark.readStream.format("text").load(path).select(
+        "value", F.col("_metadata.file_path").alias("arquivo_origem"), F.col("_metadata.file_block_start").alias("_start"))
+
+    def write(batch: DataFrame, number: int) -> None:
+        out = csv_by_header(batch.withColumn("data_ingestao", F.current_timestamp()), schema)
+        out.write.mode("overwrite").parquet(f"{target.path}/micro_batch={number}")
+
+    query = lines.writeStream.foreachBatch(write).option("checkpointLocation", target.checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
 def batch_of(path_col: str = "arquivo_origem") -> Column:
     """The landing batch number from a ``lote=<n>`` folder in the file path; null for other paths."""
     return F.regexp_extract(F.col(path_col), r"lote=(\d+)", 1).try_cast("int")

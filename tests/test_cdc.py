@@ -131,3 +131,40 @@ def test_text_sequences_split_like_numbers(spark):
     df = spark.createDataFrame(rows, "key string, seq string")
     plain = sorted(lead_sequence(df, ["key"], "seq").collect(), key=repr)
     assert sorted(lead_sequence(df, ["key"], "seq", hot_rows=5).collect(), key=repr) == plain
+
+
+def test_lead_of_a_hot_key_needs_no_job_to_plan(spark):
+    """A key with nine tenths of the rows, 100,000 equal sequences in it, NULL sequences and a NULL key."""
+    rows = spark.range(200_000).select(
+        F.when(F.col("id") % 10 > 0, 0).when(F.col("id") % 1000 == 0, None).otherwise(F.col("id") % 7).cast("int").alias("k"),
+        F.when(F.col("id") < 120_000, 5).when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 50_000).cast("long").alias("seq"),
+        F.col("id").cast("string").alias("v"),
+    )
+    spark.sparkContext.setJobGroup("lead-plan", "planning only")
+    split = lead_sequence(rows, ["k"], "seq", hot_rows=20_000)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lead-plan")
+    spark.sparkContext.setJobGroup("lead-run", "run")
+
+    def counts(df):
+        return sorted((tuple(r) for r in df.groupBy("k", "seq", "_next_seq").count().collect()), key=repr)
+
+    assert counts(split) == counts(lead_sequence(rows, ["k"], "seq", hot_rows=1 << 40))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    largest = max(r["n"] for r in split.where("k = 0").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert largest < 120_000  # the 180,000 rows of the key are not in one task
+
+
+def test_current_versions_equal_the_open_ones(spark):
+    random.seed(5)
+    rows = [(random.randrange(9), random.randrange(12), random.choice(["INSERT", "UPDATE", "DELETE"]), f"v{i}") for i in range(120)]
+    from changeflow.operators.cdc import current_scd2
+
+    log = spark.createDataFrame(rows + [(20, None, "INSERT", "n"), (21, None, "DELETE", "n")], LOG)
+    options = dict(delete_when="op = 'DELETE'", except_cols=("op",), tiebreak=("op", "v"))
+    full = apply_scd2(log, ["k"], "seq", **options).filter("__END_AT IS NULL")
+    got = current_scd2(log, ["k"], "seq", **options)
+    assert got.dtypes == full.dtypes
+    cols = ["k", "seq", "v", "__START_AT", "__END_AT"]
+    # A NULL sequence is an end without an end: only the last event of a key is open.
+    assert sorted(_rows(got, cols), key=repr) == sorted((r for r in _rows(full, cols) if r[1] is not None or r[0] == 20), key=repr)

@@ -85,3 +85,37 @@ def test_batch_of_path_without_batch_is_null(spark):
 
     df = spark.createDataFrame([("/x/a.json",), ("/x/lote=7/a.json",)], "arquivo_origem string")
     assert [r[0] for r in df.select(batch_of()).collect()] == [None, 7]
+
+
+def test_csv_columns_are_mapped_by_each_files_header(spark, tmp_dir):
+    from changeflow.sources.ingest import run_csv_by_header
+
+    d = os.path.join(tmp_dir, "in")
+    os.makedirs(os.path.join(d, "lote=1"))
+    files = {
+        "a.csv": "id,qty,name\n1,5,a\n2,five,b\n",
+        "b.csv": 'extra, name ,id\n"x, ""y""",c,3\n,d,4\n\nname,name,id\n',
+        "c.csv": "name,name,id\ne,f,5\ng,,6,7,8\n",
+        "d.csv": "id\n",
+    }
+    for name, text in files.items():
+        with open(os.path.join(d, "lote=1", name), "w") as f:
+            f.write(text)
+    target = StreamTarget.create(spark, "csv_headers")
+    schema = schema_with_hints(HINTS)
+    run_csv_by_header(spark, os.path.join(d, "*"), schema, target)
+
+    def rows():
+        return sorted(((r.id, r.qty, r.name, json.loads(r._rescued_data) if r._rescued_data else None) for r in read_sink(spark, target).collect()), key=repr)
+
+    first = [
+        (1, 5, "a", None), (2, None, "b", {"qty": "five"}), (3, None, "c", {"extra": 'x, "y"'}), (4, None, "d", None),
+        (5, None, "e", {"name#2": "f"}), (6, None, "g", {"_linha": "g,,6,7,8"}), (None, None, "name", {"id": "id", "extra": "name"}),
+    ]
+    assert rows() == sorted(first, key=repr)
+    run_csv_by_header(spark, os.path.join(d, "*"), schema, target)  # nothing new
+    os.makedirs(os.path.join(d, "lote=2"))
+    with open(os.path.join(d, "lote=2", "e.csv"), "w") as f:
+        f.write("qty,id\n9,7\n")
+    run_csv_by_header(spark, os.path.join(d, "*"), schema, target)
+    assert rows() == sorted([*first, (7, 9, None, None)], key=repr)
