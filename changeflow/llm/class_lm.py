@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, written
+from .common import discard, release, written
 from .wordcodes import BLANK, raw, text_batches
 
 #: Words that are exchanged one at a time, and classes besides that of the end.
@@ -283,11 +283,11 @@ def best_moves(grid: np.ndarray, of: np.ndarray, sides: np.ndarray) -> np.ndarra
     return best[which.ravel()]
 
 
-LINKS = "part int, block long, codes binary, ids binary, classes binary, moved long"
+LINKS = "part int, block long, codes binary, ids binary, classes binary, counts binary, moved long"
 
 
 def deal_words(listed: DataFrame, named: DataFrame, parts: int) -> DataFrame:
-    """Training words dealt to parts: a row for each block of a part (the block's codes, their numbers in the part and classes), and block -1 with all."""
+    """Training words dealt to parts: a row for each block of a part (the block's codes, their numbers in the part, classes and counts), and block -1 with all."""
 
     def deal(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         words = table["word"].combine_chunks().dictionary_encode()
@@ -296,20 +296,20 @@ def deal_words(listed: DataFrame, named: DataFrame, parts: int) -> DataFrame:
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         ids = rank[words.indices.to_numpy()].astype(np.int32)
-        block, code, kind = (table[c].to_numpy() for c in ("block", "code", "class"))
-        all_ = np.zeros(len(order), np.uint8)
-        all_[ids] = kind
+        block, code, kind, n = (table[c].to_numpy() for c in ("block", "code", "class", "n"))
+        all_, total = np.zeros(len(order), np.uint8), np.zeros(len(order), np.int64)
+        all_[ids], total[ids] = kind, n
         by = np.argsort(block, kind="stable")
         cuts = np.flatnonzero(np.append(True, np.diff(block[by]) != 0))
-        out = [(int(block[i[0]]), packed(code[i].astype(np.int32)), packed(ids[i]), packed(all_[ids[i]]), None) for i in np.split(by, cuts[1:])]
-        out.append((-1, None, None, packed(all_), words.dictionary.take(pa.array(order)).to_pylist()))
-        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.string()))
-        columns = {n: pa.array(list(v), t) for n, v, t in zip(("block", "codes", "ids", "classes", "words"), zip(*out), kinds)}
+        out = [(int(block[i[0]]), packed(code[i].astype(np.int32)), packed(ids[i]), packed(all_[ids[i]]), packed(total[ids[i]])) for i in np.split(by, cuts[1:])]
+        out.append((-1, None, None, packed(all_), packed(total)))
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+        columns = {n: pa.array(list(v), t) for n, v, t in zip(("block", "codes", "ids", "classes", "counts"), zip(*out), kinds)}
         return pa.table({"part": pa.array([key[0].as_py()] * len(out), pa.int32())} | columns | {"moved": pa.array([0] * len(out), pa.int64())})
 
-    rows = listed.select("block", "code", "word").join(named.select("word", "class"), "word")
+    rows = listed.select("block", "code", "word").join(named.select("word", "class", "n"), "word")
     rows = rows.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(parts)).cast("int"))
-    return rows.groupBy("part").applyInArrow(deal, LINKS.replace(", moved", ", words array<string>, moved"))
+    return rows.groupBy("part").applyInArrow(deal, LINKS)
 
 
 def neighbour_counts(blocks: DataFrame, links: DataFrame, c: int) -> DataFrame:
@@ -377,16 +377,18 @@ def moved_words(said: DataFrame, links: DataFrame, grid: np.ndarray, share: int,
         new[mine] = best_moves(grid, of[mine], sides.reshape(-1, width)[mine])
         moved, new = int((new != of).sum()), new.astype(np.uint8)
         classes = [packed(new if r["block"] < 0 else new[unpacked(r["ids"], np.int32)]) for r in rows]
-        return pa.table({n: right[n] for n in ("part", "block", "codes", "ids")} | {"classes": pa.array(classes, pa.binary()), "moved": pa.array([moved * (r["block"] < 0) for r in rows], pa.int64())})
+        return pa.table({n: right[n] for n in ("part", "block", "codes", "ids")} | {"classes": pa.array(classes, pa.binary()), "counts": right["counts"], "moved": pa.array([moved * (r["block"] < 0) for r in rows], pa.int64())})
 
     left = said.select(F.col("part").alias("of_part"), "ids", "sides", "n")
-    return left.groupBy("of_part").cogroup(links.select("part", "block", "codes", "ids", "classes").groupBy("part")).applyInArrow(choose, LINKS)
+    return left.groupBy("of_part").cogroup(links.select("part", "block", "codes", "ids", "classes", "counts").groupBy("part")).applyInArrow(choose, LINKS)
 
 
 def exchanged(blocks: DataFrame, listed: DataFrame, named: DataFrame, c: int, types: int, tokens: int, rounds: int) -> DataFrame:
-    """(word, n, class) of all training words after ``rounds`` rounds of exchange moves from the classes in ``named``; ``c`` counts the end."""
+    """The links of all training words after ``rounds`` rounds of exchange moves from the classes in ``named``; ``c`` counts the end.
+
+    Two generations of links and counts are kept at most.
+    """
     links = written(deal_words(listed, named, -(-types // PART)), "links")
-    words = links.where("block < 0").select("part", "words")
     share, turn, best = 1, 0, None
     # Each turn looks at what the last round did; the one after the last round only looks.
     while share <= SHARE and turn <= rounds:
@@ -395,8 +397,12 @@ def exchanged(blocks: DataFrame, listed: DataFrame, named: DataFrame, c: int, ty
         now = likelihood(grid)
         if best is not None and now <= best[0]:
             share *= 2
+            discard(links)
+            discard(said)
         else:
             still = best is not None and now - best[0] < STILL * tokens
+            for old in best[1:3] if best is not None else ():
+                discard(old)
             best = (now, links, said, grid)
             if still:
                 break
@@ -407,14 +413,26 @@ def exchanged(blocks: DataFrame, listed: DataFrame, named: DataFrame, c: int, ty
         release(blocks.sparkSession)
         if share == 1 and not links.agg(F.sum("moved")).first()[0]:
             break
+    discard(best[2])
+    return best[1]
 
-    def names(left: pa.Table, right: pa.Table) -> pa.Table:
-        kinds = unpacked(right["classes"][0].as_py(), np.uint8).astype(np.int32)
-        return pa.table({"word": left["words"].combine_chunks().flatten(), "class": pa.array(kinds)})
 
-    last = best[1].where("block < 0").select(F.col("part").alias("of_part"), "classes")
-    found = words.groupBy("part").cogroup(last.groupBy("of_part")).applyInArrow(names, "word string, class int")
-    return named.select("word", "n").join(found, "word")
+def class_sums(links: DataFrame, c: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each class the occurrences of its words, and its words seen once."""
+
+    def task(batches):
+        for batch in batches:
+            for kinds, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                kinds, counts = unpacked(kinds, np.uint8), unpacked(counts, np.int64)
+                n = np.zeros(c, np.int64)
+                np.add.at(n, kinds, counts)
+                yield pa.RecordBatch.from_pydict({"class": pa.array(np.arange(c, dtype=np.int32)), "n": pa.array(n), "once": pa.array(np.bincount(kinds[counts == 1], minlength=c).astype(np.int64))})
+
+    mass, once = np.zeros(c), np.zeros(c)
+    rows = links.where("block < 0").select("classes", "counts").mapInArrow(task, "class int, n long, once long")
+    for r in rows.groupBy("class").agg(F.sum("n").alias("n"), F.sum("once").alias("once")).collect():  # a row per class
+        mass[r["class"]], once[r["class"]] = r["n"], r["once"]
+    return mass, once
 
 
 def score(docs: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES, rounds: int = ROUNDS) -> DataFrame:
@@ -438,22 +456,24 @@ def score(docs: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES, rou
         known = spark.createDataFrame([(w, int(c)) for w, c in zip(top, of)], "word string, class int")
         named = counted.join(rest.unionByName(known), "word", "left").select("word", "n", F.coalesce("class", F.lit(largest)).alias("class"))
         end = int(of.max()) + 1
-        named = written(exchanged(blocks, listed, written(named, "seeds"), end + 1, n_types, total, rounds), "classes")
+        named = written(named, "seeds")
+        release(spark)
+        links = exchanged(blocks, listed, named, end + 1, n_types, total, rounds)
+        discard(named)
     else:
-        named, end = written(counted.select("word", "n", F.lit(0).alias("class")), "classes"), 0
-    mass, once = np.zeros(end + 1), np.zeros(end + 1)
-    for r in named.groupBy("class").agg(F.sum("n").alias("n"), F.sum((F.col("n") == 1).cast("long")).alias("once")).collect():  # a row per class
-        mass[r["class"]], once[r["class"]] = r["n"], r["once"]
+        links, end = spark.createDataFrame([], LINKS), 0
+    mass, once = class_sums(links, end + 1)
 
     # Counts and classes go back to the word list of each block.
-    back = listed.select("block", "code", "word").join(named, "word").select(F.col("block").alias("of_block"), "code", "n", "class")
+    back = links.where("block >= 0").select(F.col("block").alias("of_block"), "codes", "classes", "counts")
 
     def with_model(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
         codes, lengths, held = codes_of(row)
         n, cls = np.zeros(row["n_listed"] + 1, np.int64), np.full(row["n_listed"] + 1, 255, np.uint8)
-        at = right["code"].to_numpy()
-        n[at], cls[at] = right["n"].to_numpy(), right["class"].to_numpy()
+        for r in right.to_pylist():
+            at = unpacked(r["codes"], np.int32)
+            n[at], cls[at] = unpacked(r["counts"], np.int64), unpacked(r["classes"], np.uint8)
         seq, _ = running(cls[codes] if len(codes) else codes, lengths, end, ~held)
         cells = np.bincount(np.append(end, seq[:-1]) * (end + 1) + seq, minlength=(end + 1) ** 2) if len(seq) else np.zeros((end + 1) ** 2, np.int64)
         out = {c: left[c] for c in ("block", "doc_ids", "held", "lengths", "codes")}
@@ -462,6 +482,7 @@ def score(docs: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES, rou
     left = blocks.select("block", "doc_ids", "held", "lengths", "codes", F.size("words").alias("n_listed"))
     ready = left.groupBy("block").cogroup(back.groupBy("of_block")).applyInArrow(with_model, f"block long, doc_ids array<{kind}>, held binary, lengths binary, codes binary, n binary, class binary, cells array<long>")
     ready = written(ready, "ready")
+    release(spark)
     grid = summed_cells(ready, end + 1)
     mass[end] = n_ends
     share = (mass + 1) / (mass.sum() + end + 1)

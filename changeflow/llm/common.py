@@ -18,7 +18,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = work_dir(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the folder of a table made by ``written`` that no later job reads."""
+    path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.written_to)
+    path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark) -> None:
