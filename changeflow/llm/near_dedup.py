@@ -13,7 +13,8 @@ that repeats no shingle has one sketch).
 Links are verified on the texts: the share of common distinct shingles must reach
 the threshold. Pairs whose distinct sketches are far below it are not compared. Each text is first compared with two heads, the least and the
 greatest of the least members of its buckets, and linked texts
-are joined into classes. What these may have missed follows: members of a
+are joined into classes. Where many pairs of bucket members are then still of different classes,
+rounds follow in which each text is compared with one pivot, the most similar one by the sketches of those that its buckets hold. What all these may have missed comes last: members of a
 bucket that are then of different classes are compared with each other, in buckets
 of many such members through an exact prefix filter (rare shingles first) whose pairs
 are all compared, so that no bucket is ever expanded into all its pairs. A pair at the
@@ -45,6 +46,11 @@ SLOTS = ROWS * BANDS
 ESTIMATE = 0.45
 #: Members of different classes up to which a bucket's pairs are listed; above, the prefix filter finds them.
 LISTED = 4
+#: Pairs of one node that meet one copy of its text; a node of more pairs is copied.
+SPLIT = 1000
+#: Rounds of pivots at most, and pairs left for each bucket membership that call for another one. Neither changes the classes: what the
+#: rounds leave apart is compared after them.
+TURNS, DENSE = 4, 4
 
 C0, C1, C2, C3 = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x2545F4914F6CDD1D))
 
@@ -164,29 +170,45 @@ def texts_of(docs: DataFrame, keys: DataFrame, rows: int) -> DataFrame:
     return found.groupBy("node").agg(F.first("norm").alias("norm"))  # one copy of a text leaves each task
 
 
+def beside(pairs: DataFrame, values: DataFrame, side: str) -> DataFrame:
+    """The written ``pairs`` (a, b) with the value of their node on ``side``, from ``values`` (node, value).
+
+    A node of more than ``SPLIT`` pairs has a copy of its value for each ``SPLIT`` of them, in different tasks.
+    """
+    value = values.columns[1]
+    named = values.withColumnsRenamed({"node": side, value: f"{value}_{side}"})
+    hot = pairs.groupBy(side).agg((F.count(F.lit(1)) / SPLIT).cast("int").alias("last")).where("last > 0")
+    n_hot = hot.count()
+    if not n_hot:
+        return pairs.join(named, side)
+    hot = broadcast_if_small(hot, n_hot)
+    last = F.coalesce("last", F.lit(0))
+    spread = pairs.join(hot, side, "left").withColumn("salt", F.pmod(F.xxhash64("b" if side == "a" else "a"), last + 1).cast("int"))
+    copies = named.join(hot, side, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), last)))
+    return spread.drop("last").join(copies.drop("last"), [side, "salt"]).drop("salt")
+
+
 def estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The ``pairs`` (a, b) of nodes whose slots of distinct shingles agree well enough to be compared."""
+    """The written ``pairs`` (a, b) of nodes whose slots of distinct shingles agree well enough to be compared, with the ``share`` that agrees."""
     slots = nodes.select("node", "slots")
-    near = pairs.join(slots.withColumnsRenamed({"node": "a", "slots": "slots_a"}), "a").join(slots.withColumnsRenamed({"node": "b", "slots": "slots_b"}), "b")
+    near = beside(pairs, slots, "a").select("a", "b", "slots_a")
+    near = near.join(slots.withColumnsRenamed({"node": "b", "slots": "slots_b"}), "b")
 
     def task(batches):
         for batch in batches:
             if batch.num_rows:
                 left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, SLOTS) for i in (2, 3))
-                good = (left == right).mean(1) >= ESTIMATE
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good))
+                share = (left == right).mean(1)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(share)], names=["a", "b", "share"]).filter(pa.array(share >= ESTIMATE))
 
-    return near.select("a", "b", "slots_a", "slots_b").mapInArrow(task, "a long, b long")
+    return near.select("a", "b", "slots_a", "slots_b").mapInArrow(task, "a long, b long, share double")
 
 
-def verified(docs: DataFrame, near: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes in ``near``, a written table, whose texts reach the similarity."""
+def verified(near: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes in ``near``, a written table, whose ``texts`` (node, norm) reach the similarity."""
     if near.isEmpty():
         return near
-    asked = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    asked = written(asked.join(nodes.select("node", "key"), "node"), "asked")
-    texts = written(texts_of(docs, asked, asked.count()), "texts")
-    both = near.join(texts.withColumnsRenamed({"node": "a", "norm": "norm_a"}), "a").join(texts.withColumnsRenamed({"node": "b", "norm": "norm_b"}), "b")
+    both = beside(near, texts, "a").join(texts.withColumnsRenamed({"node": "b", "norm": "norm_b"}), "b")
 
     def compared(batches):
         for batch, left in text_batches(batches, "norm_a", 1 << 20):
@@ -209,28 +231,29 @@ def components(links: DataFrame) -> DataFrame:
     """(node, label) of every linked node; the label is the least node of its component.
 
     Alternating stars: every node passes its least neighbour on, first to larger neighbours, then to smaller
-    ones, until nothing changes. Each round is written; a node with very many links is combined per task.
+    ones, until all components are stars. Each round is written; a node with very many links is combined per task.
     """
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges")
-    state = None
-    if edges.isEmpty():
-        return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
-    while True:
+    while not only_stars(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         edges = written(stars(both, "v > u", "v", "m"), "star")
         edges = stars(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v"), "true", "v", "m", own=True)
         edges = written(edges, "edges")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
-        state = now
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
+
+
+def only_stars(edges: DataFrame) -> bool:
+    """Whether each node of ``edges`` (u, v) has one edge as u, or any number as v."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")), F.struct(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))).alias("end"))
+    nodes = ends.select("end.*").groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return nodes.where("out > 1 OR out * into > 0").isEmpty()
 
 
 def stars(edges: DataFrame, which: str, u: str, v: str, own: bool = False) -> DataFrame:
     """Edges from the neighbours of each node to its least neighbour or itself."""
     edges = edges.distinct()
     least = written(edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n")), "least")
-    rows = edges.count()
+    rows = least.agg(F.sum("n")).first()[0]
     joined = join_hot(edges, least, ["u"], "n", rows, how="inner")
     out = joined.where(which).select(F.col(u).alias("u"), F.col(v).alias("v"))
     if own:
@@ -238,15 +261,55 @@ def stars(edges: DataFrame, which: str, u: str, v: str, own: bool = False) -> Da
     return out.where("u != v").distinct()
 
 
+def ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def pivot_pairs(rest: DataFrame, near: DataFrame, nodes: DataFrame, turn: int) -> DataFrame:
+    """Each node in ``rest`` (bucket, node, label) as b with the pivot most like it of another label as a; pairs in ``near`` are done.
+
+    A bucket's pivot is its least member by a hash of bucket, node and ``turn``. All pivots that a node meets are
+    estimated on the slots, one is compared.
+    """
+    rest = rest.select("bucket", "node", "label")
+    pivot = F.min(F.struct(F.xxhash64("bucket", "node", F.lit(turn)).alias("place"), "node", "label"))
+    pivots = written(rest.groupBy("bucket").agg(pivot.alias("pivot"), F.count(F.lit(1)).alias("n")), "pivots")
+    met = join_hot(rest, pivots, ["bucket"], "n", max(1, rest.count()), how="inner").where("label != pivot.label")
+    pairs = met.select(F.col("pivot.node").alias("a"), F.col("node").alias("b")).distinct()
+    done = near.union(near.select("b", "a"))
+    likely = estimated(written(pairs.join(done, ["a", "b"], "left_anti"), "pairs"), nodes)
+    return likely.groupBy("b").agg(F.max(F.struct("share", "a")).alias("best")).select("best.a", "b")
+
+
+def apart(shared: DataFrame, labels: DataFrame) -> tuple[DataFrame, int, float]:
+    """What is left of the buckets ``shared`` (bucket, node) when linked nodes have ``labels``.
+
+    Returns the members (bucket, node, label, n) of buckets that hold several labels, n being their number, the number
+    of these buckets and of their pairs of members of different labels.
+    """
+    labelled = shared.join(broadcast_if_small(labels, labels.count()), "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+    labelled = written(labelled, "labelled")
+    sizes = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
+    mixed = sizes.groupBy("bucket").agg(F.sum("k").alias("n"), F.sum(F.col("k").cast("double") * F.col("k")).alias("own"), F.count(F.lit(1)).alias("labels"))
+    mixed = written(mixed.where("labels > 1").select("bucket", "n", ((F.col("n").cast("double") * F.col("n") - F.col("own")) / 2).alias("pairs")), "mixed")
+    n_mixed, pairs = mixed.agg(F.count(F.lit(1)), F.coalesce(F.sum("pairs"), F.lit(0.0))).first()
+    return labelled.join(broadcast_if_small(mixed.select("bucket", "n"), n_mixed), "bucket"), n_mixed, pairs
+
+
 def prefix_pairs(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """All pairs (a, b) of nodes in ``members`` (node, key, label) that can reach the similarity, across labels.
+    """All pairs (a, b) of nodes in ``members`` (node, key, label) that can reach the similarity, across labels."""
+    return pairs_of_texts(texts_of(docs, members.select("node", "key"), members.count()), members)
+
+
+def pairs_of_texts(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """``prefix_pairs`` for nodes whose ``texts`` (node, norm) are at hand.
 
     Shingles are ordered from rare to common. Two sets of similarity s share one among the first
     n - ceil(s * n) + 1 shingles of either, n being its size, so only those are joined, and only where
     the sets are long enough after them.
     """
     rows = members.count()
-    texts = texts_of(docs, members.select("node", "key"), rows)
+    texts = texts.join(broadcast_if_small(members.select("node"), rows), "node", "left_semi")
 
     def task(batches):
         for batch, norm in text_batches(batches, "norm", 1 << 20):
@@ -284,29 +347,41 @@ def near_classes(docs: DataFrame) -> DataFrame:
     heads = written(heads, "heads")
     n_members = nodes.select(F.sum(F.size("buckets"))).first()[0] or 0
     shared = written(join_hot(members, heads, ["bucket"], "n", n_members, how="inner"), "buckets")
+    n_shared = shared.count()
+    asked = written(shared.select("node").distinct().join(nodes.select("node", "key"), "node"), "asked")
+    texts = written(texts_of(docs, asked, asked.count()), "texts")
     # A node of a large class meets another head in almost every bucket: two of them are enough to join most classes.
     tops = shared.where("node != head").groupBy("node").agg(F.min("head").alias("low"), F.max("head").alias("high"))
-    stars_ = tops.select(F.explode(F.array_distinct(F.array("low", "high"))).alias("a"), F.col("node").alias("b"))
-    near = written(estimated(stars_, nodes), "near")
-    links = verified(docs, near, nodes)
+    pairs = tops.select(F.explode(F.array_distinct(F.array("low", "high"))).alias("a"), F.col("node").alias("b"))
+    near = written(estimated(written(pairs, "pairs"), nodes).select("a", "b"), "near")
+    links = verified(near, texts)
     labels = components(links)
-    # Buckets that still hold several classes.
-    n_labels = labels.count()
-    labelled = shared.join(broadcast_if_small(labels, n_labels), "node", "left").select("bucket", "head", "node", F.coalesce("label", "node").alias("label"))
-    labelled = written(labelled, "labelled")
-    mixed = labelled.groupBy("bucket").agg(F.count_distinct("label").alias("labels"), F.count(F.lit(1)).alias("n")).where("labels > 1")
-    mixed = written(mixed, "mixed")
-    n_mixed = mixed.count()
+    rest, n_mixed, left = apart(shared, labels)
+    # Many pairs apart are often of few classes: pivots join these, as long as they do.
+    for turn in range(TURNS):
+        if left <= DENSE * n_shared:
+            break
+        tried = written(pivot_pairs(rest, near, nodes, turn), "tried")
+        more = verified(tried, texts)
+        near = near.union(ordered(tried))
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        labels = components(links)
+        before = left
+        rest, n_mixed, left = apart(shared, labels)
+        if left > 0.9 * before:
+            break
+    # What is left: all pairs of small buckets, the prefix filter for large ones.
     if n_mixed:
-        few = labelled.join(broadcast_if_small(mixed.where(f"n <= {LISTED}").select("bucket"), n_mixed), "bucket", "left_semi")
-        left, right = (few.select("bucket", F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
-        pairs = estimated(left.join(right, "bucket").where("a < b AND label_a != label_b").select("a", "b").distinct(), nodes)
-        many = labelled.join(broadcast_if_small(mixed.where(f"n > {LISTED}").select("bucket"), n_mixed), "bucket", "left_semi")
-        many = written(many.select("node", "label").distinct().join(nodes.select("node", "key"), "node"), "many")
+        few = rest.where(f"n <= {LISTED}")
+        left_, right_ = (few.select("bucket", F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
+        pairs = left_.join(right_, "bucket").where("a < b AND label_a != label_b").select("a", "b")
+        many = written(rest.where(f"n > {LISTED}").select("node", "label").distinct(), "many")
         if not many.isEmpty():
-            pairs = pairs.union(prefix_pairs(docs, many))
-        pairs = pairs.distinct().join(near, ["a", "b"], "left_anti")
-        more = verified(docs, written(pairs, "near"), nodes)
+            pairs = pairs.union(pairs_of_texts(texts, many))
+        pairs = written(pairs.distinct().join(near, ["a", "b"], "left_anti"), "pairs")
+        more = verified(written(estimated(pairs, nodes).select("a", "b"), "near"), texts)
         if not more.isEmpty():
             labels = components(links.union(more))
     labels = written(nodes.select("key", "node").join(labels, "node", "left").select("key", F.coalesce("label", "node").alias("label")), "labels")

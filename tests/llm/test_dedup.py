@@ -136,6 +136,19 @@ def test_large_classes_and_shared_passages(spark, monkeypatch):
     assert near_rows(near_dedup.near_classes(documents(spark, docs))) == expected
 
 
+def test_pivot_rounds_and_copied_texts(spark, monkeypatch):
+    """Rounds of pivots, and texts that are copied to several tasks, leave classes as brute force has them."""
+    texts = variants(30, 2, size=90, seed=5) + variants(30, 1, seed=6) + variants(20, 4, seed=7)
+    docs = [(i, t, "en", "a", 1) for i, t in enumerate(texts)]
+    turns = []
+    pivots = near_dedup.pivot_pairs
+    monkeypatch.setattr(near_dedup, "pivot_pairs", lambda *x: turns.append(x[-1]) or pivots(*x))
+    monkeypatch.setattr(near_dedup, "DENSE", 0)
+    monkeypatch.setattr(near_dedup, "SPLIT", 3)
+    assert near_rows(near_dedup.near_classes(documents(spark, docs))) == brute([(i, t) for i, t, *_ in docs])
+    assert turns
+
+
 def test_repeated_passages_do_not_hide_links(spark):
     """A text, and the same with an inner passage repeated: almost the same distinct shingles, other weights."""
     texts = []
