@@ -2,13 +2,17 @@
 
 Each row gets a key, a 64-bit hash of its normalised text. A histogram of key
 prefixes drives directory doubling: a bucket with more rows than its capacity is
-split by one more key bit until it fits or the directory has its full depth. The
-index (key, row) is written in bucket order, so each file holds the pages of a
-range of buckets, and a long chain of equal keys runs over several files. The
-directory does not route the search for copies: that is a grouping of the index
-by key and joins on it. Keys met once are unique; for keys met more often the texts
-are compared byte by byte, and different texts of one key are kept apart.
-Only texts whose key repeats are ever moved, one of equal texts per task.
+split by one more key bit until it fits or the directory has its full depth. A
+bucket that is overfull even then holds long chains and is cut into parts, each
+about as large as an ordinary bucket. The directory then routes all work:
+
+* Owner tasks take ranges of (bucket, key, part), count the rows of each chain and
+  write the index pages (key, row, length of the chain), one file per range.
+* Chains of one row are done. Where a chain is longer, or lies in a bucket of
+  several parts, its parts are added up.
+* The texts are looked up by way of the directory: prefix, bucket, chain. Those
+  of longer chains are compared byte by byte, and different texts of one key are
+  kept apart. Only these texts are moved, one of equal texts per task.
 
 Defined results: null text counts as empty. Of equal texts the smallest id stays;
 null ids come last. Of rows that repeat id and text exactly one is kept. Any
@@ -19,12 +23,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WHITE, broadcast_if_small, join_hot, written
 
-#: Rows that a bucket holds before it splits, and the deepest directory (2**14 entries).
+#: Rows that a bucket holds before it splits, and the deepest directory (2**14 entries). Where a directory of full
+#: depth would hold over an eighth of that in each bucket (8.4 million rows), buckets hold more: rows / 2**11.
 CAPACITY = 4096
 MAX_DEPTH = 14
 
@@ -57,53 +62,66 @@ def grow_directory(counts: dict[int, int], depth: int, capacity: int) -> list[tu
                 done.append((prefix, local))
             else:
                 split.add(prefix)
-        level = {}
+        level = {child: 0 for prefix in split for child in (2 * prefix, 2 * prefix + 1)}
         for prefix, rows in counts.items():
             child = prefix >> max(0, depth - local - 1)
             if local < depth and child >> 1 in split:
-                level[child] = level.get(child, 0) + rows
+                level[child] += rows
     return done
 
 
 def build_index(entries: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH) -> tuple[DataFrame, DataFrame, int]:
-    """The index pages (entries with their ``bucket``, in bucket order), the directory and the number of rows.
+    """The index pages, the directory and the number of rows.
 
-    The directory has a row per prefix at full depth: at most 2**max_depth, whatever the input.
+    The pages hold the entries with their ``bucket``, the ``parts`` of the bucket, and ``chained``: the rows of the same
+    bucket, key and part. The directory has a row per prefix at full depth: at most 2**max_depth, whatever the input.
     """
     spark = entries.sparkSession
     rows = entries.count()
     depth = min(max_depth, max(1, math.ceil(math.log2(max(2.0, rows / capacity))) + 3))
     capacity = max(capacity, rows >> (max_depth - 3))
     counts = {r["prefix"]: r["n"] for r in entries.groupBy(prefix_of(depth).alias("prefix")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    usual = max(1, rows >> depth)
     directory = []
     for prefix, local in grow_directory(counts, depth, capacity):
         first = prefix << (depth - local)
-        directory += [(slot, first, local) for slot in range(first, first + (1 << (depth - local)))]
-    directory = spark.createDataFrame(directory or [(0, 0, 0)], "prefix int, bucket int, local_depth int")
-    pages = entries.withColumn("prefix", prefix_of(depth)).join(F.broadcast(directory), "prefix").drop("prefix")
-    # A chain longer than a page goes on in the next range: key and id cut it.
-    pages = pages.repartitionByRange("bucket", "key", "doc_id").sortWithinPartitions("bucket", "key", "doc_id")
+        # Only a bucket of full depth can be overfull; it is one slot.
+        held = counts.get(prefix, 0) if local == depth else 0
+        parts = -(-held // usual) if held > capacity else 1
+        directory += [(slot, first, local, parts) for slot in range(first, first + (1 << (depth - local)))]
+    directory = spark.createDataFrame(directory, "prefix int, bucket int, local_depth int, parts int")
+    pages = routed(entries, directory).withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")))
+    # The window has the partitioning of the ranges: a task counts the chains that it owns, and writes them.
+    chain = Window.partitionBy("bucket", "key", "part")
+    pages = pages.repartitionByRange("bucket", "key", "part").withColumn("chained", F.count(F.lit(1)).over(chain))
     return written(pages, "index"), directory, rows
 
 
-def exact_groups(docs: DataFrame, key=key_of, capacity: int = CAPACITY) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, bucket.
-
-    ``key``: hash of the normalised text column, a long; a weak one only makes chains longer.
-    """
-    norm = docs.select("doc_id", normalised().alias("__norm"))
-    entries = norm.select("doc_id", key("__norm").alias("key"), F.sha2("__norm", 256).alias("text_sha256"), F.monotonically_increasing_id().alias("row"))
-    index, _, rows = build_index(written(entries, "entries"), capacity)
-    repeated = written(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated")
-    n_keys = repeated.count()
-    # The chain of each repeated key: its different texts. Grouping compares whole texts, once per task before any shuffle.
-    texts = norm.select(key("__norm").alias("key"), "__norm").join(broadcast_if_small(repeated.select("key"), n_keys), "key", "left_semi")
-    chain = texts.groupBy("key", "__norm").agg(F.count(F.lit(1)).alias("group_size"))
-    chain = chain.select("key", F.sha2("__norm", 256).alias("text_sha256"), "group_size").where("group_size > 1")
+def routed(df: DataFrame, directory: DataFrame) -> DataFrame:
+    """Rows with the ``bucket`` of their ``key`` and its ``parts``, looked up in the directory."""
+    # The directory has all slots of its depth, so the last prefix tells the depth.
+    depth = max(0, directory.agg(F.max("prefix")).first()[0].bit_length())
+    slots = F.broadcast(directory.select("prefix", "bucket", "parts"))
+    return df.withColumn("prefix", prefix_of(depth)).join(slots, "prefix").drop("prefix")
+
+
+def chain_groups(norm: DataFrame, key, index: DataFrame, directory: DataFrame, rows: int) -> DataFrame:
+    """One row per document, from the chains of the index and the texts ``__norm`` that the directory leads to them."""
+    alone = index.where("chained = 1 AND parts = 1")
+    shared = index.where("chained > 1 OR parts > 1")
+    chains = written(shared.groupBy("bucket", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "key"), "chains")
+    n_chains = chains.count()
+    probe = routed(norm.select(key("__norm").alias("key"), "__norm"), directory)
+    texts = probe.join(broadcast_if_small(chains, n_chains), ["bucket", "key"], "left_semi")
+    # The different texts of each chain. Grouping compares whole texts, once per task before any shuffle.
+    met = texts.groupBy("bucket", "key", "__norm").agg(F.count(F.lit(1)).alias("group_size"))
+    met = met.select("bucket", "key", F.sha2("__norm", 256).alias("text_sha256"), "group_size").where("group_size > 1")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
-    heads = index.join(broadcast_if_small(repeated.select("key"), n_keys), "key", "left_semi").groupBy("key", "text_sha256").agg(first)
-    groups = written(chain.join(heads, ["key", "text_sha256"]), "groups")
-    out = join_hot(index, groups, ["key", "text_sha256"], "group_size", rows)
+    heads = shared.join(broadcast_if_small(chains, n_chains), ["bucket", "key"], "left_semi").groupBy("bucket", "key", "text_sha256").agg(first)
+    on = ["bucket", "key", "text_sha256"]
+    groups = written(met.join(heads, on), "groups")
+    out = join_hot(shared, groups, on, "group_size", rows)
+    out = out.unionByName(alone.withColumns({"group_size": F.lit(1).cast("long"), "first": F.lit(None).cast(groups.schema["first"].dataType)}))
     return out.select(
         "doc_id",
         F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
@@ -114,6 +132,16 @@ def exact_groups(docs: DataFrame, key=key_of, capacity: int = CAPACITY) -> DataF
     )
 
 
+def exact_groups(docs: DataFrame, key=key_of, capacity: int = CAPACITY) -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, bucket.
+
+    ``key``: hash of the normalised text column, a long; a weak one only makes chains longer.
+    """
+    norm = docs.select("doc_id", normalised().alias("__norm"))
+    entries = norm.select("doc_id", key("__norm").alias("key"), F.sha2("__norm", 256).alias("text_sha256"), F.monotonically_increasing_id().alias("row"))
+    return chain_groups(norm, key, *build_index(written(entries, "entries"), capacity))
+
+
 def keep_first(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """The rows of ``docs``, all columns, without later copies. Of rows with equal id and text any one stays."""
     groups = written(exact_groups(docs, capacity=capacity), "exact")

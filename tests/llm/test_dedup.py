@@ -48,6 +48,39 @@ def test_directory_doubles_until_buckets_fit():
     assert sorted(slots) == list(range(64))
 
 
+def test_directory_has_a_slot_for_every_prefix():
+    buckets = exact_dedup.grow_directory({3: 50}, 4, 20)
+    assert sorted(s for p, d in buckets for s in range(p << (4 - d), (p + 1) << (4 - d))) == list(range(16))
+
+
+def test_directory_routes_the_search(spark):
+    """Copies are found through the directory: where an entry leads to another bucket, those of its keys are not."""
+    from pyspark.sql import functions as F
+
+    texts = [(i, f"text {i // 2}", "en", "a", 1) for i in range(400)]
+    norm = documents(spark, texts).select("doc_id", exact_dedup.normalised().alias("__norm"))
+    entries = norm.select("doc_id", exact_dedup.key_of("__norm").alias("key"), F.sha2("__norm", 256).alias("text_sha256"), F.monotonically_increasing_id().alias("row"))
+    index, directory, rows = exact_dedup.build_index(entries, capacity=16)
+    assert directory.count() > 16 and index.count() == rows == 400
+    good = exact_dedup.chain_groups(norm, exact_dedup.key_of, index, directory, rows)
+    assert good.where("group_size = 2").count() == 400 and good.where("kept").count() == 200
+    first = index.agg(F.min("bucket")).first()[0]
+    lost = index.where(F.col("bucket") == first).count()
+    bad = directory.withColumn("bucket", F.when(F.col("bucket") == first, F.lit(-1)).otherwise(F.col("bucket")))
+    got = exact_dedup.chain_groups(norm, exact_dedup.key_of, index, bad, rows)
+    assert got.count() == 400 and got.where("group_size = 2").count() == 400 - lost < 400
+
+
+def test_overfull_bucket_is_cut_into_parts(spark):
+    from pyspark.sql import functions as F
+
+    entries = documents(spark, [(i, "hot" if i % 2 else f"t{i}", "en", "a", 1) for i in range(2000)])
+    entries = entries.select("doc_id", exact_dedup.key_of("text").alias("key"), F.lit("").alias("text_sha256"), F.col("doc_id").alias("row"))
+    index, _, _ = exact_dedup.build_index(entries, capacity=64)
+    per = {r["parts"]: r["most"] for r in index.groupBy("bucket", "key", "part", "parts").count().groupBy("parts").agg(F.max("count").alias("most")).collect()}
+    assert per[1] == 1 and max(per) > 10 and per[max(per)] < 200
+
+
 def test_keep_first(spark):
     docs = documents(spark, clash=True)
     kept = exact_dedup.keep_first(docs, capacity=2)
