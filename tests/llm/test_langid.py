@@ -57,10 +57,59 @@ def test_edges(spark):
     assert langid.identify(unlabelled).first()["lang_pred"] == "und"
 
 
-def test_rejection_is_calibrated():
+def test_score_bound_is_calibrated_with_mixtures():
     counts = [(np.array([i % 2, 2]), np.array([0.8, 0.2], np.float32)) for i in range(200)]
     model = langid.train(counts, np.arange(200) % 2, ["a", "b"], np.arange(200) % 5 == 4, steps=200)
-    assert 0 < model.reject_below <= 0.5
+    even = model.weights[[0, 1, 2]].T @ np.array([0.4, 0.4, 0.2]) + model.bias
+    assert 0.5 <= model.reject_below <= 1 / (1 + np.exp(-abs(even[0] - even[1]))) + 1e-6
+
+
+def test_foreign_texts_are_rejected_and_mixtures_kept(spark):
+    """Letters that no learnt language writes so go; learnt languages, alone or mixed, stay."""
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    model = langid.fit(docs)
+    rng = np.random.default_rng(3)
+    foreign = [
+        "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。",
+        "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему.",
+        " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(3, 9))) for _ in range(200)),
+    ]
+    whole = {r["lang"]: r["text"] for r in docs.where("lang IS NOT NULL AND text IS NOT NULL").orderBy("doc_id").collect()}
+    named = sorted(whole)
+    mixed = [whole[a][:800] + "\n" + whole[b][:800] for a, b in zip(named, named[1:])]
+    cases = documents(spark, [(i, t, None, None, 1) for i, t in enumerate(foreign + mixed)])
+    got = {r["doc_id"]: r["accepted"] for r in langid.predict(cases, model).collect()}
+    assert [got[i] for i in range(len(got))] == [False] * 3 + [True] * len(mixed)
+    assert sorted(r["doc_id"] for r in langid.keep_identified(cases, model).collect()) == list(range(3, 3 + len(mixed)))
+
+
+def test_predictions_equal_a_plain_version(spark):
+    """Score and decision from the model's tables, one n-gram at a time."""
+    docs = spark.read.parquet(f"{SF_SMOKE}/documents.parquet").where("length(text) < 3000")
+    model = langid.fit(docs)
+    met = set(model.met.tolist())
+    for r, text in [(r, r["text"]) for r in langid.predict(docs, model).join(docs.select("doc_id", "text"), "doc_id").limit(20).collect()]:
+        stream = b" " + b" ".join(bytes(langid.FOLD[list(text.encode())]).split()) + b" "
+        logits, n, known, all_ = model.bias.astype(float).copy(), 0, 0, 0
+        total = np.zeros(len(model.languages))
+        for size in langid.GRAMS:
+            for i in range(len(stream) - size + 1):
+                g = stream[i:i + size]
+                if 32 in g[1:-1]:
+                    continue
+                value = g[0]
+                for c in g[1:]:
+                    value = (value * 0x01000193 & 0xFFFFFFFF) ^ c
+                total += model.weights[(value * 0x9E3779B1 + size & 0xFFFFFFFF) >> 18]
+                n += 1
+                if size == 3:
+                    all_ += 1
+                    known += int.from_bytes(g, "big") in met
+        logits += total / n
+        p = np.exp(logits - logits.max())
+        p /= p.sum()
+        assert abs(p.max() - r["score"]) < 1e-6 and model.languages[int(p.argmax())] == r["lang_pred"]
+        assert r["accepted"] == (p.max() >= model.reject_below and known / all_ >= model.foreign_below)
 
 
 def test_sample_is_of_rows_not_ids(spark, monkeypatch):
@@ -72,6 +121,7 @@ def test_sample_is_of_rows_not_ids(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(langid, "SAMPLE_PER_LANGUAGE", 20)
     monkeypatch.setattr(langid, "train", lambda counts, labels, languages, calibrate: seen.append(Counter(languages[i] for i in labels)))
+    monkeypatch.setattr(langid, "with_trigrams", lambda model, grams, calibrate: model)
     langid.fit(documents(spark, rows_))
     assert seen == [{"en": 20, "es": 20}]
 
