@@ -178,8 +178,9 @@ def train(counts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, langu
 
     # The temperature of least log loss on the documents held back, from a fixed grid.
     scale = min(np.geomspace(0.1, 10, 41), key=lambda x: -log_p(x)[np.arange(len(held)), labels[held]].mean())
-    # Documents, and each mixed in equal parts with the next of another language: logits add up as shares of subwords do.
-    mixed = [(z[i] + z[j]) / 2 for i, j in zip(range(len(held)), np.roll(np.arange(len(held)), -1)) if labels[held[i]] != labels[held[j]]]
+    # Documents, and each mixed in equal parts with others drawn from other languages: logits add up as shares of subwords do.
+    drawn = [rng.permutation(len(held)) for _ in range(8)]
+    mixed = [(z[i] + z[j]) / 2 for pairs in drawn for i, j in enumerate(pairs) if labels[held[i]] != labels[held[j]]]
     s = np.concatenate([z, np.array(mixed).reshape(-1, k)]) * scale
     top = 1 / np.exp(s - s.max(1, keepdims=True)).sum(1)
     return Model(languages, (weights * scale).astype(np.float32), bias * scale, float(np.quantile(top, REJECTED)))
