@@ -17,6 +17,7 @@ from ..sources import fixtures as fx
 from . import silver
 
 DAILY_SALES_RULES = (Rule("receita_nao_negativa", "receita_dia >= 0", FAIL),)
+DATASET_RULES = {"vendas_diarias_categoria": DAILY_SALES_RULES}
 
 
 def enrich_orders(orders: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:

@@ -13,9 +13,9 @@ One ``update(lote)`` of the pipeline:
 5. gold   — batch datasets recomputed from the current silver tables, and the
             hourly window stream over the valid order log.
 
-Each streaming flow is observed (``DataFrame.observe``): rows, failures per
-rule and dropped rows are read from the query progress and appended to the
-run's event log (``_event_log``: timestamp, event_type, message,
+Each flow is observed (``DataFrame.observe``): rows, failures per rule and
+dropped rows. Streams report them per micro-batch into ``_flow_metrics``, CDC and
+gold writes once per update; their totals are appended to the run's event log (``_event_log``: timestamp, event_type, message,
 origin{update_id, flow_name}, details JSON) together with a lineage feed
 (``_lineage``). Every table lives under the pipeline root inside the shared
 checkpoint folder.
@@ -35,10 +35,11 @@ from pyspark.sql import functions as F
 from ..functions.masks import apply_masks
 from ..functions.timeutil import ntz_text, ntz_to_instant
 from ..operators.cdc import apply_incremental
-from ..operators.quality import Rule, rule_metric_columns, split_valid
+from ..operators.quality import Rule, fail_guard, rule_metric_columns, split_valid
 from ..session import work_dir
 from ..sources import fixtures as fx
 from ..sources import ingest as ing
+from ..streaming.metrics import FlowMetrics
 from ..streaming.runner import StreamTarget, await_query, start_available_now
 from ..streaming.windows import orders_per_hour
 from . import gold, silver
@@ -76,7 +77,6 @@ def _now() -> dt.datetime:
 
 
 RUN_FOLDER = "pipeline"
-PROGRESS_CONF = "spark.sql.streaming.numRecentProgressUpdates"
 
 
 @dataclass(frozen=True)
@@ -97,6 +97,7 @@ class Pipeline:
         self.spark = spark
         self.sf_dir = sf_dir
         self.root = root or work_dir(spark, RUN_FOLDER)
+        self.metrics = FlowMetrics(spark, os.path.join(self.root, "_flow_metrics"))
         self.update_id = None
         self.lote = 0
         self._events: list = []
@@ -153,55 +154,59 @@ class Pipeline:
         The rule counters observe a flow's *input*; its output is the valid side of
         its rules (or ``output(observed_input)`` when given).
         """
-        # A query keeps a limited number of progress reports; the totals below need all of them.
-        retained = self.spark.conf.get(PROGRESS_CONF)
-        self.spark.conf.set(PROGRESS_CONF, str(2**31 - 1))
-        try:
-            self._run_flows(flows)
-        finally:
-            self.spark.conf.set(PROGRESS_CONF, retained)
+        by_name = {f.flow: f for f in flows}
 
-    def _run_flows(self, flows: Sequence["Flow"]) -> None:
-        started = []
-        for f in flows:
+        def start(flow: str, query_name: str):
+            f = by_name[flow]
             observed = f.stream.observe(f.flow, *rule_metric_columns(f.rules))
             out = f.output(observed) if f.output is not None else split_valid(observed, f.rules)[0]
             out = out.observe(f"{f.flow}__out", F.count(F.lit(1)).alias("output_rows"))
-            started.append((f, start_available_now(out, self.target(f.layer, f.dataset))))
-        failure = None
-        for f, q in started:
-            try:
-                await_query(q)
-            except Exception as ex:  # noqa: BLE001 - logged, raised once every flow has ended
-                failure = failure or ex
-                self.log("flow_progress", f.flow, f"flow {f.flow} failed", {"flow_progress": {"status": "FAILED", "error": str(ex)[:500]}})
+            return start_available_now(out, self.target(f.layer, f.dataset), query_name=query_name)
+
+        totals, failed = self.metrics.collect(list(by_name), start, await_query)
+        for flow, f in by_name.items():
+            if flow in failed:
+                self._log_failure(flow, failed[flow])
             else:
-                self._log_flow(f, q)
-        if failure is not None:
-            raise failure
-
-    def _log_flow(self, f: "Flow", q) -> None:
-        totals: dict[str, int] = {}
-        for p in q.recentProgress:
-            metrics = getattr(p, "observedMetrics", None) or (p.get("observedMetrics") if isinstance(p, dict) else None) or {}
-            for name in (f.flow, f"{f.flow}__out"):
-                row = metrics.get(name)
-                if row is None:
-                    continue
-                for k, v in (row.asDict() if hasattr(row, "asDict") else dict(row)).items():
-                    totals[k] = totals.get(k, 0) + int(v or 0)
+                self._log_quality(flow, f.dataset, f.rules, totals[flow], f"flow {flow} completed")
+                self.lineage(f.sources, (f.layer, f.dataset))
+        for ex in failed.values():
+            raise ex
+
+    def _log_failure(self, flow: str, ex: Exception) -> None:
+        self.log("flow_progress", flow, f"flow {flow} failed", {"flow_progress": {"status": "FAILED", "error": str(ex)[:500]}})
+
+    def write_observed(self, df: DataFrame, layer: str, name: str, flow: str, rules: Sequence[Rule] = (),
+                       output=None, sources: Sequence[tuple[str, str]] = ()) -> None:
+        """Write one batch table, counting its rules in the write job itself; log the counts, or the failure.
+
+        The rules count ``df``; ``output`` makes the written rows of it, and may hold the guard that aborts.
+        """
+        from pyspark.sql import Observation
+
+        given, kept = Observation(f"{flow}-{self.lote}"), Observation(f"{flow}-out-{self.lote}")
+        df = df.observe(given, *rule_metric_columns(rules))
+        df = (output(df) if output else df).observe(kept, F.count(F.lit(1)).alias("output_rows"))
+        try:
+            df.write.mode("overwrite").parquet(self.table_path(layer, name))
+        except Exception as ex:
+            self._log_failure(flow, ex)
+            raise
+        self._log_quality(flow, name, rules, {**given.get, **kept.get}, f"flow {flow} completed")
+        self.lineage(sources, (layer, name))
+
+    def _log_quality(self, flow: str, dataset: str, rules: Sequence[Rule], totals: dict, message: str) -> None:
         n = totals.get("rows", 0)
         expectations = [
-            {"name": r.name, "dataset": f.dataset, "passed_records": n - totals.get(f"failed_{r.name}", 0),
+            {"name": r.name, "dataset": dataset, "passed_records": n - totals.get(f"failed_{r.name}", 0),
              "failed_records": totals.get(f"failed_{r.name}", 0)}
-            for r in f.rules
+            for r in rules
         ]
-        dropped = totals.get("dropped_records", 0) if any(r.action == "drop" for r in f.rules) else 0
+        dropped = totals.get("dropped_records", 0) if any(r.action == "drop" for r in rules) else 0
         details = {"flow_progress": {"status": "COMPLETED",
                                      "metrics": {"num_output_rows": totals.get("output_rows", 0)},
                                      "data_quality": {"dropped_records": dropped, "expectations": expectations}}}
-        self.log("flow_progress", f.flow, f"flow {f.flow} completed", details)
-        self.lineage(f.sources, (f.layer, f.dataset))
+        self.log("flow_progress", flow, message, details)
 
     # -- stages -----------------------------------------------------------------------------
     def _exists(self, path: str) -> bool:
@@ -299,15 +304,8 @@ class Pipeline:
             else:
                 previous = self.spark.read.parquet(self.table_path("silver", name, self.lote - 1))
                 out = apply_incremental(previous, log, batch, keys, fn)
-            from pyspark.sql import Observation
-
-            written = Observation(f"{name}-cdc-{self.lote}")
-            out.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
-                self.table_path("silver", name))
-            self.log("flow_progress", f"{name}_cdc_flow", f"cdc {name} applied",
-                     {"flow_progress": {"status": "COMPLETED", "metrics": {"num_output_rows": written.get["rows"]},
-                                        "data_quality": {}}})
-            self.lineage([("silver", log_name)], ("silver", name))
+            self.write_observed(out, "silver", name, f"{name}_cdc_flow", silver.CDC_RULES.get(name, ()),
+                                sources=[("silver", log_name)])
 
     def gold(self) -> None:
         orders = self.current("silver", "pedidos")
@@ -315,15 +313,16 @@ class Pipeline:
         current = self.current("silver", "clientes").filter(F.col("__END_AT").isNull())
         enriched = gold.enrich_orders(orders, products, fx.categories(self.spark))
         datasets = {
-            "vendas_diarias_categoria": (gold.daily_category_sales(enriched), ["pedidos", "produtos"]),
+            "vendas_diarias_categoria": (gold.daily_category_sales(enriched, guard=False), ["pedidos", "produtos"]),
             "funil_status_pedidos": (gold.status_funnel(orders), ["pedidos"]),
             "clientes_valor": (gold.customer_value(current, orders), ["clientes", "pedidos"]),
             # Stored masked: whoever reads the table without a grant on personal data reads no personal data.
             "dim_clientes": (apply_masks(gold.masked_dimension_source(current), ()), ["clientes"]),
         }
         for name, (df, srcs) in datasets.items():
-            df.write.mode("overwrite").parquet(self.table_path("gold", name))
-            self.lineage([("silver", x) for x in srcs], ("gold", name))
+            rules = gold.DATASET_RULES.get(name, ())
+            self.write_observed(df, "gold", name, name, rules, lambda rows, r=rules: fail_guard(rows, r),
+                                [("silver", x) for x in srcs])
         valid_orders = self.read("silver", "pedidos_eventos_validos", stream=True).select(
             "quantidade", "preco_unitario", "status", "canal", ntz_to_instant("pedido_ts").alias("pedido_ts"))
         self.run_flow("pedidos_por_hora", orders_per_hour(valid_orders), "gold", "pedidos_por_hora",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonpath import expectations, json_path
 from . import oracle as O
-from . import silver
+from . import gold, silver
 from .pipeline import BATCH_TABLES, CUSTOMER_CUTOFF, STREAM_TABLES, pipeline_run
 from .q_ingest import BRONZE_ORDERS, BRONZE_PRODUCTS
 from .registry import query
@@ -36,6 +36,9 @@ P_SCD1_PRODUCTS_1 = O.SCD1_PRODUCTS.replace("scd1_products AS", "p_scd1_products
 P_ENRICHED = O.ENRICHED.replace("enriched AS", "p_enriched AS").replace("FROM scd1_orders", "FROM p_scd1_orders").replace(
     "FROM scd1_products", "FROM p_scd1_products")
 P_DAILY = O.DAILY.replace("daily AS", "p_daily AS").replace("FROM enriched", "FROM p_enriched")
+P_ENRICHED_1 = O.ENRICHED.replace("enriched AS", "p_enriched_1 AS").replace("FROM scd1_orders", "FROM p_scd1_orders_1").replace(
+    "FROM scd1_products", "FROM p_scd1_products_1")
+P_DAILY_1 = O.DAILY.replace("daily AS", "p_daily_1 AS").replace("FROM enriched", "FROM p_enriched_1")
 P_SCD2_1 = O.SCD2_CUSTOMERS.replace("scd2_customers AS", "p_scd2_customers_1 AS").replace(
     "FROM valid_customers", f"FROM valid_customers WHERE evento_ts < TIMESTAMP '{CUSTOMER_CUTOFF}'")
 P_HOURLY = """p_hourly AS (
@@ -47,7 +50,7 @@ P_HOURLY = """p_hourly AS (
 P_ALL = (
     *O.CUST, O.ORDER_EVENTS, BRONZE_ORDERS, O.PRODUCT_EVENTS, BRONZE_PRODUCTS, O.CATEGORIES,
     P_ORDER_EVENTS, P_VALID_ORDERS, P_QUARANTINE, P_SCD1_ORDERS, P_SCD1_ORDERS_1,
-    P_PRODUCT_EVENTS, P_SCD1_PRODUCTS, P_SCD1_PRODUCTS_1, P_ENRICHED, P_DAILY, P_SCD2_1, P_HOURLY,
+    P_PRODUCT_EVENTS, P_SCD1_PRODUCTS, P_SCD1_PRODUCTS_1, P_ENRICHED, P_DAILY, P_ENRICHED_1, P_DAILY_1, P_SCD2_1, P_HOURLY,
 )
 
 LAYER_SQL = """SELECT * FROM (
@@ -103,6 +106,11 @@ QUALITY_SQL = "\nUNION ALL ".join(
     + _rules_sql("clientes_eventos_validos", "customer_std", silver.CUSTOMER_RULES)
     + _rules_sql("pedidos_eventos_validos", "p_order_events", silver.ORDER_RULES)
     + _rules_sql("produtos_eventos_validos", "p_product_events", silver.PRODUCT_RULES)
+    # Targets are checked once per update.
+    + _rules_sql("clientes", "(SELECT cliente_id FROM p_scd2_customers_1 UNION ALL SELECT cliente_id FROM scd2_customers) t", silver.CDC_RULES["clientes"])
+    + _rules_sql("pedidos", "(SELECT pedido_id FROM p_scd1_orders_1 UNION ALL SELECT pedido_id FROM p_scd1_orders) t", silver.CDC_RULES["pedidos"])
+    + _rules_sql("vendas_diarias_categoria", "(SELECT receita_dia FROM p_daily_1 UNION ALL SELECT receita_dia FROM p_daily) t",
+                 gold.DAILY_SALES_RULES)
 )
 
 
@@ -132,6 +140,10 @@ FLOW_SQL = """SELECT flow_name, CAST(linhas_processadas AS BIGINT) AS linhas_pro
   UNION ALL SELECT 'clientes_cdc_flow', (SELECT count(*) FROM p_scd2_customers_1) + (SELECT count(*) FROM scd2_customers), 0
   UNION ALL SELECT 'pedidos_cdc_flow', (SELECT count(*) FROM p_scd1_orders_1) + (SELECT count(*) FROM p_scd1_orders), 0
   UNION ALL SELECT 'produtos_cdc_flow', (SELECT count(*) FROM p_scd1_products_1) + (SELECT count(*) FROM p_scd1_products), 0
+  UNION ALL SELECT 'vendas_diarias_categoria', (SELECT count(*) FROM p_daily_1) + (SELECT count(*) FROM p_daily), 0
+  UNION ALL SELECT 'funil_status_pedidos', (SELECT count(DISTINCT status) FROM p_scd1_orders_1) + (SELECT count(DISTINCT status) FROM p_scd1_orders), 0
+  UNION ALL SELECT n, (SELECT count(*) FROM p_scd2_customers_1 WHERE __END_AT IS NULL) + (SELECT count(*) FROM scd2_customers WHERE __END_AT IS NULL), 0
+            FROM unnest(['clientes_valor', 'dim_clientes']) u(n)
   UNION ALL SELECT 'pedidos_por_hora', (SELECT count(*) FROM p_hourly), 0) x"""
 
 
@@ -231,3 +243,28 @@ def pipeline_change_feed(spark, sf_dir):
     before = spark.read.parquet(p.table_path("silver", "pedidos", 1)).select(*cols)
     after = spark.read.parquet(p.table_path("silver", "pedidos", 2)).select(*cols)
     return change_feed(before, after, ["pedido_id"]).groupBy("_change_type").agg(F.count(F.lit(1)).alias("qtd"))
+
+
+BATCH_SQL = """SELECT flow, contador, CAST(total AS BIGINT) AS total FROM (
+  SELECT 'clientes_raw' AS flow, 'rows' AS contador, (SELECT count(*) FROM customer_events) AS total
+  UNION ALL SELECT 'pedidos_raw', 'rows', (SELECT count(*) FROM bronze_orders)
+  UNION ALL SELECT 'produtos_raw', 'rows', (SELECT count(*) FROM bronze_products)
+  UNION ALL SELECT 'clientes_eventos_validos', 'rows', (SELECT count(*) FROM customer_std)
+  UNION ALL SELECT 'pedidos_eventos_validos', 'rows', (SELECT count(*) FROM p_order_events)
+  UNION ALL SELECT 'pedidos_quarentena', 'rows', (SELECT count(*) FROM p_order_events)
+  UNION ALL SELECT 'produtos_eventos_validos', 'rows', (SELECT count(*) FROM p_product_events)
+  UNION ALL SELECT 'clientes_raw', 'output_rows', (SELECT count(*) FROM customer_events)
+  UNION ALL SELECT 'pedidos_raw', 'output_rows', (SELECT count(*) FROM bronze_orders)
+  UNION ALL SELECT 'produtos_raw', 'output_rows', (SELECT count(*) FROM bronze_products)
+  UNION ALL SELECT 'clientes_eventos_validos', 'output_rows', (SELECT count(*) FROM valid_customers)
+  UNION ALL SELECT 'pedidos_eventos_validos', 'output_rows', (SELECT count(*) FROM p_valid_orders)
+  UNION ALL SELECT 'pedidos_quarentena', 'output_rows', (SELECT count(*) FROM p_quarantine)
+  UNION ALL SELECT 'produtos_eventos_validos', 'output_rows', (SELECT count(*) FROM p_product_events)) x"""
+
+
+@query("pipeline_batch_metrics", O.with_(*P_ALL) + BATCH_SQL)
+def pipeline_batch_metrics(spark, sf_dir):
+    """Rows read and written by each ingestion and validation stream, summed over the reports of its micro-batches."""
+    totals = pipeline_run(spark, sf_dir).metrics.totals()
+    return totals.where("name IN ('rows', 'output_rows') AND flow <> 'pedidos_por_hora'").select(
+        "flow", F.col("name").alias("contador"), "total")

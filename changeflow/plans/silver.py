@@ -44,6 +44,12 @@ ORDER_RULES = (
 # Expectations of the product event log.
 PRODUCT_RULES = (Rule("produto_id_obrigatorio", "produto_id IS NOT NULL", FAIL),)
 
+# Expectations of the CDC targets.
+CDC_RULES = {
+    "clientes": (Rule("id_final_valido", "cliente_id IS NOT NULL"),),
+    "pedidos": (Rule("id_final_valido", "pedido_id IS NOT NULL"),),
+}
+
 # Tie-break of equal order sequences (all descending with the sequence).
 ORDER_TIEBREAK = ("preco_unitario", "quantidade", "produto_id", "desempate", "status")
 

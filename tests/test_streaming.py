@@ -95,22 +95,48 @@ def test_totals_of_many_batches_are_complete(spark):
     p = Pipeline(spark, SF_SMOKE)
     p.lote, p.update_id = 1, "update-1"
     source = f"{p.root}/numbers"
-    for i in range(12):
-        spark.range(i * 10, i * 10 + 10).coalesce(1).write.mode("append").parquet(source)
+    spark.range(0, 1500, 1, 150).write.parquet(source)
     kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
-    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "5")
-    try:
-        stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(source)
-        p.run_flow("numbers", stream, "silver", "numbers", [Rule("even", "id % 2 = 0", "drop")])
-        assert spark.conf.get("spark.sql.streaming.numRecentProgressUpdates") == "5"
-    finally:
-        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(source)
+    p.run_flow("numbers", stream, "silver", "numbers", [Rule("even", "id % 2 = 0", "drop")])
+    assert spark.conf.get("spark.sql.streaming.numRecentProgressUpdates") == kept
     p.flush()
     import json
 
     details = json.loads(p.event_log().where(F.col("event_type") == "flow_progress").first()["details"])["flow_progress"]
-    assert details["metrics"]["num_output_rows"] == 60
-    assert details["data_quality"]["expectations"][0] == {"name": "even", "dataset": "numbers", "passed_records": 60, "failed_records": 60}
+    assert details["metrics"]["num_output_rows"] == 750
+    assert details["data_quality"]["expectations"][0] == {"name": "even", "dataset": "numbers", "passed_records": 750, "failed_records": 750}
+    table = p.metrics.table()
+    assert table.count() == 150 and table.agg(F.max("batch_id")).first()[0] == 149
+    # A batch that reports again, as after a failure, counts once.
+    again = table.where("batch_id = 7").withColumn("recorded_at", F.expr("recorded_at + INTERVAL 1 HOUR"))
+    again.select("flow", "batch_id", "run", "recorded_at", "metrics").write.mode("append").parquet(p.metrics.path)
+    assert {(r["name"], r["total"]) for r in p.metrics.totals().collect()} == {
+        ("rows", 1500), ("output_rows", 750), ("failed_even", 750), ("dropped_records", 750)}
+
+
+def test_guard_that_aborts_is_logged(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMOKE
+
+    from changeflow.operators.quality import Rule, fail_guard
+    from changeflow.plans.pipeline import Pipeline
+
+    p = Pipeline(spark, SF_SMOKE)
+    p.lote, p.update_id = 1, "update-1"
+    rules = (Rule("positive", "id > 0", "fail"),)
+    with pytest.raises(Exception, match="positive"):
+        p.write_observed(spark.range(5), "gold", "guarded", "guarded", rules, lambda rows: fail_guard(rows, rules))
+    p.write_observed(spark.range(1, 5), "gold", "guarded", "guarded", rules, lambda rows: fail_guard(rows, rules))
+    p.flush()
+    import json
+
+    log = p.event_log().where(F.col("event_type") == "flow_progress").orderBy("timestamp").collect()
+    failed, done = [json.loads(r["details"])["flow_progress"] for r in log]
+    assert failed["status"] == "FAILED" and "positive" in failed["error"]
+    assert done["data_quality"]["expectations"][0]["passed_records"] == 4 and done["metrics"]["num_output_rows"] == 4
 
 
 def test_late_file_in_an_old_folder_is_applied_and_old_updates_stay(spark):
