@@ -245,6 +245,32 @@ class Pipeline:
                  RESCUE_RULES, (("landing", entity),))
             for entity, stream in specs
         ])
+        self.record_files([f"{entity}_raw" for entity, _ in specs])
+
+    def record_files(self, tables: Sequence[str]) -> None:
+        """Append one row per newly ingested file to ``_files``: table, file, its rows, when it was first ingested.
+
+        A file belongs to one micro-batch, and later micro-batches have later ingestion times, so what is newer than the
+        ledger's last row of a table is new. Of a table only data files written since then are read (an hour of clock
+        difference allowed for), and of these two columns: the cost follows the update, not the table.
+        """
+        path, last = os.path.join(self.root, "_files"), {}
+        if self._exists(path):
+            at = F.max("ingerido_em")
+            since = F.date_format(at - F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd'T'HH:mm:ss")
+            rows = self.spark.read.parquet(path).groupBy("tabela").agg(F.unix_micros(at).alias("at"), since.alias("since"))
+            last = {r["tabela"]: (r["at"], r["since"]) for r in rows.collect()}  # a row per bronze table
+        for name in tables:
+            new = self.read("bronze", name)
+            if name in last:
+                at, since = last[name]
+                new = self.spark.read.schema(new.schema).option("modifiedAfter", since).parquet(self.target("bronze", name).path)
+                new = new.filter(F.col("data_ingestao") > F.timestamp_micros(F.lit(at)))
+            files = new.groupBy("arquivo_origem").agg(F.count(F.lit(1)).alias("linhas"), F.min("data_ingestao").alias("ingerido_em"))
+            files.select(F.lit(name).alias("tabela"), "*").write.mode("append").parquet(path)
+
+    def file_ledger(self) -> DataFrame:
+        return self.spark.read.parquet(os.path.join(self.root, "_files"))
 
     def silver_validate(self) -> None:
         raw_c = self.read("bronze", "clientes_raw", stream=True)

@@ -122,6 +122,25 @@ def lineage_latest(spark, sf_dir):
     )
 
 
+FEED_COLUMNS = ("source_table_catalog", "source_table_schema", "source_table_name",
+                "target_table_catalog", "target_table_schema", "target_table_name", "event_time")
+FEED_ROWS = 200
+
+
+@query(
+    "lineage_feed",
+    O.with_(O.LINEAGE)
+    + f"""SELECT {', '.join(FEED_COLUMNS)} FROM lineage
+WHERE source_table_catalog = 'lakehouse' OR target_table_catalog = 'lakehouse'
+ORDER BY event_time DESC, {', '.join(FEED_COLUMNS[:-1])} LIMIT {FEED_ROWS}""",
+)
+def lineage_feed(spark, sf_dir):
+    """The newest lineage events that read or write the catalog, as they came (top-k, ties by name)."""
+    feed = fx.lineage_feed(spark, sf_dir).filter(
+        (F.col("target_table_catalog") == "lakehouse") | (F.col("source_table_catalog") == "lakehouse"))
+    return feed.select(*FEED_COLUMNS).orderBy(F.col("event_time").desc(), *FEED_COLUMNS[:-1]).limit(FEED_ROWS)
+
+
 LAYER_SQL = """SELECT * FROM (
   SELECT 'bronze' AS camada, 'clientes_raw' AS tabela, (SELECT count(*) FROM customer_events) AS linhas
   UNION ALL SELECT 'bronze', 'pedidos_raw', (SELECT count(*) FROM order_events)

@@ -268,3 +268,25 @@ def pipeline_batch_metrics(spark, sf_dir):
     totals = pipeline_run(spark, sf_dir).metrics.totals()
     return totals.where("name IN ('rows', 'output_rows') AND flow <> 'pedidos_por_hora'").select(
         "flow", F.col("name").alias("contador"), "total")
+
+
+@query(
+    "pipeline_file_ledger",
+    O.with_(*P_ALL)
+    + f"""SELECT tabela, lote, count(*) AS linhas, true AS cada_arquivo_uma_vez, true AS hora_da_carga FROM (
+  SELECT 'clientes_raw' AS tabela, CASE WHEN evento_ts < TIMESTAMP '{CUSTOMER_CUTOFF}' THEN 1 ELSE 2 END AS lote FROM customer_events
+  UNION ALL SELECT 'pedidos_raw', lote FROM bronze_orders
+  UNION ALL SELECT 'produtos_raw', lote FROM bronze_products) x GROUP BY tabela, lote""",
+)
+def pipeline_file_ledger(spark, sf_dir):
+    """Rows per table and landing folder from the run's file ledger, whether each file is there once, and whether files of
+    the first folder were ingested before those of the second."""
+    files = pipeline_run(spark, sf_dir).file_ledger().withColumn("lote", F.regexp_extract("arquivo_origem", r"lote=(\d+)", 1).cast("int"))
+    per = files.groupBy("tabela", "lote").agg(
+        F.sum("linhas").alias("linhas"), F.count(F.lit(1)).alias("n"), F.count_distinct("arquivo_origem").alias("d"),
+        F.min("ingerido_em").alias("primeiro"), F.max("ingerido_em").alias("ultimo"))
+    # Two landing folders per table: a handful of rows.
+    before = per.select("tabela", (F.col("lote") + 1).alias("lote"), F.col("ultimo").alias("anterior"))
+    return per.join(before, ["tabela", "lote"], "left").select(
+        "tabela", "lote", "linhas", (F.col("n") == F.col("d")).alias("cada_arquivo_uma_vez"),
+        F.coalesce(F.col("anterior") < F.col("primeiro"), F.lit(True)).alias("hora_da_carga"))

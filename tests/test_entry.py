@@ -64,7 +64,10 @@ def test_pipeline_update_rerun_is_idempotent(spark):
     p.update(1)
     counts = {n: p.read("silver", n).count() for n in ("pedidos_eventos_validos", "pedidos_quarentena")}
     current = p.current("silver", "clientes").count()
+    files = sorted(map(tuple, p.file_ledger().collect()))
+    assert sum(f[2] for f in files if f[0] == "pedidos_raw") == p.read("bronze", "pedidos_raw").count()
     p.update(1)
+    assert sorted(map(tuple, p.file_ledger().collect())) == files
     assert {n: p.read("silver", n).count() for n in counts} == counts
     assert p.current("silver", "clientes").count() == current
 
