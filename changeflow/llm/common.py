@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +32,11 @@ def discard(df: DataFrame) -> None:
 
 
 def release(spark) -> None:
-    """Let Spark remove the shuffle files of finished jobs now: its cleaner does so when their plans are collected."""
+    """Let Spark remove the shuffle files of finished jobs now: its cleaner does so when their plans are collected.
+
+    Python's handles on plans form cycles, and hold the plans until they are collected themselves.
+    """
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
