@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WHITE, broadcast_if_small, join_hot, written
+from .common import BROADCAST_ROWS, WHITE, broadcast_if_small, discard, join_hot, release, written
 from .wordcodes import raw, text_batches
 
 WORDS = 5
@@ -231,15 +231,19 @@ def components(links: DataFrame) -> DataFrame:
     """(node, label) of every linked node; the label is the least node of its component.
 
     Alternating stars: every node passes its least neighbour on, first to larger neighbours, then to smaller
-    ones, until all components are stars. Each round is written; a node with very many links is combined per task.
+    ones, until all components are stars. Each round is written, and what it was made of deleted; a node with very many links is combined
+    per task. The result is read from the table ``written_to``.
     """
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges")
     while not only_stars(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        edges = written(stars(both, "v > u", "v", "m"), "star")
-        edges = stars(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v"), "true", "v", "m", own=True)
-        edges = written(edges, "edges")
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
+        passed = stars(both, "v > u", "star")
+        discard(edges)
+        edges = stars(passed.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v"), "true", "edges", own=True)
+        discard(passed)
+    labels = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
+    labels.written_to = edges.written_to
+    return labels
 
 
 def only_stars(edges: DataFrame) -> bool:
@@ -249,16 +253,18 @@ def only_stars(edges: DataFrame) -> bool:
     return nodes.where("out > 1 OR out * into > 0").isEmpty()
 
 
-def stars(edges: DataFrame, which: str, u: str, v: str, own: bool = False) -> DataFrame:
-    """Edges from the neighbours of each node to its least neighbour or itself."""
+def stars(edges: DataFrame, which: str, name: str, own: bool = False) -> DataFrame:
+    """Edges from the neighbours of each node to its least neighbour or itself, written as ``name``."""
     edges = edges.distinct()
     least = written(edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n")), "least")
     rows = least.agg(F.sum("n")).first()[0]
     joined = join_hot(edges, least, ["u"], "n", rows, how="inner")
-    out = joined.where(which).select(F.col(u).alias("u"), F.col(v).alias("v"))
+    out = joined.where(which).select(F.col("v").alias("u"), F.col("m").alias("v"))
     if own:
         out = out.union(least.select("u", F.col("m").alias("v")))
-    return out.where("u != v").distinct()
+    out = written(out.where("u != v").distinct(), name)
+    discard(least)
+    return out
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
@@ -266,34 +272,47 @@ def ordered(pairs: DataFrame) -> DataFrame:
 
 
 def pivot_pairs(rest: DataFrame, near: DataFrame, nodes: DataFrame, turn: int) -> DataFrame:
-    """Each node in ``rest`` (bucket, node, label) as b with the pivot most like it of another label as a; pairs in ``near`` are done.
+    """Each node in ``rest`` (see ``apart``) as b with the pivot most like it of another label as a; pairs in ``near`` are done.
 
     A bucket's pivot is its least member by a hash of bucket, node and ``turn``. All pivots that a node meets are
     estimated on the slots, one is compared.
     """
-    rest = rest.select("bucket", "node", "label")
-    pivot = F.min(F.struct(F.xxhash64("bucket", "node", F.lit(turn)).alias("place"), "node", "label"))
-    pivots = written(rest.groupBy("bucket").agg(pivot.alias("pivot"), F.count(F.lit(1)).alias("n")), "pivots")
-    met = join_hot(rest, pivots, ["bucket"], "n", max(1, rest.count()), how="inner").where("label != pivot.label")
+    met = rest.where((F.col("turn") == turn) & (F.col("label") != F.col("pivot.label")))
     pairs = met.select(F.col("pivot.node").alias("a"), F.col("node").alias("b")).distinct()
     done = near.union(near.select("b", "a"))
-    likely = estimated(written(pairs.join(done, ["a", "b"], "left_anti"), "pairs"), nodes)
-    return likely.groupBy("b").agg(F.max(F.struct("share", "a")).alias("best")).select("best.a", "b")
+    asked = written(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
+    likely = estimated(asked, nodes)
+    tried = written(likely.groupBy("b").agg(F.max(F.struct("share", "a")).alias("best")).select("best.a", "b"), "tried")
+    discard(asked)
+    return tried
 
 
-def apart(shared: DataFrame, labels: DataFrame) -> tuple[DataFrame, int, float]:
+def apart(shared: DataFrame, labels: DataFrame, turn: int) -> tuple[DataFrame, int, float]:
     """What is left of the buckets ``shared`` (bucket, node) when linked nodes have ``labels``.
 
-    Returns the members (bucket, node, label, n) of buckets that hold several labels, n being their number, the number
-    of these buckets and of their pairs of members of different labels.
+    Returns the members (bucket, node, label, n, pivot, turn) of buckets that hold several labels, n being their number and pivot
+    (node, label) the bucket's pivot of ``turn``, the number of these buckets and of their pairs of members of different labels.
+    The members are written once, and carry the pivots with them: no later step joins by bucket again.
     """
     labelled = shared.join(broadcast_if_small(labels, labels.count()), "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
     labelled = written(labelled, "labelled")
-    sizes = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"))
-    mixed = sizes.groupBy("bucket").agg(F.sum("k").alias("n"), F.sum(F.col("k").cast("double") * F.col("k")).alias("own"), F.count(F.lit(1)).alias("labels"))
-    mixed = written(mixed.where("labels > 1").select("bucket", "n", ((F.col("n").cast("double") * F.col("n") - F.col("own")) / 2).alias("pairs")), "mixed")
+    place = F.struct(F.xxhash64("bucket", "node", F.lit(turn)).alias("place"), "node", "label")
+    sizes = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("k"), F.min(place).alias("first"))
+    mixed = sizes.groupBy("bucket").agg(
+        F.sum("k").alias("n"), F.sum(F.col("k").cast("double") * F.col("k")).alias("own"), F.count(F.lit(1)).alias("labels"), F.min("first").alias("pivot"))
+    pairs = (F.col("n").cast("double") * F.col("n") - F.col("own")) / 2
+    mixed = written(mixed.where("labels > 1").select("bucket", "n", F.struct("pivot.node", "pivot.label").alias("pivot"), pairs.alias("pairs")), "mixed")
     n_mixed, pairs = mixed.agg(F.count(F.lit(1)), F.coalesce(F.sum("pairs"), F.lit(0.0))).first()
-    return labelled.join(broadcast_if_small(mixed.select("bucket", "n"), n_mixed), "bucket"), n_mixed, pairs
+    held = mixed.select("bucket", "n", "pivot")
+    # A row here is twice as wide as the narrow rows that may be broadcast.
+    if 2 * n_mixed <= BROADCAST_ROWS:
+        members = labelled.join(F.broadcast(held), "bucket")
+    else:
+        members = join_hot(labelled, held, ["bucket"], "n", labelled.count(), how="inner")
+    rest = written(members.select("bucket", "node", "label", "n", "pivot", F.lit(turn).alias("turn")), "rest")
+    discard(labelled)
+    discard(mixed)
+    return rest, n_mixed, pairs
 
 
 def prefix_pairs(docs: DataFrame, members: DataFrame) -> DataFrame:
@@ -319,11 +338,14 @@ def pairs_of_texts(texts: DataFrame, members: DataFrame) -> DataFrame:
 
     sets = written(texts.select("node", "norm").mapInArrow(task, "node long, shingle long, size long"), "sets")
     common = sets.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")  # who is alone finds nobody
-    ranked = join_hot(sets, written(common, "common"), ["shingle"], "n", max(1, rows))
+    common = written(common, "common")
+    ranked = join_hot(sets, common, ["shingle"], "n", max(1, rows))
     place = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("n", F.lit(1)), "shingle"))
     need = F.ceil(F.col("size") * SIMILARITY - 1e-9)
     prefix = ranked.withColumn("place", place).where(F.col("n").isNotNull() & (F.col("place") <= F.col("size") - need + 1))
     prefix = written(prefix.join(members.select("node", "label"), "node").select("shingle", "node", "label", "size", "place"), "prefix")
+    discard(sets)
+    discard(common)
     # The smaller set of a pair shares at least 2s / (1 + s) of its size, so its prefix is shorter still.
     least = F.ceil(F.col("size") * (2 * SIMILARITY / (1 + SIMILARITY)) - 1e-9)
     small, large = ({c: f"{c}_{x}" for c in ("node", "label", "size", "place")} for x in "ab")
@@ -352,43 +374,61 @@ def near_classes(docs: DataFrame) -> DataFrame:
     texts = written(texts_of(docs, asked, asked.count()), "texts")
     # A node of a large class meets another head in almost every bucket: two of them are enough to join most classes.
     tops = shared.where("node != head").groupBy("node").agg(F.min("head").alias("low"), F.max("head").alias("high"))
-    pairs = tops.select(F.explode(F.array_distinct(F.array("low", "high"))).alias("a"), F.col("node").alias("b"))
-    near = written(estimated(written(pairs, "pairs"), nodes).select("a", "b"), "near")
+    pairs = written(tops.select(F.explode(F.array_distinct(F.array("low", "high"))).alias("a"), F.col("node").alias("b")), "pairs")
+    near = written(estimated(pairs, nodes).select("a", "b"), "near")
+    discard(pairs)
     links = verified(near, texts)
     labels = components(links)
-    rest, n_mixed, left = apart(shared, labels)
+    rest, n_mixed, left = apart(shared, labels, 0)
+    for done in (heads, shared, asked):
+        discard(done)
+    release(docs.sparkSession)
     # Many pairs apart are often of few classes: pivots join these, as long as they do.
     for turn in range(TURNS):
         if left <= DENSE * n_shared:
             break
-        tried = written(pivot_pairs(rest, near, nodes, turn), "tried")
+        tried = pivot_pairs(rest, near, nodes, turn)
         more = verified(tried, texts)
         near = near.union(ordered(tried))
         if more.isEmpty():
             break
         links = links.union(more)
+        discard(labels)
         labels = components(links)
-        before = left
-        rest, n_mixed, left = apart(shared, labels)
+        # Labels only merge: buckets of one label stay so, and only members of the others are looked at again.
+        before, held = left, rest
+        rest, n_mixed, left = apart(held.select("bucket", "node"), labels, turn + 1)
+        discard(held)
+        release(docs.sparkSession)
         if left > 0.9 * before:
             break
     # What is left: all pairs of small buckets, the prefix filter for large ones.
     if n_mixed:
-        few = rest.where(f"n <= {LISTED}")
-        left_, right_ = (few.select("bucket", F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
-        pairs = left_.join(right_, "bucket").where("a < b AND label_a != label_b").select("a", "b")
+        # A small bucket's members are few, and the same few often share several buckets: each set of them is listed once.
+        few = rest.where(f"n <= {LISTED}").groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("node", "label"))).alias("held")).select("held").distinct()
+        few = few.select("held", F.explode("held").alias("x")).select("x", F.explode(F.filter("held", lambda y: (F.col("x.node") < y["node"]) & (F.col("x.label") != y["label"]))).alias("y"))
+        pairs = few.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
         many = written(rest.where(f"n > {LISTED}").select("node", "label").distinct(), "many")
         if not many.isEmpty():
             pairs = pairs.union(pairs_of_texts(texts, many))
         pairs = written(pairs.distinct().join(near, ["a", "b"], "left_anti"), "pairs")
-        more = verified(written(estimated(pairs, nodes).select("a", "b"), "near"), texts)
+        likely = written(estimated(pairs, nodes).select("a", "b"), "near")
+        more = verified(likely, texts)
         if not more.isEmpty():
+            discard(labels)
             labels = components(links.union(more))
-    labels = written(nodes.select("key", "node").join(labels, "node", "left").select("key", F.coalesce("label", "node").alias("label")), "labels")
-    named = rows.select("doc_id", "key").join(broadcast_if_small(labels, labels.count()), "key")
+        for done in (many, pairs, likely):
+            discard(done)
+    discard(rest)
+    discard(texts)
+    keys = written(nodes.select("key", "node").join(labels, "node", "left").select("key", F.coalesce("label", "node").alias("label")), "labels")
+    named = rows.select("doc_id", "key").join(broadcast_if_small(keys, keys.count()), "key")
     named = written(named, "named")
+    for done in (nodes, labels, keys, rows):
+        discard(done)
+    release(docs.sparkSession)
     classes = written(named.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "classes")
-    out = join_hot(named, classes, ["label"], "class_size", rows.count(), how="inner")
+    out = join_hot(named, classes, ["label"], "class_size", named.count(), how="inner")
     return out.select("doc_id", "class_id", "class_size", "key", "label")
 
 
@@ -404,6 +444,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     seen = classes.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
     drop = written(seen.join(keep, same(seen, keep), "left_anti"), "drop")
+    discard(classes)
     few = broadcast_if_small(drop, drop.count())
     rest = packed.join(few, same(packed, few), "left_anti")
     if keep.where("n > 1").isEmpty():

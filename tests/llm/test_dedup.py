@@ -1,4 +1,5 @@
 import collections
+import os
 import random
 import re
 
@@ -182,6 +183,20 @@ def test_pivot_rounds_and_copied_texts(spark, monkeypatch):
     assert turns
 
 
+def test_intermediate_tables_are_discarded(spark, monkeypatch):
+    """Rounds of pivots leave no tables behind, and each round joins by bucket once: what is left is written with its pivots."""
+    docs = documents(spark, [(i, t, "en", "a", 1) for i, t in enumerate(variants(30, 2, size=90, seed=5) + variants(20, 4, seed=7))])
+    tables, rests = [], []
+    written, apart = near_dedup.written, near_dedup.apart
+    monkeypatch.setattr(near_dedup, "written", lambda *x: tables.append(written(*x)) or tables[-1])
+    monkeypatch.setattr(near_dedup, "apart", lambda *x: rests.append(apart(*x)) or rests[-1])
+    monkeypatch.setattr(near_dedup, "DENSE", 0)
+    near_dedup.near_classes(docs)
+    left = {os.path.basename(t.written_to).rpartition("-")[0] for t in tables if os.path.exists(t.written_to)}
+    assert left <= {"links", "near", "tried", "named", "classes"}
+    assert len(rests) > 1 and all("pivot" in r.columns and hasattr(r, "written_to") for r, *_ in rests)
+
+
 def test_repeated_passages_do_not_hide_links(spark):
     """A text, and the same with an inner passage repeated: almost the same distinct shingles, other weights."""
     texts = []
