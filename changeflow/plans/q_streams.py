@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.timeutil import instant_to_ntz, ntz_to_instant
 from ..operators.quality import split_valid
 from ..sources import fixtures as fx
-from ..sources.tables import table_path, stream_table
-from ..streaming.runner import StreamTarget, read_sink, run_available_now
+from ..sources.tables import read_table, table_path, stream_table
+from ..streaming.runner import StreamTarget, partitions_for, read_sink, run_available_now
 from ..streaming.windows import dedup_within_watermark, events_stream, order_creation_events, orders_per_hour
 from . import oracle as O
 from . import silver
@@ -95,8 +95,10 @@ def stream_quarantine(spark, sf_dir):
     valid, quarantine = split_valid(events, silver.ORDER_RULES)
     tv = StreamTarget.create(spark, "pedidos_eventos_validos")
     tq = StreamTarget.create(spark, "pedidos_quarentena")
-    run_available_now(valid, tv)
-    run_available_now(quarantine.withColumn("regras_violadas", F.array_join("regras_violadas", ",")), tq)
+    # The files' footers tell the rows.
+    n = partitions_for(spark, read_table(spark, sf_dir, "lineitem").count())
+    run_available_now(valid, tv, state_partitions=n)
+    run_available_now(quarantine.withColumn("regras_violadas", F.array_join("regras_violadas", ",")), tq, state_partitions=n)
     return read_sink(spark, tv).select(F.lit("pedidos_eventos_validos").alias("tabela")).unionByName(
         read_sink(spark, tq).select(F.lit("pedidos_quarentena").alias("tabela"))
     ).groupBy("tabela").agg(F.count(F.lit(1)).alias("linhas"))

@@ -119,3 +119,43 @@ def test_csv_columns_are_mapped_by_each_files_header(spark, tmp_dir):
         f.write("qty,id\n9,7\n")
     run_csv_by_header(spark, os.path.join(d, "*"), schema, target)
     assert rows() == sorted([*first, (7, 9, None, None)], key=repr)
+
+
+def test_only_lines_with_something_to_rescue_are_parsed_again(spark):
+    """A line of as many keys as typed values is clean; the string map is parsed for the others alone, with the same results."""
+    lines = {
+        '{"pedido_id":1,"quantidade":2}': (1, 2, None),
+        '{"pedido_id":1,"quantidade":null}': (1, None, None),
+        '{"pedido_id":1,"pedido_id":2}': (2, None, '{"pedido_id":1,"pedido_id":2}'),
+        '{"pedido_id":1,"quantidade":"3 un"}': (1, None, '{"quantidade":"3 un"}'),
+        '{"pedido_id":1,"cupom":"A"}': (1, None, '{"cupom":"A"}'),
+        '{"quantidade":"3 un","cupom":"A"}': (None, None, '{"quantidade":"3 un","cupom":"A"}'),
+        "{'pedido_id':1}": (1, None, None),
+        "{}": (None, None, None),
+        "#corrupt": (None, None, "#corrupt"),
+    }
+    df = spark.createDataFrame([(t, t) for t in lines], "line string, value string")
+    out = rescue_json(df, schema_with_hints("pedido_id BIGINT, quantidade INT"))
+    assert {r["line"]: (r["pedido_id"], r["quantidade"], r["_rescued_data"]) for r in out.collect()} == lines
+    assert "CASE WHEN NOT _clean" in out._jdf.queryExecution().analyzed().toString()
+
+
+def test_landing_is_compressed_in_many_files(spark, tmp_dir, monkeypatch):
+    from changeflow.plans import pipeline as pl
+
+    monkeypatch.setitem(pl.LANDED, "maxRecordsPerFile", 100)
+    p = pl.Pipeline(spark, "/root/testdata/sf0.001", root=tmp_dir)
+    p.lote = 1
+    p.land()
+    for entity in ("clientes", "pedidos", "produtos"):
+        files = [f for f in os.listdir(os.path.join(tmp_dir, "landing", entity, "lote=1")) if f.startswith("part-")]
+        assert files and all(f.endswith(".gz") for f in files)
+    orders = spark.read.text(os.path.join(tmp_dir, "landing", "pedidos"))
+    assert len(orders.inputFiles()) * 100 >= orders.count()
+
+
+def test_stream_shuffles_grow_with_rows(spark):
+    from changeflow.streaming.runner import partitions_for
+
+    assert partitions_for(spark, 0) == spark.sparkContext.defaultParallelism
+    assert partitions_for(spark, 200_000_001) == 201
