@@ -232,39 +232,52 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternating stars: every node passes its least neighbour on, first to larger neighbours, then to smaller
     ones, until all components are stars. Each round is written, and what it was made of deleted; a node with very many links is combined
-    per task. The result is read from the table ``written_to``.
+    per task, and least neighbours of few nodes are broadcast. The result is read from the table ``written_to``.
     """
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges")
-    while not only_stars(edges):
+    while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        passed = stars(both, "v > u", "star")
-        discard(edges)
-        edges = stars(passed.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v"), "true", "edges", own=True)
-        discard(passed)
+        least, nodes, rows, knots = least_neighbours(both)
+        if not knots:
+            break
+        # Repeated edges do no harm here: the second step drops them.
+        passed = written(with_least(both, least, nodes, rows).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), "star")
+        for done in (edges, least):
+            discard(done)
+        least, nodes, rows, _ = least_neighbours(passed)
+        joined = with_least(passed, least, nodes, rows).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = written(joined.union(least.select("u", F.col("m").alias("v"))).where("u != v").distinct(), "edges")
+        for done in (passed, least):
+            discard(done)
+    discard(least)
     labels = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
     labels.written_to = edges.written_to
     return labels
 
 
-def only_stars(edges: DataFrame) -> bool:
-    """Whether each node of ``edges`` (u, v) has one edge as u, or any number as v."""
-    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")), F.struct(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))).alias("end"))
-    nodes = ends.select("end.*").groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
-    return nodes.where("out > 1 OR out * into > 0").isEmpty()
-
+def least_neighbours(edges: DataFrame) -> tuple[DataFrame, int, int, int]:
+    """For each node u of ``edges`` (u, v), written: m, its least neighbour or itself, and n, its edges; the number of nodes, of
+    edges, and of nodes with several edges of which one leads to a lesser node.
 
-def stars(edges: DataFrame, which: str, name: str, own: bool = False) -> DataFrame:
-    """Edges from the neighbours of each node to its least neighbour or itself, written as ``name``."""
-    edges = edges.distinct()
+    Where ``edges`` holds each edge once in either direction, all components are stars when there is no such node.
+    """
     least = written(edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n")), "least")
-    rows = least.agg(F.sum("n")).first()[0]
-    joined = join_hot(edges, least, ["u"], "n", rows, how="inner")
-    out = joined.where(which).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    if own:
-        out = out.union(least.select("u", F.col("m").alias("v")))
-    out = written(out.where("u != v").distinct(), name)
-    discard(least)
-    return out
+    nodes, rows, knots = least.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.count_if((F.col("m") < F.col("u")) & (F.col("n") > 1))).first()
+    return least, nodes, rows, knots
+
+
+def with_least(edges: DataFrame, least: DataFrame, nodes: int, rows: int) -> DataFrame:
+    """``edges`` (u, v) with the m of their u, from ``least`` of so many ``nodes`` and edges."""
+    if nodes <= BROADCAST_ROWS:
+        return edges.join(F.broadcast(least.select("u", "m")), "u")
+    return join_hot(edges, least, ["u"], "n", rows, how="inner")
+
+
+def joined_labels(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """The written ``labels`` of ``components`` after the links ``more``: a label stands for all links that gave it. Deletes the old ones."""
+    merged = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more.select("a", "b")))
+    discard(labels)
+    return merged
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
@@ -392,9 +405,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
         near = near.union(ordered(tried))
         if more.isEmpty():
             break
-        links = links.union(more)
-        discard(labels)
-        labels = components(links)
+        labels = joined_labels(labels, more)
         # Labels only merge: buckets of one label stay so, and only members of the others are looked at again.
         before, held = left, rest
         rest, n_mixed, left = apart(held.select("bucket", "node"), labels, turn + 1)
@@ -415,8 +426,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
         likely = written(estimated(pairs, nodes).select("a", "b"), "near")
         more = verified(likely, texts)
         if not more.isEmpty():
-            discard(labels)
-            labels = components(links.union(more))
+            labels = joined_labels(labels, more)
         for done in (many, pairs, likely):
             discard(done)
     discard(rest)

@@ -258,3 +258,27 @@ def test_long_text_is_read_whole():
 
     a, _, _ = near_dedup.shingles(pa.array([LONG, LONG + " tail"], pa.large_string()))
     assert len(a) > 2 * 20_000
+
+
+def test_components_shuffle_little(spark):
+    """A round of stars deals its edges out twice, whether the components are stars is read off what it wrote, and labels stand for earlier links."""
+    conf = {"spark.sql.shuffle.partitions": "20", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in conf}
+    links = spark.createDataFrame([(i, i + 1) for i in range(1, 9)] + [(20, 21), (21, 22)], "a long, b long").coalesce(1)
+    more = spark.createDataFrame([(22, 9), (30, 31)], "a long, b long")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("components", "components")
+        labels = near_dedup.components(links)
+        tracker = spark.sparkContext.statusTracker()
+        stages = {s for job in tracker.getJobIdsForGroup("components") for s in tracker.getJobInfo(job).stageIds}
+        tasks = sum(info.numCompletedTasks for info in map(tracker.getStageInfo, stages) if info)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert dict(tuple(r) for r in labels.collect()) == {i: 1 for i in range(2, 10)} | {21: 20, 22: 20}
+    assert tasks < 600, tasks
+    merged = near_dedup.joined_labels(labels, more)
+    assert dict(tuple(r) for r in merged.collect()) == {i: 1 for i in [*range(2, 10), 20, 21, 22]} | {31: 30}
