@@ -252,12 +252,19 @@ def gains(grid: np.ndarray, of: np.ndarray, sides: np.ndarray) -> np.ndarray:
     for g, mine, other in ((grid, after, before), (grid.T, before, after)):
         w, j = np.nonzero(mine)
         count, a = mine[w, j], of[w]
-        cell = g[:-1, j].T.copy()  # the grid without the word
-        cell[np.arange(len(w)), a] -= count
         inner = j == a
-        cell[inner] -= other[w[inner], :-1]
-        cell[np.flatnonzero(inner), a[inner]] -= own[w[inner]]
-        term = entropy_term(cell + count[:, None]) - entropy_term(cell)
+        # But for neighbours of the word's own class, a term depends on both classes and the count alone: few of them differ.
+        _, first, same = np.unique((count * c + j) * c + a, return_index=True, return_inverse=True)
+        apart = np.flatnonzero(inner)
+        rows = np.append(first, apart)
+        cell = g[:-1, j[rows]].T.copy()  # the grid without the word
+        cell[np.arange(len(rows)), a[rows]] -= count[rows]
+        mine_too = np.arange(len(first), len(rows))
+        cell[mine_too] -= other[w[apart], :-1]
+        cell[mine_too, a[apart]] -= own[w[apart]]
+        term = entropy_term(cell + count[rows][:, None]) - entropy_term(cell)
+        same[apart] = mine_too
+        term = term[same]
         first = np.flatnonzero(np.append(True, w[1:] != w[:-1])) if len(w) else w
         gain[w[first]] += np.add.reduceat(term, first, axis=0) if len(w) else 0
         total = np.tile(g.sum(1)[:-1], (n, 1))  # whatever the class, it is next to the same words
@@ -270,9 +277,19 @@ def gains(grid: np.ndarray, of: np.ndarray, sides: np.ndarray) -> np.ndarray:
     return gain + entropy_term(d + right + left + own[:, None]) - entropy_term(d + right) - entropy_term(d + left) + entropy_term(d)
 
 
+def different_rows(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different rows of ``a``, and which of them each row is: by a hash of 64 bits, whose collisions are looked for."""
+    weights = np.random.default_rng(0).integers(1, 1 << 62, a.shape[1]) | 1
+    _, first, which = np.unique(a @ weights, return_index=True, return_inverse=True)
+    if len(a) and not (a[first][which] == a).all():
+        kinds, which = np.unique(a, axis=0, return_inverse=True)
+        return kinds, which.ravel()
+    return a[first], which
+
+
 def best_moves(grid: np.ndarray, of: np.ndarray, sides: np.ndarray) -> np.ndarray:
     """The class of each word after its best move; words alike in class and counts are looked at once."""
-    kinds, which = np.unique(np.concatenate([sides, of[:, None]], 1), axis=0, return_inverse=True)
+    kinds, which = different_rows(np.concatenate([sides, of[:, None]], 1))
     best = np.zeros(len(kinds), np.int64)
     for a in range(0, len(kinds), 2048):
         some = kinds[a:a + 2048]
@@ -280,7 +297,7 @@ def best_moves(grid: np.ndarray, of: np.ndarray, sides: np.ndarray) -> np.ndarra
         to = gain.argmax(1)
         at = np.arange(len(some))
         best[a:a + 2048] = np.where(gain[at, to] > gain[at, now] + 1e-9, to, now)
-    return best[which.ravel()]
+    return best[which]
 
 
 LINKS = "part int, block long, codes binary, ids binary, classes binary, counts binary, moved long"
@@ -326,7 +343,12 @@ def neighbour_counts(blocks: DataFrame, links: DataFrame, c: int) -> DataFrame:
             for r in right.to_pylist():
                 at = unpacked(r["codes"], np.int32)
                 kind[at], part[at], number[at] = unpacked(r["classes"], np.uint8), r["part"], unpacked(r["ids"], np.int32)
-            seq, _ = running(codes, lengths, end, ~held)
+            # Words are numbered by part, so that sorted keys come part by part.
+            order = np.append(np.argsort(part[:-1].astype(np.int32), kind="stable"), end)
+            place = np.empty(end + 1, np.int64)
+            place[order] = np.arange(end + 1)
+            kind, part, number = kind[order], part[order], number[order]
+            seq, _ = running(place[codes], lengths, end, ~held)
             last = np.append(end, seq[:-1]) if len(seq) else seq
             cells = np.bincount(kind[last] * c + kind[seq], minlength=c * c)
             same = (last == seq) & (seq != end)
@@ -339,10 +361,10 @@ def neighbour_counts(blocks: DataFrame, links: DataFrame, c: int) -> DataFrame:
             else:
                 keys, n = np.unique(keys, return_counts=True)
             word, side = keys // width, keys % width
-            by = np.argsort(part[word], kind="stable")
-            cuts = np.flatnonzero(np.append(True, np.diff(part[word[by]]) != 0)) if len(by) else by
-            for i in np.split(by, cuts[1:]) if len(by) else ():
-                out["part"].append(int(part[word[i[0]]]))
+            of_part = part[word]
+            cuts = np.flatnonzero(np.append(True, of_part[1:] != of_part[:-1])) if len(word) else word
+            for i in map(slice, cuts, np.append(cuts[1:], len(word))):
+                out["part"].append(int(of_part[i.start]))
                 out["ids"].append(packed(number[word[i]].astype(np.int32)))
                 out["sides"].append(packed(side[i].astype(np.uint8)))
                 out["n"].append(packed(n[i].astype(np.int32)))

@@ -203,3 +203,22 @@ def test_pipeline_stages_keep_columns_and_stand_edges(spark):
     for name, stage in corpus_pipeline.STAGES:
         if name != "minhash_dedup":  # in test_dedup
             assert stage(spark, documents(spark, []), SF_SMOKE).count() == 0
+
+
+def test_words_alike_are_found_by_hash():
+    """Rows are told apart by a hash, and by their values where two share one; moves are those of looking at every word alone."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    a = rng.integers(0, 2, (500, 6))
+    kinds, which = class_lm.different_rows(a)
+    assert (kinds[which] == a).all() and len(kinds) == len(np.unique(a, axis=0))
+    one, two = np.random.default_rng(0).integers(1, 1 << 62, 2) | 1  # the weights: rows that share a hash
+    clash = np.array([[two, 0], [0, one], [two, 0]])
+    kinds, which = class_lm.different_rows(clash)
+    assert (kinds[which] == clash).all() and len(kinds) == 2
+    c, n = 5, 300
+    sides, of = rng.integers(0, 3, (n, 2 * c + 1)), rng.integers(0, c - 1, n)
+    grid = rng.integers(2000, 9000, (c, c)).astype(float)
+    alone = [int(class_lm.best_moves(grid, of[i:i + 1], sides[i:i + 1])[0]) for i in range(n)]
+    assert class_lm.best_moves(grid, of, sides).tolist() == alone
